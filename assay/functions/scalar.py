@@ -114,6 +114,11 @@ def split_bucket(key: str | Column, seed: int = K.SPLIT_SEED, buckets: int = 100
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % F.lit(buckets)
 
 
+def round_ieee(c: Column, digits: int = 6) -> Column:
+    """``round(x * 10^d) / 10^d`` (see ``round_doubles``)."""
+    return F.round(c.cast("double") * F.lit(10.0 ** digits), 0) / F.lit(10.0 ** digits)
+
+
 def round_doubles(df, digits: int = 6, cols: Sequence[str] | None = None):
     """Round double/float columns for comparisons with other engines.
 

@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay import constants as K
+from assay.functions.scalar import round_ieee
 
 # --- fixed values: binding rules of the test stand-ins -----------------------
 W_PRICE = 490000.0          # an order at or above this total price is a 'W' verdict
 SCORE_SCALE = 500000.0      # binding E score = avg(total price) / this
 CATALOGUE_EVERY = 7         # binding B catalogue: parts with key % 7 = 0
 EMBEDDING_DIM = 64
+E_THRESHOLD = 0.5           # binding E decision threshold
 SENSORS_A = ["VALUE", "K"]
 SENSORS_B = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 # --- end of fixed values ----------------------------------------------------
@@ -116,4 +118,5 @@ def scores_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (o.groupBy(F.col("o_custkey").alias(K.SERIAL))
             .agg(F.max(F.when(F.col("o_totalprice") >= F.lit(W_PRICE), 1).otherwise(0))
                  .alias(K.LABEL),
-                 F.round(F.avg("o_totalprice") / F.lit(SCORE_SCALE), 6).alias(K.PROBABILITY)))
+                 round_ieee(F.avg("o_totalprice") / F.lit(SCORE_SCALE), 6)
+                 .alias(K.PROBABILITY)))

@@ -14,16 +14,26 @@ def r6(expr: str) -> str:
     return f"(round(CAST({expr} AS DOUBLE) * 1000000.0) / 1000000.0 + 0.0)"
 
 
+def rounded(sql: str, cols) -> str:
+    """Wrap a query, rounding the listed double columns (engine-identical)."""
+    rep = ", ".join(f'{r6(q(c))} AS {q(c)}' for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM ({sql}) _r"
+
+
+def q(c: str) -> str:
+    return f'"{c}"'
+
+
 def feature_select(sensors: dict[str, str], ts: str, phase: str,
-                   leak: bool = True) -> str:
+                   leak: bool = True, rnd=r6) -> str:
     parts = []
     for name, expr in sensors.items():
         parts += [
-            f"{r6(f'avg({expr})')} AS {name}_mean",
-            f"{r6(f'stddev_samp({expr})')} AS {name}_std",
-            f"{r6(f'min({expr})')} AS {name}_min",
-            f"{r6(f'max({expr})')} AS {name}_max",
-            f"{r6(f'quantile_disc({expr}, 0.5)')} AS {name}_med",
+            f"{rnd(f'avg({expr})')} AS {name}_mean",
+            f"{rnd(f'stddev_samp({expr})')} AS {name}_std",
+            f"{rnd(f'min({expr})')} AS {name}_min",
+            f"{rnd(f'max({expr})')} AS {name}_max",
+            f"{rnd(f'quantile_disc({expr}, 0.5)')} AS {name}_med",
         ]
     if leak:
         parts += [
@@ -55,6 +65,21 @@ SELECT o_custkey AS SERIAL_NUMBER,
   first(o_orderpriority ORDER BY o_orderdate, o_orderkey) AS TEST_STAND
 FROM orders GROUP BY o_custkey"""
 
+
+def _raw(x):
+    return f"CAST({x} AS DOUBLE)"
+
+
+FEATURES_B_RAW = f"""
+SELECT l_orderkey AS SERIAL_NUMBER,
+  {feature_select(SENSORS_B_SQL, 'l_shipdate', 'l_returnflag', rnd=_raw)}
+FROM lineitem GROUP BY l_orderkey"""
+
+FEATURES_A_RAW = f"""
+SELECT user_id AS SERIAL_NUMBER,
+  {feature_select(SENSORS_A_SQL, 'ts', 'event_type', rnd=_raw)}
+FROM events GROUP BY user_id"""
+
 FIRST_PART_B = """
 SELECT l_orderkey, first(l_partkey ORDER BY l_linenumber, l_partkey) AS PRODUCT_NUMBER
 FROM lineitem GROUP BY l_orderkey"""
@@ -72,6 +97,14 @@ FACT_B = f"""
 SELECT f.*, r.LABEL, r.PRODUCT_NUMBER, r.TEST_STAND
 FROM ({FEATURES_B}) f JOIN ({LABELS_B}) r ON f.SERIAL_NUMBER = r.SERIAL_NUMBER"""
 
+FACT_B_RAW = f"""
+SELECT f.*, r.LABEL, r.PRODUCT_NUMBER, r.TEST_STAND
+FROM ({FEATURES_B_RAW}) f JOIN ({LABELS_B}) r ON f.SERIAL_NUMBER = r.SERIAL_NUMBER"""
+
+FACT_A_RAW = f"""
+SELECT f.*, r.LABEL, r.TEST_STAND
+FROM ({FEATURES_A_RAW}) f JOIN ({LABELS_A}) r ON f.SERIAL_NUMBER = r.SERIAL_NUMBER"""
+
 FACT_A = f"""
 SELECT f.*, r.LABEL, r.TEST_STAND
 FROM ({FEATURES_A}) f JOIN ({LABELS_A}) r ON f.SERIAL_NUMBER = r.SERIAL_NUMBER"""
@@ -83,5 +116,22 @@ FROM part WHERE p_partkey % {B.CATALOGUE_EVERY} = 0"""
 
 SCORES_E = f"""
 SELECT o_custkey AS SERIAL_NUMBER, max({VERDICT_SQL}) AS LABEL,
-       round(avg(o_totalprice) / {B.SCORE_SCALE}, 6) AS {K.PROBABILITY}
+       {r6(f"avg(o_totalprice) / {B.SCORE_SCALE}")} AS {K.PROBABILITY}
 FROM orders GROUP BY o_custkey"""
+
+PRED_E = f"""
+SELECT *, CAST({K.PROBABILITY} >= {B.E_THRESHOLD} AS INTEGER) AS {K.FINAL_PREDICTION}
+FROM ({SCORES_E}) _s"""
+
+OUTCOME_SQL = f"""CASE WHEN LABEL = 1 AND {K.FINAL_PREDICTION} = 1 THEN '{K.OUTCOME_TP}'
+  WHEN LABEL = 0 AND {K.FINAL_PREDICTION} = 1 THEN '{K.OUTCOME_FP}'
+  WHEN LABEL = 1 AND {K.FINAL_PREDICTION} = 0 THEN '{K.OUTCOME_FN}'
+  ELSE '{K.OUTCOME_TN}' END"""
+
+SCORED_E = f"SELECT *, {OUTCOME_SQL} AS {K.OUTCOME} FROM ({PRED_E}) _p"
+
+SERIES_B_SQL = """SELECT l_orderkey AS SERIAL_NUMBER, l_shipdate AS TS, l_returnflag AS PHASE,
+  l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem"""
+
+SERIES_A_SQL = """SELECT user_id AS SERIAL_NUMBER, ts AS TS, event_type AS PHASE,
+  value AS "VALUE", TRY_CAST(props->>'$.k' AS DOUBLE) AS "K" FROM events"""
