@@ -41,4 +41,4 @@ def query(name: str, sql: str | None = None, rounded: bool = True):
 def load_all() -> None:
     """Import the modules that register queries."""
     from assay.plans import (queries_core, queries_eval, queries_io,  # noqa: F401
-                             queries_ml, queries_star)
+                             queries_ml, queries_star, queries_stream)
