@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from assay.operators import label as LB
 from assay.operators import star as ST
 from assay.plans import bindings as B
 from assay.sources.delimited import read_delimited
-from assay.sources.layers import read_layer, write_layer
+from assay.sources.layers import export_dataset, read_layer, save_table, write_layer
 
 # --- fixed values: binding D layout ------------------------------------------
 TS_COLUMNS_D = [K.DATE, K.TIME, K.PHASE, "VALUE", "K"]
@@ -70,11 +71,15 @@ def write_sources(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]
     """Write binding D's source folders under ``root`` (a fresh folder).
 
     Time series: one folder per unit (``partitionBy``), the serial in the
-    folder name; the data is hash-partitioned on that folder first so each
-    folder gets one file per writing task instead of one per input split."""
+    folder name. The rows are range-partitioned on (folder, date, time)
+    first: each task holds a contiguous run of units, so a folder gets few
+    files, and a unit with a third of all rows is spread over many tasks
+    instead of one (a hash repartition on the folder would give it one)."""
     ts_path, res_path = f"{root}/TimeSeries", f"{root}/Results"
     ev = source_events(spark, sf_dir)
-    (ev.repartition("_test").write.mode("overwrite").partitionBy("_test")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (ev.repartitionByRange(n, "_test", K.DATE, K.TIME).write.mode("overwrite")
+     .partitionBy("_test")
      .option("header", True).option("sep", ";").csv(ts_path))
     (source_results(spark, sf_dir).write.mode("overwrite")
      .option("header", True).option("sep", ";").csv(res_path))
@@ -118,7 +123,7 @@ def silver(spark: SparkSession, lake: Lake, sensors=K.SENSORS, scope: str = "nam
     for name, fn in [("itemclassification", CL.trim_all), ("warranty", CL.clean_warranty)]:
         try:
             src = read_layer(spark, lake.path("bronze", name))
-        except Exception:  # noqa: BLE001 - optional source folder
+        except AnalysisException:  # optional source folder not present
             continue
         write_layer(fn(src), lake.path("silver", f"{name}_clean"))
         written[f"{name}_clean"] = lake.path("silver", f"{name}_clean")
@@ -137,11 +142,17 @@ def gold(spark: SparkSession, lake: Lake, sensors=K.SENSORS,
     out = {"fait_test_moteur": fact}
     try:
         ic = read_layer(spark, lake.path("silver", "itemclassification_clean"))
-        write_layer(ST.dim_product(ic), lake.path("gold", "dim_produit"))
-        dim = read_layer(spark, lake.path("gold", "dim_produit"))
-        write_layer(ST.dataset_ml(fact, dim), lake.path("gold", "dataset_ml"))
-        out["dim_produit"] = dim
-        out["dataset_ml"] = read_layer(spark, lake.path("gold", "dataset_ml"))
-    except Exception:  # noqa: BLE001 - no catalogue: fact only
-        pass
+    except AnalysisException:  # no catalogue: fact only
+        return AU.layer_counts(out, key=K.SERIAL)
+    write_layer(ST.dim_product(ic), lake.path("gold", "dim_produit"))
+    dim = read_layer(spark, lake.path("gold", "dim_produit"))
+    paths = export_dataset(ST.dataset_ml(fact, dim), lake.path("gold", "dataset_ml"))
+    out["dim_produit"] = dim
+    out["dataset_ml"] = read_layer(spark, paths["parquet"])
     return AU.layer_counts(out, key=K.SERIAL)
+
+
+def publish_scores(scored: DataFrame, table: str, fmt: str = "parquet") -> str:
+    """IO13: the scored units as a catalog table (the reference uses Delta;
+    any installed table format can be named)."""
+    return save_table(scored, table, fmt=fmt)

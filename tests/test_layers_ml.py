@@ -86,3 +86,12 @@ def test_missing_class_raises(spark):
     df = B.vectors_c(spark, SF001).where(F.col(K.LABEL) == 0)
     with pytest.raises(ValueError):
         SP.require_both_classes(SP.class_weights(df))
+
+
+def test_publish_scores_table(spark):
+    df = B.scores_e(spark, SF001)
+    name = "assay_test_scores"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    M.publish_scores(df, name)
+    assert spark.table(name).count() == df.count()
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
