@@ -95,3 +95,27 @@ def test_publish_scores_table(spark):
     M.publish_scores(df, name)
     assert spark.table(name).count() == df.count()
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_stream_scoring_batches(spark):
+    from assay.streaming.continuous import score_batches, stream_table
+    df = B.vectors_c(spark, SF001)
+    train, _ = SP.train_test(df)
+    m = MD.fit("lr", SP.with_class_weight(train), B.C_FEATURES)
+    stream = stream_table(spark, SF001, "embeddings")
+    feats = stream.select(
+        F.col("vec_id").alias(K.SERIAL), (F.col("label") == 0).cast("int").alias(K.LABEL),
+        *[F.col("embedding")[i].cast("double").alias(f"e_{i}") for i in range(64)])
+    out = score_batches(feats, lambda b: MD.score_units(m, b),
+                        scratch_path(spark, "scores"), scratch_path(spark, "scores-ckpt"))
+    got = spark.read.parquet(out)
+    assert got.count() == df.count()
+    batch = MD.score_units(m, df)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_choose_final_and_best_threshold(spark):
+    from assay.operators import evaluate as EV
+    sw = EV.threshold_sweep(B.scores_e(spark, SF001))
+    best = MD.best_threshold(sw).first()
+    assert best["F1"] == max(r["F1"] for r in sw.collect())
