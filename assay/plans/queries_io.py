@@ -32,6 +32,21 @@ SELECT md5(CAST(user_id AS VARCHAR)) AS SERIAL_NUMBER,
 FROM events"""
 
 
+SOURCE_RESULT_SQL = """CASE WHEN o_totalprice >= 490000.0
+         THEN CASE WHEN o_orderstatus = 'P' THEN ' W' ELSE 'W' END
+         ELSE CASE WHEN o_orderstatus = 'P' THEN 'g' ELSE 'G' END END"""
+
+
+@query("unknown_verdicts", """
+SELECT RESULT AS verdict, count(*) AS count FROM (SELECT {r} AS RESULT FROM orders) s
+WHERE RESULT IS NULL OR RESULT NOT IN ('W', 'G') GROUP BY RESULT""".format(r=SOURCE_RESULT_SQL))
+def q_unknown_verdicts(spark, d):
+    """Trap 5: verdict texts other than 'G' / 'W' (they all become label 0),
+    counted, on the results source text."""
+    from assay.operators.audit import unknown_verdicts
+    return unknown_verdicts(M.source_results(spark, d))
+
+
 def _sources(spark, d):
     return M.write_sources(spark, d, scratch_path(spark, "sources"))
 
@@ -44,11 +59,10 @@ def q_bronze_measurements(spark, d):
 
 
 @query("bronze_results", """
-SELECT CAST(o_custkey AS VARCHAR) AS SERIAL_NUMBER,
-       CASE WHEN o_totalprice >= 490000.0 THEN 'W' ELSE 'G' END AS RESULT,
+SELECT CAST(o_custkey AS VARCHAR) AS SERIAL_NUMBER, {SOURCE_RESULT_SQL} AS RESULT,
        o_orderpriority AS TEST_STAND, strftime(o_orderdate, '%Y-%m-%d') AS TEST_DATE,
        CAST(o_orderkey AS VARCHAR) AS TEST_ID
-FROM orders""")
+FROM orders""".format(SOURCE_RESULT_SQL=SOURCE_RESULT_SQL))
 def q_bronze_results(spark, d):
     """IO2: results folder read back as strings."""
     src = _sources(spark, d)
@@ -138,12 +152,11 @@ def q_line_label(spark, d):
 
 
 @query("results_trim", """
-SELECT trim(CAST(o_custkey AS VARCHAR)) AS SERIAL_NUMBER,
-       CASE WHEN o_totalprice >= 490000.0 THEN 'W' ELSE 'G' END AS RESULT,
+SELECT trim(CAST(o_custkey AS VARCHAR)) AS SERIAL_NUMBER, {SOURCE_RESULT_SQL} AS RESULT,
        o_orderpriority AS TEST_STAND, strftime(o_orderdate, '%Y-%m-%d') AS TEST_DATE,
        CAST(o_orderkey AS VARCHAR) AS TEST_ID,
-       CASE WHEN o_totalprice >= 490000.0 THEN 1 ELSE 0 END AS LAB
-FROM orders""")
+       CASE WHEN {SOURCE_RESULT_SQL} = 'W' THEN 1 ELSE 0 END AS LAB
+FROM orders""".format(SOURCE_RESULT_SQL=SOURCE_RESULT_SQL))
 def q_results_trim(spark, d):
     """SC5 + SC7 on the text results: trimmed ids and the line label."""
     return CL.clean_results(M.source_results(spark, d))

@@ -275,3 +275,4 @@ def q_class_weights(spark, d):
     """AG17 / SC12: class weights N / (2 n_c) from the training split."""
     train, _ = SP.train_test(fact_b(spark, d).select(K.SERIAL, K.LABEL))
     return SP.class_weights(train)
+

@@ -36,7 +36,10 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
     """
     reader = (spark.read.option("header", header).option("sep", sep)
               .option("encoding", encoding).option("mode", "PERMISSIVE")
-              .option("inferSchema", False))
+              .option("inferSchema", False)
+              # raw text: blanks are the silver layer's business (trim)
+              .option("ignoreLeadingWhiteSpace", False)
+              .option("ignoreTrailingWhiteSpace", False))
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     if columns is not None:
