@@ -18,15 +18,52 @@ from assay import constants as K
 from assay.functions.scalar import epoch_seconds
 
 
-def _median(c: str, exact: bool, accuracy: int) -> Column:
-    if exact:
-        # Exact lower median: keeps a value->count map per group; use only when
-        # groups are bounded (it does not shrink a hot group's state).
-        return F.percentile_disc(F.lit(0.5), F.col(c)) if hasattr(F, "percentile_disc") \
-            else F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}`)")
+def _median(c: str, accuracy: int) -> Column:
     return F.percentile_approx(F.col(c), F.lit(0.5), F.lit(accuracy))
 
 
+def exact_medians(series: DataFrame, key: str, sensors: Sequence[str],
+                  chunks: int | None = None) -> DataFrame:
+    """Exact lower median (``percentile_disc(0.5)``) per unit and sensor,
+    without ever holding one unit's values in one task or one buffer.
+
+    1. (unit, sensor, value) -> count: a map-side-combined aggregate, so a
+       hot unit shrinks to its distinct values.
+    2. Range-partition those rows on (unit, sensor, value); the partition
+       index is a chunk number, fixed by a reliable checkpoint.
+    3. Running counts inside each (unit, sensor, chunk), plus the counts of
+       the unit's earlier chunks (a table of at most #units*#sensors +
+       #chunks rows per sensor).
+    4. The median is the smallest value whose running count reaches half.
+    """
+    from pyspark.sql.window import Window
+    from assay.session import checkpoint_root
+    spark = series.sparkSession
+    checkpoint_root(spark)
+    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("_sensor"),
+                                        F.col(c).cast("double").alias("_v")) for c in sensors]))
+    counts = (series.select(key, pairs).where(F.col("_v").isNotNull())
+              .groupBy(key, "_sensor", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    ranged = (counts.repartitionByRange(n, F.col(key), F.col("_sensor"), F.col("_v"))
+              .withColumn("_chunk", F.spark_partition_id())
+              .checkpoint(eager=True))
+    per_chunk = ranged.groupBy(key, "_sensor", "_chunk").agg(F.sum("_c").alias("_cc"))
+    unit = Window.partitionBy(key, "_sensor")
+    before = unit.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_chunk.select(key, "_sensor", "_chunk",
+                               F.coalesce(F.sum("_cc").over(before), F.lit(0)).alias("_off"),
+                               F.sum("_cc").over(unit).alias("_n"))
+    inside = (Window.partitionBy(key, "_sensor", "_chunk").orderBy("_v")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cum = (ranged.join(offsets, [key, "_sensor", "_chunk"])
+           .withColumn("_cum", F.col("_off") + F.sum("_c").over(inside)))
+    med = (cum.where(F.col("_cum") * 2 >= F.col("_n"))
+           .groupBy(key, "_sensor").agg(F.min("_v").alias("_med")))
+    return (med.groupBy(key).pivot("_sensor", list(sensors)).agg(F.first("_med"))
+            .select(key, *[F.col(c).alias(f"{c}_med") for c in sensors]))
+
+
 def feature_names(sensors: Sequence[str], stats: Sequence[str] = K.STATS) -> list[str]:
     """Feature columns by inclusion: ``{sensor}_{stat}``."""
     return [f"{s}_{st}" for s in sensors for st in stats]
@@ -43,8 +80,9 @@ def sequence_features(series: DataFrame, key: str = K.SERIAL, ts: str = K.TS,
             F.stddev_samp(c).alias(f"{c}_std"),
             F.min(c).alias(f"{c}_min"),
             F.max(c).alias(f"{c}_max"),
-            _median(c, exact_median, accuracy).alias(f"{c}_med"),
         ]
+        if not exact_median:
+            aggs.append(_median(c, accuracy).alias(f"{c}_med"))
     if leak_columns:
         ts_type = series.schema[ts].dataType
         aggs += [
@@ -57,7 +95,11 @@ def sequence_features(series: DataFrame, key: str = K.SERIAL, ts: str = K.TS,
             (epoch_seconds(F.max(ts), ts_type) - epoch_seconds(F.min(ts), ts_type))
             .alias(K.LEAK_DURATION),
         ]
-    return series.groupBy(key).agg(*aggs)
+    out = series.groupBy(key).agg(*aggs)
+    if not exact_median:
+        return out
+    order = [key] + feature_names(sensors) + ([*K.LEAK_COLUMNS] if leak_columns else [])
+    return out.join(exact_medians(series, key, sensors), key, "left").select(*order)
 
 
 def ml_frame(fact: DataFrame, sensors: Sequence[str], key: str = K.SERIAL,

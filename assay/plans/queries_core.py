@@ -75,3 +75,9 @@ def q_fact_test(spark, d):
 def q_fact_test_devices(spark, d):
     """JO1 on binding A."""
     return fact_a(spark, d)
+
+
+@query("sequence_features_exact", S.FEATURES_B)
+def q_sequence_features_exact(spark, d):
+    """AG7 exact: lower median per unit by chunked running counts (skew-safe)."""
+    return FE.sequence_features(B.series_b(spark, d), sensors=B.SENSORS_B, exact_median=True)

@@ -78,3 +78,17 @@ def test_sweep_matches_published_binding_figures(spark):
     assert tuple(sw[0.5][c] for c in ("TP", "FP", "TN", "FN")) == (190, 578, 652, 80)
     assert tuple(sw[0.45][c] for c in ("TP", "FP", "TN", "FN")) == (237, 838, 392, 33)
     assert tuple(sw[0.4][c] for c in ("TP", "FP", "TN", "FN")) == (264, 1026, 204, 6)
+
+
+@pytest.mark.parametrize("chunks", [1, 7])
+def test_exact_medians_equal_percentile_disc(spark, chunks):
+    from assay.operators.features import exact_medians
+    ser = B.series_b(spark, SF001)
+    got = {r[K.SERIAL]: r for r in exact_medians(ser, K.SERIAL, B.SENSORS_B, chunks).collect()}
+    want = ser.groupBy(K.SERIAL).agg(*[
+        F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {c})").alias(f"{c}_med")
+        for c in B.SENSORS_B]).collect()
+    assert len(got) == len(want)
+    for r in want:
+        for c in B.SENSORS_B:
+            assert got[r[K.SERIAL]][f"{c}_med"] == r[f"{c}_med"], (r[K.SERIAL], c)
