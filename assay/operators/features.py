@@ -72,7 +72,9 @@ def feature_names(sensors: Sequence[str], stats: Sequence[str] = K.STATS) -> lis
 def sequence_features(series: DataFrame, key: str = K.SERIAL, ts: str = K.TS,
                       phase: str = K.PHASE, sensors: Sequence[str] = K.SENSORS,
                       exact_median: bool = False, accuracy: int = 10000,
-                      leak_columns: bool = True) -> DataFrame:
+                      leak_columns: bool = True, by: Sequence[Column] = ()) -> DataFrame:
+    """``by``: extra grouping expressions, e.g. a ``session_window`` that cuts a
+    unit's readings into sequences (streaming end-of-sequence rule)."""
     aggs: list[Column] = []
     for c in sensors:
         aggs += [
@@ -95,9 +97,11 @@ def sequence_features(series: DataFrame, key: str = K.SERIAL, ts: str = K.TS,
             (epoch_seconds(F.max(ts), ts_type) - epoch_seconds(F.min(ts), ts_type))
             .alias(K.LEAK_DURATION),
         ]
-    out = series.groupBy(key).agg(*aggs)
+    out = series.groupBy(key, *by).agg(*aggs)
     if not exact_median:
         return out
+    if by:
+        raise ValueError("exact_median is per unit; it does not combine with extra groupings")
     order = [key] + feature_names(sensors) + ([*K.LEAK_COLUMNS] if leak_columns else [])
     return out.join(exact_medians(series, key, sensors), key, "left").select(*order)
 

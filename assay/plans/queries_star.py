@@ -276,3 +276,14 @@ def q_class_weights(spark, d):
     train, _ = SP.train_test(fact_b(spark, d).select(K.SERIAL, K.LABEL))
     return SP.class_weights(train)
 
+
+
+@query("split_balance", f"""
+SELECT CASE WHEN {SPLIT_SQL} < 800 THEN 'train' ELSE 'test' END AS split, LABEL,
+       count(*) AS count
+FROM ({S.FACT_B}) f GROUP BY 1, 2""")
+def q_split_balance(spark, d):
+    """AG13 on the split: units per (split, label), i.e. both classes present
+    on both sides."""
+    s = SP.stratified_split(fact_b(spark, d).select(K.SERIAL, K.LABEL))
+    return SP.split_balance(s)

@@ -52,3 +52,35 @@ def q_stream_silver(spark, d):
         F.col("event_type").alias(K.PHASE), F.col("value").alias("VALUE"),
         F.get_json_object("props", "$.k").try_cast("double").alias("K"))
     return materialize(spark, series, "silver", mode="append")
+
+
+SESSION_GAP_HOURS = 6
+_SESSIONS_SQL = f"""
+WITH e AS (
+  SELECT user_id, ts, event_type, value, TRY_CAST(props->>'$.k' AS DOUBLE) AS k,
+    CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+           OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL {SESSION_GAP_HOURS} HOUR
+         THEN 1 ELSE 0 END AS new_session
+  FROM events),
+s AS (SELECT *, sum(new_session) OVER (PARTITION BY user_id ORDER BY ts
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM e)
+SELECT user_id AS SERIAL_NUMBER, min(ts) AS session_start,
+       max(ts) + INTERVAL {SESSION_GAP_HOURS} HOUR AS session_end,
+  {S.feature_select({"VALUE": "value", "K": "k"}, "ts", "event_type")}
+FROM s GROUP BY user_id, sid"""
+
+
+@query("stream_sessions", _SESSIONS_SQL)
+def q_stream_sessions(spark, d):
+    """SS4 with a watermark: a unit's readings form one sequence until a gap
+    of 6 hours (session window); features per (unit, sequence)."""
+    from assay.streaming.continuous import completed_sequences
+    ev = stream_table(spark, d, "events")
+    series = ev.select(
+        F.col("user_id").alias(K.SERIAL), F.col("ts").alias(K.TS),
+        F.col("event_type").alias(K.PHASE), F.col("value").alias("VALUE"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("K"))
+    seq = completed_sequences(series, B.SENSORS_A, gap=f"{SESSION_GAP_HOURS} hours")
+    # complete mode: the final state of every sequence, including those the
+    # watermark has not closed yet (append mode would emit closed ones only)
+    return materialize(spark, seq, "sessions", mode="complete")

@@ -119,3 +119,21 @@ def test_choose_final_and_best_threshold(spark):
     sw = EV.threshold_sweep(B.scores_e(spark, SF001))
     best = MD.best_threshold(sw).first()
     assert best["F1"] == max(r["F1"] for r in sw.collect())
+
+
+def test_session_sequences_append_emits_closed_ones(spark):
+    from assay.streaming.continuous import completed_sequences, materialize, stream_table
+    ev = stream_table(spark, SF001, "events").select(
+        F.col("user_id").alias(K.SERIAL), F.col("ts").alias(K.TS),
+        F.col("event_type").alias(K.PHASE), F.col("value").alias("VALUE"))
+    seq = completed_sequences(ev, ["VALUE"], gap="6 hours")
+    closed = materialize(spark, seq, "closed", mode="append")
+    every = materialize(spark, completed_sequences(ev, ["VALUE"], gap="6 hours"), "all")
+    key = [K.SERIAL, "session_start"]
+    c, a = closed.count(), every.count()
+    assert 0 < c < a
+    # each closed sequence is final: equal to its complete-mode row
+    assert closed.exceptAll(every.select(closed.columns)).count() == 0   # NULL-safe
+    # the sequences left open are the last one of some units
+    last = every.groupBy(K.SERIAL).agg(F.max("session_start").alias("session_start"))
+    assert every.join(closed, key, "left_anti").join(last, key, "left_anti").count() == 0
