@@ -123,3 +123,12 @@ def ml_frame(fact: DataFrame, sensors: Sequence[str], key: str = K.SERIAL,
     if bad:
         raise TypeError(f"non-numeric features: {bad}")
     return fact.select(key, label, *feats)
+
+
+def fill_missing_features(df: DataFrame, features: Sequence[str],
+                          value: float = 0.0) -> DataFrame:
+    """Trap 10: a one-reading sequence has a NULL sample std, which the
+    vector assembler rejects. Fill with ``value`` (0: no spread) and add the
+    number of filled cells per row as ``_filled`` so the choice is counted."""
+    filled = sum((F.col(f"`{c}`").isNull().cast("int") for c in features), F.lit(0))
+    return df.withColumn("_filled", filled).fillna(value, subset=list(features))

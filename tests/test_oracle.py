@@ -11,7 +11,7 @@ import __spark_entry__ as E
 ORACLE = E.oracle_sql()
 QUERIES = E.queries()
 ML_KEYS = {"train_lr", "train_rf", "train_gbt", "train_svm", "feature_importance",
-           "model_leaderboard", "scored_motors"}
+           "model_leaderboard", "scored_motors", "scored_fact"}
 
 
 @pytest.fixture(scope="module")
