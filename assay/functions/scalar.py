@@ -49,11 +49,6 @@ def to_double(c: str | Column) -> Column:
     return F.expr(f"try_cast(`{c}` as double)") if isinstance(c, str) else c.try_cast("double")
 
 
-def trim_spaces(c: str | Column) -> Column:
-    """Spark ``trim``: strips spaces only (not tabs), as the reference does."""
-    return F.trim(col(c))
-
-
 def line_label(result: str | Column, trim: bool = False,
                anomaly: str = K.ANOMALY_VERDICT) -> Column:
     """Exactly ``RESULT == 'W'`` -> 1, anything else including NULL -> 0."""
@@ -62,8 +57,9 @@ def line_label(result: str | Column, trim: bool = False,
 
 
 def is_known_verdict(result: str | Column) -> Column:
+    """TRUE for exactly 'W' or 'G'; NULL, padded or lower-case text is unknown."""
     r = col(result)
-    return r.isin(K.ANOMALY_VERDICT, K.GOOD_VERDICT)
+    return F.coalesce(r.isin(K.ANOMALY_VERDICT, K.GOOD_VERDICT), F.lit(False))
 
 
 def epoch_seconds(c: str | Column, dtype=None) -> Column:

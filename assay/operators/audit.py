@@ -16,7 +16,7 @@ from pyspark.sql.types import NumericType
 from pyspark.sql.window import Window
 
 from assay import constants as K
-from assay.functions.scalar import safe_ratio
+from assay.functions.scalar import is_known_verdict, safe_ratio
 
 
 def _q(c: str) -> Column:
@@ -104,7 +104,7 @@ def unknown_verdicts(results: DataFrame, result: str = K.RESULT) -> DataFrame:
     """Verdict values other than 'G' / 'W' (NULL, padded, lower case...) with
     their counts: they all become label 0 and must be visible."""
     r = F.col(result)
-    return (results.where(r.isNull() | ~r.isin(K.ANOMALY_VERDICT, K.GOOD_VERDICT))
+    return (results.where(~is_known_verdict(r))
             .groupBy(r.alias("verdict")).agg(F.count(F.lit(1)).alias("count")))
 
 

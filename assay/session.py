@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,11 +57,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     token = str(uuid.uuid4())
     return f"{root}/assay-scratch/{name}-{token}"
 
-
-def to_local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so pure-Python helpers can list a local folder."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import FIXTURES
 
 from assay import constants as K
+from assay.functions.scalar import to_double
 from assay.operators import audit as AU
 from assay.operators import clean as CL
 from assay.operators import evaluate as EV
@@ -109,8 +110,7 @@ def test_dirty_values_become_null_and_are_counted(bronze_ts, silver_ts):
     assert dirty.where(F.col(K.TS).isNull()).count() == 2    # wrong format, missing DATE
     joined = bronze_ts.where(F.col(SOURCE_NAME).contains("d" * 32)).select(
         "PR_1", "DATE", "HEURE",
-        CL.to_double("PR_1").alias("PR_1_num") if hasattr(CL, "to_double") else
-        F.expr("try_cast(PR_1 as double)").alias("PR_1_num"))
+        to_double("PR_1").alias("PR_1_num"))
     pf = {r["column"]: r for r in AU.parse_failures(joined, {"PR_1_num": "PR_1"}).collect()}
     assert pf["PR_1_num"]["non_null_input"] == 5 and pf["PR_1_num"]["failed"] == 2
 
