@@ -25,7 +25,8 @@ from assay.operators import label as LB
 from assay.operators import star as ST
 from assay.plans import bindings as B
 from assay.sources.delimited import read_delimited
-from assay.sources.layers import export_dataset, read_layer, save_table, write_layer
+from assay.sources.layers import (export_dataset, read_layer, save_bucketed, save_table,
+                                  write_layer)
 
 # --- fixed values: binding D layout ------------------------------------------
 TS_COLUMNS_D = [K.DATE, K.TIME, K.PHASE, "VALUE", "K"]
@@ -160,6 +161,12 @@ def gold(spark: SparkSession, lake: Lake, sensors=K.SENSORS,
     return AU.layer_counts(out, key=K.SERIAL)
 
 
+def publish_bucketed(df: DataFrame, table: str, buckets: int, key: str = K.SERIAL) -> str:
+    """The fact (or scored units) as a table bucketed on the unit key, so the
+    report joins fact ⟕ predictions run without a shuffle."""
+    return save_bucketed(df, table, key, buckets)
+
+
 def publish_scores(scored: DataFrame, table: str, fmt: str = "parquet") -> str:
     """IO13: the scored units as a catalog table (the reference uses Delta;
     any installed table format can be named)."""

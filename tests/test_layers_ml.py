@@ -139,3 +139,24 @@ def test_session_sequences_append_emits_closed_ones(spark):
     open_ = every.join(closed, key, "left_anti")
     assert open_.where(F.col("session_end") <= F.lit(wm)).count() == 0
     assert closed.where(F.col("session_end") > F.lit(wm)).count() == 0
+
+
+def test_bucketed_fact_join_has_no_exchange(spark):
+    from assay.plans.queries_core import fact_a
+    from assay.plans.queries_eval import predictions_e
+    spark.sql("DROP TABLE IF EXISTS assay_fact_b8")
+    spark.sql("DROP TABLE IF EXISTS assay_pred_b8")
+    M.publish_bucketed(fact_a(spark, SF001), "assay_fact_b8", 8)
+    M.publish_bucketed(predictions_e(spark, SF001), "assay_pred_b8", 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force a shuffle join
+    try:
+        j = spark.table("assay_fact_b8").join(spark.table("assay_pred_b8").select(
+            K.SERIAL, K.PROBABILITY), K.SERIAL, "left")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == spark.table("assay_fact_b8").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS assay_fact_b8")
+        spark.sql("DROP TABLE IF EXISTS assay_pred_b8")
