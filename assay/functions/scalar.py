@@ -100,14 +100,19 @@ def outcome_label(label: str | Column, prediction: str | Column) -> Column:
             .otherwise(F.lit(K.OUTCOME_TN)))
 
 
+def split_hash(key: str | Column, seed: int = K.SPLIT_SEED) -> Column:
+    """First 8 hex digits of md5(key || ':' || seed) as a non-negative bigint."""
+    h = F.md5(F.concat(col(key).cast("string"), F.lit(f":{seed}")))
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+
+
 def split_bucket(key: str | Column, seed: int = K.SPLIT_SEED, buckets: int = 1000) -> Column:
     """Deterministic bucket in [0, buckets) from md5(key || ':' || seed).
 
     Row-local (no shuffle), stable under any re-partitioning and expressible
     in other SQL engines: first 8 hex digits of the md5 as an unsigned int.
     """
-    h = F.md5(F.concat(col(key).cast("string"), F.lit(f":{seed}")))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % F.lit(buckets)
+    return split_hash(key, seed) % F.lit(buckets)
 
 
 def round_ieee(c: Column, digits: int = 6) -> Column:

@@ -287,3 +287,23 @@ def q_split_balance(spark, d):
     on both sides."""
     s = SP.stratified_split(fact_b(spark, d).select(K.SERIAL, K.LABEL))
     return SP.split_balance(s)
+
+
+SPLIT_HASH_SQL = "CAST(('0x' || substr(md5(CAST(SERIAL_NUMBER AS VARCHAR) || ':42'), 1, 8)) AS BIGINT)"
+
+
+@query("stratified_split_exact", f"""
+WITH f AS (SELECT SERIAL_NUMBER, LABEL FROM ({S.FACT_B}) x),
+r AS (SELECT SERIAL_NUMBER, LABEL,
+        row_number() OVER (PARTITION BY LABEL ORDER BY {SPLIT_HASH_SQL}, SERIAL_NUMBER) AS rn,
+        count(*) OVER (PARTITION BY LABEL) AS n
+      FROM f WHERE LABEL = 1)
+SELECT SERIAL_NUMBER, LABEL, CASE WHEN {SPLIT_SQL} < 800 THEN 'train' ELSE 'test' END AS split
+FROM f WHERE LABEL <> 1 OR LABEL IS NULL
+UNION ALL
+SELECT SERIAL_NUMBER, LABEL, CASE WHEN rn <= floor(n * 0.8) THEN 'train' ELSE 'test' END
+FROM r""")
+def q_stratified_split_exact(spark, d):
+    """ML1 option: exactly 80 % of the rare positive class by hash rank; the
+    majority class keeps the bucket rule."""
+    return SP.stratified_split_exact(fact_b(spark, d).select(K.SERIAL, K.LABEL))

@@ -92,3 +92,15 @@ def test_exact_medians_equal_percentile_disc(spark, chunks):
     for r in want:
         for c in B.SENSORS_B:
             assert got[r[K.SERIAL]][f"{c}_med"] == r[f"{c}_med"], (r[K.SERIAL], c)
+
+
+def test_exact_split_for_rare_class(spark):
+    f = B.scores_e(spark, SF01)
+    s = SP.stratified_split_exact(f.select(K.SERIAL, K.LABEL)).toPandas()
+    pos = s[s[K.LABEL] == 1]
+    assert (pos["split"] == "train").sum() == int(len(pos) * 0.8)
+    assert len(s) == f.count()
+    again = SP.stratified_split_exact(f.select(K.SERIAL, K.LABEL).repartition(5)).toPandas()
+    assert sorted(map(tuple, s.values)) == sorted(map(tuple, again.values))
+    with pytest.raises(ValueError):
+        SP.stratified_split_exact(f.select(K.SERIAL, K.LABEL), max_exact_rows=10)
