@@ -22,17 +22,20 @@ def split_c(spark, d):
     return train, test
 
 
+ML_IDS = {"lr": "ML3", "rf": "ML4", "gbt": "ML5", "svm": "ML6"}
+
+
 def _train(kind):
     def run(spark, d):
         train, test = split_c(spark, d)
         model = MD.fit(kind, train, B.C_FEATURES)
+        train.unpersist()
         return MD.predict(model, test)
-    run.__doc__ = f"ML{ {'lr': 3, 'rf': 4, 'gbt': 5, 'svm': 6}[kind] }: weighted " \
-                  f"{MD.MODEL_NAMES[kind]}, test-split predictions."
+    run.__doc__ = f"{ML_IDS[kind]}: weighted {MD.MODEL_NAMES[kind]}, test-split predictions."
     return run
 
 
-for _k in ("lr", "rf", "gbt", "svm"):
+for _k in ML_IDS:
     query(f"train_{_k}", rounded=False)(_train(_k))
 
 
@@ -46,6 +49,7 @@ def q_feature_importance(spark, d):
         imp = MD.feature_importance(m, B.C_FEATURES, spark, top=20,
                                     model_name=MD.MODEL_NAMES[kind])
         out = imp if out is None else out.unionByName(imp)
+    train.unpersist()
     return out
 
 
@@ -58,6 +62,7 @@ def q_model_leaderboard(spark, d):
     for kind in ("lr", "rf", "gbt", "svm"):
         m = MD.fit(kind, train, B.C_FEATURES)
         preds[MD.MODEL_NAMES[kind]] = MD.predict(m, test).persist(StorageLevel.MEMORY_AND_DISK)
+    train.unpersist()
     return MD.leaderboard(preds)
 
 
@@ -68,6 +73,7 @@ def q_scored_motors(spark, d):
     from assay.operators.kpi import with_scoring_metadata
     train, test = split_c(spark, d)
     m = MD.fit("rf", train, B.C_FEATURES)
+    train.unpersist()
     return with_scoring_metadata(MD.score_units(m, test, threshold=K.FINAL_THRESHOLD),
                                  model_version="rf-200x8-seed42")
 
@@ -86,4 +92,5 @@ def q_scored_fact(spark, d):
     SP.require_both_classes(SP.class_weights(train))
     train = SP.with_class_weight(train).persist(StorageLevel.MEMORY_AND_DISK)
     model = MD.fit("rf", train, feats)
+    train.unpersist()
     return MD.score_units(model, test, threshold=K.FINAL_THRESHOLD)
