@@ -65,8 +65,13 @@ def source_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = F.col("o_orderstatus") == F.lit("P")
     w = F.when(odd, F.lit(" " + K.ANOMALY_VERDICT)).otherwise(F.lit(K.ANOMALY_VERDICT))
     g = F.when(odd, F.lit(K.GOOD_VERDICT.lower())).otherwise(F.lit(K.GOOD_VERDICT))
+    # the serial is the unit's 32-hex id (as in the time-series file names),
+    # padded with blanks on every 5th test: trimming must make them join
+    hexid = F.md5(F.col("o_custkey").cast("string"))
+    serial = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit(" "), hexid, F.lit(" "))) \
+        .otherwise(hexid)
     return o.select(
-        F.col("o_custkey").cast("string").alias(K.SERIAL),
+        serial.alias(K.SERIAL),
         F.when(F.col("o_totalprice") >= F.lit(B.W_PRICE), w).otherwise(g).alias(K.RESULT),
         F.col("o_orderpriority").alias(K.STAND),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("TEST_DATE"),
@@ -116,16 +121,21 @@ def bronze(spark: SparkSession, sources: dict[str, str], lake: Lake,
     return AU.layer_counts(counts)
 
 
-def silver(spark: SparkSession, lake: Lake, sensors=K.SENSORS, scope: str = "name") -> DataFrame:
+def silver(spark: SparkSession, lake: Lake, sensors=K.SENSORS, scope: str = "name",
+           result_order: list[str] | None = None) -> DataFrame:
     """IO8: typed series (sorted by unit, time), worst-verdict labels,
-    trimmed product classification and warranty."""
+    trimmed product classification and warranty. ``result_order`` is the total
+    order of a unit's tests that picks its representative product / stand
+    (the reference's ``first()`` has none)."""
     ts = read_layer(spark, lake.path("bronze", "timeseries"))
     clean, bad = CL.split_quarantine(CL.clean_measurements(ts, sensors=sensors, scope=scope))
     write_layer(CL.sort_series(clean), lake.path("silver", "timeseries_clean"))
     write_layer(bad, lake.path("silver", "timeseries_quarantine"))
     res = read_layer(spark, lake.path("bronze", "results"))
     lines = CL.clean_results(res)
-    write_layer(LB.worst_label(lines), lake.path("silver", "results_dedup"))
+    attrs = [c for c in (K.PRODUCT, K.STAND) if c in lines.columns]
+    write_layer(LB.worst_label(lines, attributes=attrs, order=result_order),
+                lake.path("silver", "results_dedup"))
     written = {"timeseries_clean": lake.path("silver", "timeseries_clean"),
                "timeseries_quarantine": lake.path("silver", "timeseries_quarantine"),
                "results_dedup": lake.path("silver", "results_dedup")}

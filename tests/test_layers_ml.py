@@ -160,3 +160,26 @@ def test_bucketed_fact_join_has_no_exchange(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql("DROP TABLE IF EXISTS assay_fact_b8")
         spark.sql("DROP TABLE IF EXISTS assay_pred_b8")
+
+
+def test_medallion_fact_equals_sql(spark):
+    import math
+    import __spark_entry__ as E
+    from oracle_compare import duck
+    from conftest import SF01
+    from assay.plans.queries_io import medallion_fact_sql
+    got = E.queries()["medallion_fact"](spark, SF01)
+    g = {r[K.SERIAL]: r.asDict() for r in got.collect()}
+    con = duck(SF01)
+    rel = con.execute(medallion_fact_sql())
+    cols = [c[0] for c in rel.description]
+    want = {r[0]: dict(zip(cols, r)) for r in rel.fetchall()}
+    assert set(g) == set(want) and len(g) > 100
+    assert sorted(got.columns) == sorted(cols)
+    for k, w in want.items():
+        for c, v in w.items():
+            a = g[k][c]
+            if isinstance(v, float) and v is not None and a is not None:
+                assert math.isclose(a, v, rel_tol=1e-6, abs_tol=1e-6), (k, c, a, v)
+            else:
+                assert a == v, (k, c, a, v)
