@@ -115,7 +115,12 @@ def bronze(spark: SparkSession, sources: dict[str, str], lake: Lake,
     counts = {}
     for name, path in sources.items():
         cols = (columns or {}).get(name)
-        df = read_delimited(spark, path, columns=cols, recursive=True)
+        try:
+            df = read_delimited(spark, path, columns=cols, recursive=True)
+        except AnalysisException:
+            if name in ("timeseries", "results"):
+                raise
+            continue                     # optional folder (warranty, catalogue) absent
         out = write_layer(df, lake.path("bronze", name))
         counts[name] = read_layer(spark, out)
     return AU.layer_counts(counts)

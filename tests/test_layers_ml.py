@@ -183,3 +183,22 @@ def test_medallion_fact_equals_sql(spark):
                 assert math.isclose(a, v, rel_tol=1e-6, abs_tol=1e-6), (k, c, a, v)
             else:
                 assert a == v, (k, c, a, v)
+
+
+def test_jobs_whole_workflow(spark):
+    """bronze -> silver -> gold -> model on source folders written from the
+    test tables (reference folder layout), as the command-line jobs run it."""
+    from assay.plans import jobs as J
+    from conftest import SF01
+    root = scratch_path(spark, "jobs-src")
+    M.write_sources(spark, SF01, root)
+    lake = M.Lake(scratch_path(spark, "jobs-lake"))
+    b = {r["table"]: r["rows"] for r in M.bronze(spark, J.source_paths(root), lake).collect()}
+    assert b["timeseries"] == 10000 and b["results"] == 15000
+    M.silver(spark, lake, sensors=M.SENSORS_D, scope="path", result_order=["TEST_DATE", "TEST_ID"])
+    g = {r["table"]: r["rows"] for r in M.gold(spark, lake, sensors=M.SENSORS_D).collect()}
+    assert g["fait_test_moteur"] > 100
+    out = J.run_model(spark, lake, sensors=M.SENSORS_D, models=("lr", "rf"))
+    assert out["leaderboard"].count() == 2
+    split = spark.read.parquet(lake.path("ml", "split"))
+    assert out["scored"].count() == split.where("split = 'test'").count()
