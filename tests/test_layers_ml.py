@@ -34,6 +34,8 @@ def test_bronze_silver_gold(spark):
     assert s["results_dedup"]["units"] == 12
     g = {r["table"]: r for r in M.gold(spark, lake).collect()}
     assert g["fait_test_moteur"]["rows"] == 2 and g["dim_produit"]["rows"] == 3
+    csv = spark.read.option("header", True).csv(lake.path("gold", "dataset_ml") + "/csv")
+    assert csv.count() == g["dataset_ml"]["rows"] == 2      # flat export: parquet + CSV
     fact = spark.read.parquet(lake.path("gold", "fait_test_moteur"))
     assert len([c for c in fact.columns if c.endswith(tuple("_" + s for s in K.STATS))]) == 60
     assert [c for c in fact.columns if c.startswith("_leak_")] == K.LEAK_COLUMNS
@@ -198,6 +200,7 @@ def test_jobs_whole_workflow(spark):
     M.silver(spark, lake, sensors=M.SENSORS_D, scope="path", result_order=["TEST_DATE", "TEST_ID"])
     g = {r["table"]: r["rows"] for r in M.gold(spark, lake, sensors=M.SENSORS_D).collect()}
     assert g["fait_test_moteur"] > 100
+    J.main(["gold", "--lake", lake.root, "--sensors", ",".join(M.SENSORS_D)])   # CLI path
     out = J.run_model(spark, lake, sensors=M.SENSORS_D, models=("lr", "rf"))
     assert out["leaderboard"].count() == 2
     split = spark.read.parquet(lake.path("ml", "split"))
