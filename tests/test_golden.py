@@ -200,3 +200,24 @@ def test_published_confusion_identities(spark):
     out = {r[K.OUTCOME]: r["count"] for r in
            EV.outcome_counts(EV.with_outcome(df)).collect()}
     assert out == {K.OUTCOME_TP: 3, K.OUTCOME_FP: 11, K.OUTCOME_TN: 214, K.OUTCOME_FN: 3}
+
+
+def test_bus_records_equal_file_source(spark, bronze_ts):
+    """Messages (key = test file name, value = one ';' line) parse into the
+    same bronze rows, so silver and features are identical to the file path."""
+    from assay.streaming.bus import parse_bus_records
+    rows = bronze_ts.select(SOURCE_NAME, *TS_COLS).collect()
+    msgs = [(r[SOURCE_NAME].encode(),
+             ";".join("" if r[c] is None else r[c] for c in TS_COLS).encode(),
+             "bench", 0, i, None) for i, r in enumerate(rows)]
+    records = spark.createDataFrame(
+        msgs, "key binary, value binary, topic string, partition int, offset long, "
+              "timestamp timestamp")
+    bus = parse_bus_records(records, TS_COLS)
+    f_bus = {r[K.SERIAL]: r for r in FE.sequence_features(
+        CL.clean_measurements(bus)).collect()}
+    f_file = {r[K.SERIAL]: r for r in FE.sequence_features(
+        CL.clean_measurements(bronze_ts)).collect()}
+    assert f_bus.keys() == f_file.keys()
+    for k in f_file:
+        assert f_bus[k].asDict() == f_file[k].asDict()
