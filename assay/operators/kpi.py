@@ -81,3 +81,17 @@ def with_scoring_metadata(scored: DataFrame, model_version: str,
     """BI10: scoring time and model version on every scored row."""
     ts = F.current_timestamp() if scored_at is None else F.lit(scored_at).cast("timestamp")
     return scored.withColumn("scored_at", ts).withColumn("model_version", F.lit(model_version))
+
+
+def top_features(importances: DataFrame, k: int = 2, feature: str = "Feature",
+                 importance: str = "Importance") -> list[str]:
+    """Names of the ``k`` most important features (reads k rows)."""
+    rows = importances.orderBy(F.desc(importance), F.asc(feature)).limit(k).collect()
+    return [r[feature] for r in rows]
+
+
+def sensor_pairs_by_importance(fact: DataFrame, importances: DataFrame, k: int = 2,
+                               key: str = K.SERIAL, label: str = K.LABEL) -> DataFrame:
+    """BI7 as the report builds it: the scatter data of the ``k`` features the
+    random forest ranks highest, coloured by label."""
+    return sensor_pairs(fact, top_features(importances, k), key, label)

@@ -205,3 +205,14 @@ def test_jobs_whole_workflow(spark):
     assert out["leaderboard"].count() == 2
     split = spark.read.parquet(lake.path("ml", "split"))
     assert out["scored"].count() == split.where("split = 'test'").count()
+
+
+def test_sensor_pairs_from_importances(spark):
+    from assay.operators import kpi as KP
+    imp = spark.createDataFrame([("Random Forest", "e_3", 0.5), ("Random Forest", "e_7", 0.3),
+                                 ("Random Forest", "e_1", 0.2)],
+                                "Model string, Feature string, Importance double")
+    df = B.vectors_c(spark, SF001)
+    pairs = KP.sensor_pairs_by_importance(df, imp, k=2)
+    assert pairs.columns == [K.SERIAL, K.LABEL, "e_3", "e_7"]
+    assert pairs.count() == df.count()
