@@ -121,6 +121,9 @@ def time_inversions(series: DataFrame, key: str = K.SERIAL, ts: str = K.TS,
     compared with the last row of the key's previous chunk through a table
     of at most (#keys + #chunks) boundary rows.
     """
+    if not order:
+        raise ValueError("time_inversions needs the arrival order columns (a total "
+                         "order within a unit); without them 'consecutive' is undefined")
     spark = series.sparkSession
     from assay.session import checkpoint_root
     checkpoint_root(spark)
