@@ -15,21 +15,24 @@ from pyspark.sql.types import StringType
 
 from assay import constants as K
 from assay.functions.scalar import line_label, parse_timestamp, serial_from_path, to_double
-from assay.sources.delimited import SOURCE_FILE
+from assay.sources.delimited import ARRIVAL, SOURCE_FILE
 
 
 def clean_measurements(raw: DataFrame, sensors: Sequence[str] = K.SENSORS,
                        path_col: str = SOURCE_FILE, scope: str = "name",
                        date: str = K.DATE, time: str = K.TIME, phase: str = K.PHASE,
-                       fmt: str = K.SOURCE_TS_FORMAT) -> DataFrame:
+                       fmt: str = K.SOURCE_TS_FORMAT, keep_arrival: bool = False) -> DataFrame:
     """PR1 + SC1-SC4: serial from the file path, timestamp from DATE + HEURE,
     sensors to double, constant sensors dropped (by not being listed).
-    Rows whose file carries no serial keep a NULL serial: see ``quarantine``."""
+    Rows whose file carries no serial keep a NULL serial: see ``quarantine``.
+    ``keep_arrival`` carries the arrival-order columns (for ``time_inversions``)."""
+    arrival = [c for c in ARRIVAL if keep_arrival and c in raw.columns]
     return raw.select(
         serial_from_path(path_col, scope).alias(K.SERIAL),
         parse_timestamp(date, time, fmt).alias(K.TS),
         F.col(phase).alias(K.PHASE),
         *[to_double(c).alias(c) for c in sensors],
+        *arrival,
     )
 
 

@@ -133,7 +133,8 @@ def silver(spark: SparkSession, lake: Lake, sensors=K.SENSORS, scope: str = "nam
     order of a unit's tests that picks its representative product / stand
     (the reference's ``first()`` has none)."""
     ts = read_layer(spark, lake.path("bronze", "timeseries"))
-    clean, bad = CL.split_quarantine(CL.clean_measurements(ts, sensors=sensors, scope=scope))
+    clean, bad = CL.split_quarantine(CL.clean_measurements(ts, sensors=sensors, scope=scope,
+                                                           keep_arrival=True))
     write_layer(CL.sort_series(clean), lake.path("silver", "timeseries_clean"))
     write_layer(bad, lake.path("silver", "timeseries_quarantine"))
     res = read_layer(spark, lake.path("bronze", "results"))

@@ -16,6 +16,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 SOURCE_FILE = "_source_file"
 SOURCE_NAME = "_source_name"
 INGESTED_AT = "_ingested_at"
+BLOCK_START = "_block_start"
+ROW_ID = "_row_id"
+# arrival order of a row in its source: file, split offset, position in the split
+ARRIVAL = [SOURCE_FILE, BLOCK_START, ROW_ID]
 
 
 def all_string_schema(columns: Sequence[str]) -> StructType:
@@ -48,10 +52,18 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
     return with_lineage(df) if lineage else df
 
 
-def with_lineage(df: DataFrame) -> DataFrame:
-    return (df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
-              .withColumn(SOURCE_NAME, F.col("_metadata.file_name"))
-              .withColumn(INGESTED_AT, F.current_timestamp()))
+def with_lineage(df: DataFrame, arrival: bool = True) -> DataFrame:
+    """Source file, file name, ingestion time and (batch only) the arrival
+    order: the split's start offset plus ``monotonically_increasing_id``,
+    which grows in read order inside a split. Re-reading the same files gives
+    the same splits, so the order is stable; bronze persists it."""
+    out = (df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+             .withColumn(SOURCE_NAME, F.col("_metadata.file_name"))
+             .withColumn(INGESTED_AT, F.current_timestamp()))
+    if arrival and not df.isStreaming:
+        out = (out.withColumn(BLOCK_START, F.col("_metadata.file_block_start"))
+                  .withColumn(ROW_ID, F.monotonically_increasing_id()))
+    return out
 
 
 def read_delimited_stream(spark: SparkSession, path: str, columns: Sequence[str],

@@ -115,12 +115,17 @@ def test_dirty_values_become_null_and_are_counted(bronze_ts, silver_ts):
     assert pf["PR_1_num"]["non_null_input"] == 5 and pf["PR_1_num"]["failed"] == 2
 
 
-def test_time_inversions_strict(spark, bronze_ts, silver_ts):
-    ordered = silver_ts.where(F.col(K.SERIAL) == "e" * 32) \
-        .withColumn("_row", F.monotonically_increasing_id())
+def test_time_inversions_strict(spark, bronze_ts):
+    from assay.sources.delimited import ARRIVAL
+    ordered = CL.clean_measurements(bronze_ts, keep_arrival=True) \
+        .where(F.col(K.SERIAL) == "e" * 32)
     for chunks in (1, 3):
-        r = AU.time_inversions(ordered, order=["_row"], chunks=chunks).first()
+        r = AU.time_inversions(ordered, order=ARRIVAL, chunks=chunks).first()
         assert (r["pairs"], r["inversions"]) == (4, 1)
+    # over every file: only the inverted one contributes
+    good, _ = CL.split_quarantine(CL.clean_measurements(bronze_ts, keep_arrival=True))
+    r = AU.time_inversions(good, order=ARRIVAL).first()
+    assert r["inversions"] == 1
 
 
 def test_constant_columns(silver_ts):
