@@ -4,6 +4,7 @@
     python -m assay.plans.jobs silver --lake DIR [--sensors A,B,...] [--scope name|path]
     python -m assay.plans.jobs gold   --lake DIR [--sensors ...] [--exact-median]
     python -m assay.plans.jobs model  --lake DIR [--sensors ...] [--threshold 0.05]
+    python -m assay.plans.jobs audit  --lake DIR [--sensors ...]
 
 ``--sources`` holds the four source folders of the reference layout
 (TimeSeries, Results, Warranty, ItemClassification; the last two optional),
@@ -19,15 +20,21 @@ from __future__ import annotations
 import argparse
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay import constants as K
+from assay.operators import audit as AU
+from assay.operators import clean as CL
+from assay.operators import evaluate as EV
 from assay.operators import features as FE
+from assay.operators import star as ST
 from assay.operators import model as MD
 from assay.operators import split as SP
 from assay.operators.kpi import with_scoring_metadata
 from assay.plans import medallion as M
+from assay.sources.delimited import ARRIVAL
 from assay.sources.layers import read_layer, write_layer
 
 # --- fixed values: source folder names of the reference layout --------------
@@ -90,9 +97,43 @@ def run_model(spark: SparkSession, lake: M.Lake, sensors=K.SENSORS,
             for name in ("leaderboard", "scored")}
 
 
+def run_audits(spark: SparkSession, lake: M.Lake, sensors=K.SENSORS) -> DataFrame:
+    """The data-quality findings of the layers, each written under
+    ``<lake>/audit/<name>``; returns one row per audit with its row count."""
+    ts = read_layer(spark, lake.path("silver", "timeseries_clean"))
+    fact = read_layer(spark, lake.path("gold", "fait_test_moteur"))
+    res = CL.clean_results(read_layer(spark, lake.path("bronze", "results")))
+    audits = {
+        "grain": AU.grain_check(fact),
+        "nulls": AU.null_audit(fact),
+        "constant_sensors": AU.constant_columns(ts, list(sensors)),
+        "contradictions": AU.contradictory_results(res),
+        "unknown_verdicts": AU.unknown_verdicts(res),
+        "series_vs_results": ST.key_overlap(ts, res),
+        "unmatched": ST.unmatched_keys(ts, res),
+        "positive_rate": EV.positive_rate(fact),
+    }
+    order = [c for c in ARRIVAL if c in ts.columns]
+    if order:
+        audits["time_inversions"] = AU.time_inversions(ts, order=order)
+    try:
+        war = read_layer(spark, lake.path("silver", "warranty_clean"))
+        audits["warranty_vs_results"] = ST.key_overlap(war, res)
+    except AnalysisException:
+        pass
+    try:
+        dim = read_layer(spark, lake.path("gold", "dim_produit"))
+        audits["catalogue_coverage"] = ST.catalogue_coverage(fact, dim)
+    except AnalysisException:
+        pass
+    for name, df in audits.items():
+        write_layer(df, lake.path("audit", name))
+    return AU.layer_counts({n: read_layer(spark, lake.path("audit", n)) for n in audits})
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="assay.plans.jobs")
-    ap.add_argument("step", choices=["bronze", "silver", "gold", "model"])
+    ap.add_argument("step", choices=["bronze", "silver", "gold", "model", "audit"])
     ap.add_argument("--lake", required=True)
     ap.add_argument("--sources")
     ap.add_argument("--sensors", default=",".join(K.SENSORS))
@@ -115,6 +156,8 @@ def main(argv=None) -> None:
         counts = M.silver(spark, lake, sensors=sensors, scope=a.scope, result_order=order)
     elif a.step == "gold":
         counts = M.gold(spark, lake, sensors=sensors, exact_median=a.exact_median)
+    elif a.step == "audit":
+        counts = run_audits(spark, lake, sensors=sensors)
     else:
         counts = run_model(spark, lake, sensors=sensors, threshold=a.threshold,
                            table=a.table)["leaderboard"]

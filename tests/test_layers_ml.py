@@ -201,6 +201,12 @@ def test_jobs_whole_workflow(spark):
     g = {r["table"]: r["rows"] for r in M.gold(spark, lake, sensors=M.SENSORS_D).collect()}
     assert g["fait_test_moteur"] > 100
     J.main(["gold", "--lake", lake.root, "--sensors", ",".join(M.SENSORS_D)])   # CLI path
+    audits = {r["table"]: r["rows"] for r in J.run_audits(spark, lake, M.SENSORS_D).collect()}
+    assert audits["grain"] == 1 and audits["time_inversions"] == 1
+    assert audits["unknown_verdicts"] == 2          # ' W' and 'g' texts of the binding
+    inv = spark.read.parquet(lake.path("audit", "time_inversions")).first()
+    assert inv["pairs"] == 10000 - spark.read.parquet(lake.path("silver", "timeseries_clean")) \
+        .select(K.SERIAL).distinct().count()
     out = J.run_model(spark, lake, sensors=M.SENSORS_D, models=("lr", "rf"))
     assert out["leaderboard"].count() == 2
     split = spark.read.parquet(lake.path("ml", "split"))
