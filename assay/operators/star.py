@@ -29,14 +29,16 @@ def dim_product(items: DataFrame, key: str = K.PRODUCT,
                 attributes: Sequence[str] = K.PRODUCT_ATTRIBUTES) -> DataFrame:
     """Key + the optional attributes that exist, one row per key.
 
-    Duplicates keep the smallest attribute tuple: deterministic, and a
-    ``min(struct)`` aggregate that combines map-side (no per-key window).
+    Duplicates keep the most complete row (fewest NULL attributes), then the
+    smallest attribute tuple: deterministic, and a ``min(struct)`` aggregate
+    that combines map-side (no per-key window).
     """
     attrs = [a for a in attributes if a in items.columns]
     if not attrs:
         return items.select(key).distinct()
+    nulls = sum((F.col(a).isNull().cast("int") for a in attrs), F.lit(0))
     return (items.groupBy(key)
-            .agg(F.min(F.struct(*[F.col(a) for a in attrs])).alias("_row"))
+            .agg(F.min(F.struct(nulls.alias("_nulls"), *[F.col(a) for a in attrs])).alias("_row"))
             .select(key, *[F.col(f"_row.{a}").alias(a) for a in attrs]))
 
 

@@ -179,6 +179,9 @@ def test_dimension_dedup_and_optional_columns(spark):
     assert dim["P1"]["GROUP"] == "G1" and dim["P1"]["STATUS"] == "old"   # deterministic winner
     assert dim["P2"]["GROUP"] == "G3"                                   # trimmed
     assert not any(c.startswith("_") for c in ST.dim_product(items).columns)
+    partial = spark.createDataFrame([("P9", None, "N1"), ("P9", "G9", "N2"), ("P9", "G9", None)],
+                                    "PRODUCT_NUMBER string, GROUP string, NATURE string")
+    assert ST.dim_product(partial).first()["NATURE"] == "N2"      # the complete row wins
     items2 = read_delimited(spark, os.path.join(FIXTURES, "items_nostatus"))
     assert ST.dim_product(items2).columns == [K.PRODUCT, "GROUP", "NATURE", "MODEL"]
 
