@@ -82,14 +82,19 @@ def write_sources(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]
     """Write binding D's source folders under ``root`` (a fresh folder).
 
     Time series: one folder per unit (``partitionBy``), the serial in the
-    folder name. The rows are range-partitioned on (folder, date, time)
+    folder name. The rows are range-partitioned on (folder, time, date)
     first: each task holds a contiguous run of units, so a folder gets few
     files, and a unit with a third of all rows is spread over many tasks
     instead of one (a hash repartition on the folder would give it one)."""
     ts_path, res_path = f"{root}/TimeSeries", f"{root}/Results"
     ev = source_events(spark, sf_dir)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (ev.repartitionByRange(n, "_test", K.DATE, K.TIME).write.mode("overwrite")
+    # arrival order inside a unit's files: HEURE text, then DATE text (a
+    # deliberately scrambled order, so the files carry genuine time
+    # inversions); range partitions and in-file sort use the same keys, so the
+    # order across a unit's files is the same global order
+    (ev.repartitionByRange(n, "_test", K.TIME, K.DATE)
+     .sortWithinPartitions("_test", K.TIME, K.DATE).write.mode("overwrite")
      .partitionBy("_test")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("header", True).option("sep", ";").csv(ts_path))

@@ -205,3 +205,23 @@ def q_medallion_fact(spark, d):
              result_order=["TEST_DATE", "TEST_ID"])
     M.gold(spark, lake, sensors=M.SENSORS_D)
     return read_layer(spark, lake.path("gold", "fait_test_moteur"))
+
+
+@query("file_time_inversions", S.rounded("""
+WITH e AS (SELECT md5(CAST(user_id AS VARCHAR)) AS s, date_trunc('second', ts) AS t,
+                  strftime(ts, '%d/%m/%Y') AS d, strftime(ts, '%H:%M:%S') AS h FROM events),
+l AS (SELECT t, lag(t) OVER (PARTITION BY s ORDER BY h, d) AS p FROM e)
+SELECT count(p) AS pairs, count(*) FILTER (WHERE t < p) AS inversions,
+       coalesce(CAST(count(*) FILTER (WHERE t < p) AS DOUBLE) / nullif(count(p), 0), 0.0)
+         AS share
+FROM l""", ["share"]))
+def q_file_time_inversions(spark, d):
+    """QA6 on source files: readings in file arrival order (file, split
+    offset, row in split, kept from bronze) whose time goes backwards."""
+    from assay.operators.audit import time_inversions
+    from assay.sources.delimited import ARRIVAL
+    src = _sources(spark, d)
+    raw = M.read_bronze_measurements(spark, src["timeseries"])
+    clean = CL.clean_measurements(raw, sensors=M.SENSORS_D, scope="path", keep_arrival=True)
+    good, _ = CL.split_quarantine(clean)
+    return time_inversions(good, order=ARRIVAL)
