@@ -1,7 +1,6 @@
 """Results must not depend on the partition layout (traps 7, 8, 17) and the
 chunked (skew-safe) windows must equal their one-partition definitions."""
 
-import pandas as pd
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.linalg import Vectors

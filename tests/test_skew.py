@@ -1,7 +1,6 @@
 """A unit holding a third of all rows: results stay exact and no operator
 gathers that unit into one task."""
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
