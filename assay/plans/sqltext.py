@@ -75,11 +75,6 @@ SELECT l_orderkey AS SERIAL_NUMBER,
   {feature_select(SENSORS_B_SQL, 'l_shipdate', 'l_returnflag', rnd=_raw)}
 FROM lineitem GROUP BY l_orderkey"""
 
-FEATURES_A_RAW = f"""
-SELECT user_id AS SERIAL_NUMBER,
-  {feature_select(SENSORS_A_SQL, 'ts', 'event_type', rnd=_raw)}
-FROM events GROUP BY user_id"""
-
 FIRST_PART_B = """
 SELECT l_orderkey, first(l_partkey ORDER BY l_linenumber, l_partkey) AS PRODUCT_NUMBER
 FROM lineitem GROUP BY l_orderkey"""
@@ -101,10 +96,6 @@ FACT_B_RAW = f"""
 SELECT f.*, r.LABEL, r.PRODUCT_NUMBER, r.TEST_STAND
 FROM ({FEATURES_B_RAW}) f JOIN ({LABELS_B}) r ON f.SERIAL_NUMBER = r.SERIAL_NUMBER"""
 
-FACT_A_RAW = f"""
-SELECT f.*, r.LABEL, r.TEST_STAND
-FROM ({FEATURES_A_RAW}) f JOIN ({LABELS_A}) r ON f.SERIAL_NUMBER = r.SERIAL_NUMBER"""
-
 FACT_A = f"""
 SELECT f.*, r.LABEL, r.TEST_STAND
 FROM ({FEATURES_A}) f JOIN ({LABELS_A}) r ON f.SERIAL_NUMBER = r.SERIAL_NUMBER"""
