@@ -141,6 +141,8 @@ def main(argv=None) -> None:
     ap.add_argument("--result-order", default="",
                     help="comma-separated columns ordering a unit's tests (first = representative)")
     ap.add_argument("--exact-median", action="store_true")
+    ap.add_argument("--no-sort", action="store_true",
+                    help="silver: keep arrival order instead of the (unit, time) sort")
     ap.add_argument("--threshold", type=float, default=K.FINAL_THRESHOLD)
     ap.add_argument("--table")
     a = ap.parse_args(argv)
@@ -153,7 +155,8 @@ def main(argv=None) -> None:
         counts = M.bronze(spark, source_paths(a.sources), lake)
     elif a.step == "silver":
         order = [c for c in a.result_order.split(",") if c] or None
-        counts = M.silver(spark, lake, sensors=sensors, scope=a.scope, result_order=order)
+        counts = M.silver(spark, lake, sensors=sensors, scope=a.scope, result_order=order,
+                          sort=not a.no_sort)
     elif a.step == "gold":
         counts = M.gold(spark, lake, sensors=sensors, exact_median=a.exact_median)
     elif a.step == "audit":

@@ -132,15 +132,21 @@ def bronze(spark: SparkSession, sources: dict[str, str], lake: Lake,
 
 
 def silver(spark: SparkSession, lake: Lake, sensors=K.SENSORS, scope: str = "name",
-           result_order: list[str] | None = None) -> DataFrame:
+           result_order: list[str] | None = None, sort: bool = True) -> DataFrame:
     """IO8: typed series (sorted by unit, time), worst-verdict labels,
     trimmed product classification and warranty. ``result_order`` is the total
     order of a unit's tests that picks its representative product / stand
-    (the reference's ``first()`` has none)."""
+    (the reference's ``first()`` has none).
+
+    ``sort`` (the reference's behaviour) range-sorts the series on (unit,
+    time): a full shuffle of every reading, paid once, after which parquet
+    min/max statistics on the unit let per-unit reads skip files. The gold
+    aggregation re-groups by unit anyway, so ``sort=False`` writes the rows in
+    arrival order with no shuffle at all."""
     ts = read_layer(spark, lake.path("bronze", "timeseries"))
     clean, bad = CL.split_quarantine(CL.clean_measurements(ts, sensors=sensors, scope=scope,
                                                            keep_arrival=True))
-    write_layer(CL.sort_series(clean), lake.path("silver", "timeseries_clean"))
+    write_layer(CL.sort_series(clean) if sort else clean, lake.path("silver", "timeseries_clean"))
     write_layer(bad, lake.path("silver", "timeseries_quarantine"))
     res = read_layer(spark, lake.path("bronze", "results"))
     lines = CL.clean_results(res)
