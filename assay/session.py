@@ -32,9 +32,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) is a
-    fresh folder created and registered, so ``DataFrame.checkpoint()`` and the
-    scratch tables below land in one place every executor can read.
+    The cluster's setting always wins. Only when it is unset and the master is
+    local (tests) is a fresh folder created and registered; on a cluster an
+    unset setting is an error, so ``DataFrame.checkpoint()`` and the scratch
+    tables below always land in one place every executor can read.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,6 +43,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a folder "
+                "every executor can read (a machine-local temporary folder would not do)")
         configured = tempfile.mkdtemp(prefix="assay-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
