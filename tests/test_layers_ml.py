@@ -223,3 +223,18 @@ def test_sensor_pairs_from_importances(spark):
     pairs = KP.sensor_pairs_by_importance(df, imp, k=2)
     assert pairs.columns == [K.SERIAL, K.LABEL, "e_3", "e_7"]
     assert pairs.count() == df.count()
+
+
+def test_bronze_partitioned_by_ingest_date_prunes(spark):
+    import datetime as dt
+    lake = M.Lake(scratch_path(spark, "lake-dated"))
+    src = {"timeseries": os.path.join(FIXTURES, "timeseries"),
+           "results": os.path.join(FIXTURES, "results")}
+    M.bronze(spark, src, lake, columns={"timeseries": TS_COLS}, by_ingest_date=True)
+    ts = spark.read.parquet(lake.path("bronze", "timeseries"))
+    today = ts.select(F.max(M.INGEST_DATE)).first()[0]
+    q = ts.where(F.col(M.INGEST_DATE) == F.lit(today))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_ingest_date" in plan
+    assert q.count() == 34
+    assert ts.where(F.col(M.INGEST_DATE) == F.lit(today - dt.timedelta(days=1))).count() == 0
