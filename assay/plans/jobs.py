@@ -142,7 +142,7 @@ def main(argv=None) -> None:
                     help="comma-separated columns ordering a unit's tests (first = representative)")
     ap.add_argument("--exact-median", action="store_true")
     ap.add_argument("--by-ingest-date", action="store_true",
-                    help="bronze: partition by ingestion day and append")
+                    help="bronze: partition by ingestion day, replacing only that day")
     ap.add_argument("--no-sort", action="store_true",
                     help="silver: keep arrival order instead of the (unit, time) sort")
     ap.add_argument("--threshold", type=float, default=K.FINAL_THRESHOLD)
@@ -155,8 +155,7 @@ def main(argv=None) -> None:
         if not a.sources:
             ap.error("bronze needs --sources")
         counts = M.bronze(spark, source_paths(a.sources), lake,
-                          by_ingest_date=a.by_ingest_date,
-                          mode="append" if a.by_ingest_date else "overwrite")
+                          by_ingest_date=a.by_ingest_date)
     elif a.step == "silver":
         order = [c for c in a.result_order.split(",") if c] or None
         counts = M.silver(spark, lake, sensors=sensors, scope=a.scope, result_order=order,

@@ -119,12 +119,13 @@ INGEST_DATE = "_ingest_date"
 
 def bronze(spark: SparkSession, sources: dict[str, str], lake: Lake,
            columns: dict[str, list[str] | None] | None = None,
-           by_ingest_date: bool = False, mode: str = "overwrite") -> DataFrame:
+           by_ingest_date: bool = False) -> DataFrame:
     """IO1-IO7: each source folder -> bronze parquet, all strings + lineage.
 
-    ``by_ingest_date`` partitions the bronze folders by ingestion day, so an
-    incremental run can ``mode="append"`` a day and later reads that filter
-    on ``_ingest_date`` prune whole folders at planning time."""
+    ``by_ingest_date`` partitions the bronze folders by ingestion day and
+    overwrites only the days being written (dynamic partition overwrite): a
+    daily run adds or replaces its day, and reads that filter on
+    ``_ingest_date`` prune whole folders at planning time."""
     counts = {}
     for name, path in sources.items():
         cols = (columns or {}).get(name)
@@ -136,8 +137,10 @@ def bronze(spark: SparkSession, sources: dict[str, str], lake: Lake,
             continue                     # optional folder (warranty, catalogue) absent
         if by_ingest_date:
             df = df.withColumn(INGEST_DATE, F.to_date(F.col("_ingested_at")))
-        out = write_layer(df, lake.path("bronze", name), mode=mode,
-                          partition_by=[INGEST_DATE] if by_ingest_date else None)
+            out = write_layer(df, lake.path("bronze", name), partition_by=[INGEST_DATE],
+                              partitionOverwriteMode="dynamic")
+        else:
+            out = write_layer(df, lake.path("bronze", name))
         counts[name] = read_layer(spark, out)
     return AU.layer_counts(counts)
 

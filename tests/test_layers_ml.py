@@ -238,3 +238,6 @@ def test_bronze_partitioned_by_ingest_date_prunes(spark):
     assert "PartitionFilters: [isnotnull(_ingest_date" in plan
     assert q.count() == 34
     assert ts.where(F.col(M.INGEST_DATE) == F.lit(today - dt.timedelta(days=1))).count() == 0
+    # a re-run of the same day replaces it (dynamic partition overwrite), no duplicates
+    M.bronze(spark, src, lake, columns={"timeseries": TS_COLS}, by_ingest_date=True)
+    assert spark.read.parquet(lake.path("bronze", "timeseries")).count() == 34
