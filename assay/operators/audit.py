@@ -30,6 +30,14 @@ def _unpivot(one_row: DataFrame, rows: Sequence[Sequence[tuple[str, Column]]]) -
     return one_row.select(F.inline(F.array(*structs)))
 
 
+def preview(df: DataFrame, n: int = 10, order_by: Sequence[str] | None = None) -> DataFrame:
+    """SO2: the first ``n`` rows. With ``order_by`` (default: the first
+    column) it is a deterministic top-n (TakeOrderedAndProject), not whatever
+    rows the first task returns."""
+    cols = list(order_by) if order_by else [df.columns[0]]
+    return df.orderBy(*[_q(c) for c in cols]).limit(n)
+
+
 def grain_check(df: DataFrame, key: str = K.SERIAL) -> DataFrame:
     """QA1/AG12: rows vs distinct keys; one row per key iff equal."""
     return (df.agg(F.count(F.lit(1)).alias("total_rows"),

@@ -39,14 +39,17 @@ def worst_label(lines: DataFrame, key: str = K.SERIAL, line_label_col: str = "LA
     return lines.groupBy(key).agg(*aggs)
 
 
-def label_distribution(units: DataFrame, label: str = K.LABEL) -> DataFrame:
+def label_distribution(units: DataFrame, label: str = K.LABEL,
+                       digits: int | None = None) -> DataFrame:
     """Count and share (percent, double) of each label value, ordered by label.
+    ``digits=2`` gives the reference's display rounding.
 
     The window for the total spans the label values only (two rows), never
     the units.
     """
     counts = units.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
     total = F.sum("count").over(Window.partitionBy(F.lit(1)))
+    pct = F.col("count").cast("double") * 100.0 / total
     return (counts
-            .withColumn("percentage", F.col("count").cast("double") * 100.0 / total)
+            .withColumn("percentage", F.round(pct, digits) if digits is not None else pct)
             .orderBy(label))

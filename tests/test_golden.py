@@ -229,3 +229,13 @@ def test_bus_records_equal_file_source(spark, bronze_ts):
     assert f_bus.keys() == f_file.keys()
     for k in f_file:
         assert f_bus[k].asDict() == f_file[k].asDict()
+
+
+def test_preview_and_display_rounding(spark, results):
+    lab = LB.worst_label(CL.clean_results(results))
+    head = AU.preview(lab, 3).collect()
+    assert [r[K.SERIAL] for r in head] == sorted(r[K.SERIAL] for r in lab.collect())[:3]
+    plan = AU.preview(lab, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+    pct = {r[K.LABEL]: r["percentage"] for r in LB.label_distribution(lab, digits=2).collect()}
+    assert pct == {0: 58.33, 1: 41.67}
