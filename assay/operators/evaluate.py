@@ -7,7 +7,7 @@ one). Curves (ROC / PR) never sort all rows in one task: rows are first
 reduced to one row per distinct score (map-side), the distinct scores are
 range-partitioned into chunks, running sums are taken inside each chunk and
 offset by the totals of the preceding chunks (a table with one row per
-chunk).
+chunk). ROC and PR areas come from one such table (``curve_areas``).
 """
 
 from __future__ import annotations
@@ -141,7 +141,8 @@ def _score_groups(df: DataFrame, label: str, score: str) -> DataFrame:
 def _running_by_score(g: DataFrame, chunks: int) -> DataFrame:
     """Running sums of _pos and _n over decreasing score, without one-task
     windows: chunk = range partition of the distinct scores (descending),
-    fixed by a reliable checkpoint because the partition index is data here.
+    fixed by a reliable checkpoint because the partition index is data here
+    (and every later read of the table hits the checkpoint, not the scores).
     Adds cum_pos, cum_n (inclusive) and the totals tot_pos, tot_n."""
     from assay.session import checkpoint_root
     checkpoint_root(g.sparkSession)
@@ -169,44 +170,57 @@ def _chunks(df: DataFrame, chunks: int | None) -> int:
     return chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def roc_auc(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABILITY,
-            chunks: int | None = None) -> DataFrame:
-    """EV3: exact area under ROC, ties counted one half (equals the binary
-    evaluator with ``numBins=0``)."""
-    r = _running_by_score(_score_groups(df, label, score), _chunks(df, chunks))
-    neg = F.col("_n") - F.col("_pos")
-    one = r.agg(F.sum(neg * (F.col("cum_pos") - F.col("_pos") / 2.0)).alias("_area"),
-                F.sum("_pos").alias("_P"), F.sum(neg).alias("_N"))
-    return one.select(F.try_divide(F.col("_area"), F.col("_P") * F.col("_N")).alias("roc_auc"))
-
-
 def pr_curve(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABILITY,
              chunks: int | None = None) -> DataFrame:
-    """Points (threshold, recall, precision) per distinct score, descending."""
+    """Points (threshold, recall, precision, ...) per distinct score."""
     r = _running_by_score(_score_groups(df, label, score), _chunks(df, chunks))
-    return r.select(F.col("_s").alias("threshold"), "_chunk",
-                    F.try_divide(F.col("cum_pos"), F.col("tot_pos")).alias("recall"),
-                    F.try_divide(F.col("cum_pos"), F.col("cum_n")).alias("precision"))
+    return (r.withColumnRenamed("_s", "threshold")
+            .withColumn("recall", F.try_divide(F.col("cum_pos"), F.col("tot_pos")))
+            .withColumn("precision", F.try_divide(F.col("cum_pos"), F.col("cum_n"))))
 
 
-def pr_auc(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABILITY,
-           chunks: int | None = None) -> DataFrame:
-    """EV4: trapezoid area under (recall, precision), first point
-    (0, precision at the highest score) -- the binary evaluator's rule."""
+def curve_areas(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABILITY,
+                chunks: int | None = None) -> DataFrame:
+    """EV3 + EV4 from one running-sum table: one row with
+
+    * ``roc_auc``: exact area under ROC, ties counted one half;
+    * ``pr_auc``: trapezoid area under (recall, precision) with the first
+      point (0, precision at the highest score) -- the binary evaluator's rule.
+
+    Both equal the evaluator with ``numBins=0``. The previous PR point of a
+    chunk's first row is the last point of the chunk above (one row per chunk).
+    """
     pts = pr_curve(df, label, score, chunks)
-    # previous point: lag inside a chunk, else the last point of the previous
-    # chunk (one row per chunk).
     w = Window.partitionBy("_chunk").orderBy(F.desc("threshold"))
     last = pts.groupBy("_chunk").agg(
         F.min_by(F.struct("recall", "precision"), F.col("threshold")).alias("_l"))
-    wl = Window.orderBy("_chunk")
-    prev_chunk = last.select(F.col("_chunk"), F.lag("_l").over(wl).alias("_pl"))
+    prev_chunk = last.select(F.col("_chunk"), F.lag("_l").over(Window.orderBy("_chunk")).alias("_pl"))
     p = (pts.join(F.broadcast(prev_chunk), "_chunk")
          .withColumn("_r0", F.coalesce(F.lag("recall").over(w), F.col("_pl.recall"), F.lit(0.0)))
          .withColumn("_q0", F.coalesce(F.lag("precision").over(w), F.col("_pl.precision"),
                                        F.col("precision"))))
-    return p.agg(F.sum((F.col("recall") - F.col("_r0")) *
-                       (F.col("precision") + F.col("_q0")) / 2.0).alias("pr_auc"))
+    neg = F.col("_n") - F.col("_pos")
+    return p.agg(
+        F.try_divide(F.sum(neg * (F.col("cum_pos") - F.col("_pos") / 2.0)),
+                     F.sum("_pos") * F.sum(neg)).alias("roc_auc"),
+        F.sum((F.col("recall") - F.col("_r0")) *
+              (F.col("precision") + F.col("_q0")) / 2.0).alias("pr_auc"))
+
+
+def roc_auc(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABILITY,
+            chunks: int | None = None) -> DataFrame:
+    """EV3: exact area under ROC, ties counted one half (equals the binary
+    evaluator with ``numBins=0``); ROC needs only the running positives."""
+    r = _running_by_score(_score_groups(df, label, score), _chunks(df, chunks))
+    neg = F.col("_n") - F.col("_pos")
+    return r.agg(F.try_divide(F.sum(neg * (F.col("cum_pos") - F.col("_pos") / 2.0)),
+                              F.sum("_pos") * F.sum(neg)).alias("roc_auc"))
+
+
+def pr_auc(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABILITY,
+           chunks: int | None = None) -> DataFrame:
+    """EV4: exact PR-AUC (see ``curve_areas``)."""
+    return curve_areas(df, label, score, chunks).select("pr_auc")
 
 
 def positive_rate(fact: DataFrame, label: str = K.LABEL) -> DataFrame:
