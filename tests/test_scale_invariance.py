@@ -103,3 +103,10 @@ def test_exact_split_for_rare_class(spark):
     assert sorted(map(tuple, s.values)) == sorted(map(tuple, again.values))
     with pytest.raises(ValueError):
         SP.stratified_split_exact(f.select(K.SERIAL, K.LABEL), max_exact_rows=10)
+
+
+def test_curve_areas_agree_with_single_metrics(spark):
+    sc = B.scores_e(spark, SF001)
+    both = EV.curve_areas(sc, chunks=3).first()
+    assert both["roc_auc"] == pytest.approx(EV.roc_auc(sc, chunks=4).first()["roc_auc"], abs=1e-12)
+    assert both["pr_auc"] == pytest.approx(EV.pr_auc(sc, chunks=1).first()["pr_auc"], abs=1e-12)
