@@ -1,19 +1,19 @@
 """SQL of the operators that SQL can express, for another engine to run on the
 same tables."""
 
-_WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 LINE_DEDUP = r"""
 WITH cut AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
-win AS (SELECT doc_id, at, lines[at] AS a, lines[at + 1] AS b, lines[at + 2] AS c
-        FROM (SELECT doc_id, lines, unnest(range(1, len(lines) - 1)) AS at FROM cut WHERE len(lines) >= 3)),
-later AS (SELECT doc_id, at, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, at) AS nth FROM win),
+win AS (SELECT doc_id, pos, lines[pos] AS a, lines[pos + 1] AS b, lines[pos + 2] AS c
+        FROM (SELECT doc_id, lines, unnest(range(1, len(lines) - 1)) AS pos FROM cut WHERE len(lines) >= 3)),
+later AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) AS nth FROM win),
 lost AS (SELECT doc_id, list(DISTINCT line) AS gone
-         FROM (SELECT doc_id, unnest(range(at, at + 3)) AS line FROM later WHERE nth > 1) GROUP BY doc_id)
+         FROM (SELECT doc_id, unnest(range(pos, pos + 3)) AS line FROM later WHERE nth > 1) GROUP BY doc_id)
 SELECT c.doc_id,
        CASE WHEN gone IS NULL THEN text
             ELSE coalesce(array_to_string(list_transform(
-                 list_filter(range(1, len(lines) + 1), i -> NOT list_contains(gone, i)), i -> lines[i]), chr(10)), '') END AS text,
+                 list_filter(range(1, len(lines) + 1), lambda i: NOT list_contains(gone, i)), lambda i: lines[i]), chr(10)), '') END AS text,
        CAST(CASE WHEN text IS NULL THEN 0 ELSE len(lines) END AS BIGINT) AS n_lines,
        CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed
 FROM cut c LEFT JOIN lost l ON c.doc_id = l.doc_id
@@ -25,17 +25,17 @@ WITH RECURSIVE sized AS (
 share AS (SELECT source, CAST(sum(size) AS BIGINT) AS tokens FROM sized GROUP BY source),
 total AS (SELECT CAST(sum(tokens) AS BIGINT) AS t, count(*) AS s, list(tokens) AS ts FROM share),
 plain AS (SELECT h + 0.5 * (ln(s) - h) AS target FROM (
-  SELECT s, -list_sum(list_transform(ts, x -> x / t::DOUBLE * ln(x / t::DOUBLE))) AS h FROM total)),
+  SELECT s, -list_sum(list_transform(ts, lambda x: x / t::DOUBLE * ln(x / t::DOUBLE))) AS h FROM total)),
 steps(lo_e, hi_e, lo_r, hi_r) AS (
   SELECT 0, 1048576, -1, 1048576
   UNION ALL
   SELECT CASE WHEN hi_e - lo_e > 1 AND flat THEN me ELSE lo_e END, CASE WHEN hi_e - lo_e > 1 AND NOT flat THEN me ELSE hi_e END,
          CASE WHEN hi_r - lo_r > 1 AND NOT calm THEN mr ELSE lo_r END, CASE WHEN hi_r - lo_r > 1 AND calm THEN mr ELSE hi_r END
   FROM (SELECT *, ln(ze) - zxe / ze >= target AS flat, top / zr * t <= 4.0 AS calm FROM (
-    SELECT *, list_sum(list_transform(ts, x -> exp(me / 1048576.0::DOUBLE * ln(x / t::DOUBLE)))) AS ze,
-           list_sum(list_transform(ts, x -> exp(me / 1048576.0::DOUBLE * ln(x / t::DOUBLE)) * (me / 1048576.0::DOUBLE * ln(x / t::DOUBLE)))) AS zxe,
-           list_sum(list_transform(ts, x -> exp(mr / 1048576.0::DOUBLE * ln(x / t::DOUBLE)))) AS zr,
-           list_max(list_transform(ts, x -> exp(mr / 1048576.0::DOUBLE * ln(x / t::DOUBLE)) / x)) AS top
+    SELECT *, list_sum(list_transform(ts, lambda x: exp(me / 1048576.0::DOUBLE * ln(x / t::DOUBLE)))) AS ze,
+           list_sum(list_transform(ts, lambda x: exp(me / 1048576.0::DOUBLE * ln(x / t::DOUBLE)) * (me / 1048576.0::DOUBLE * ln(x / t::DOUBLE)))) AS zxe,
+           list_sum(list_transform(ts, lambda x: exp(mr / 1048576.0::DOUBLE * ln(x / t::DOUBLE)))) AS zr,
+           list_max(list_transform(ts, lambda x: exp(mr / 1048576.0::DOUBLE * ln(x / t::DOUBLE)) / x)) AS top
     FROM (SELECT *, (lo_e + hi_e) // 2 AS me, (lo_r + hi_r + 2) // 2 - 1 AS mr FROM steps, total, plain
           WHERE hi_e - lo_e > 1 OR hi_r - lo_r > 1)))),
 best AS (SELECT greatest(max(lo_e), min(hi_r)) / 1048576.0::DOUBLE AS e FROM steps),
@@ -57,7 +57,7 @@ JACCARD = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, {words} AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-        ELSE list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' ')) END) AS g FROM w),
+        ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
