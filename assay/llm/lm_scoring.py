@@ -26,39 +26,36 @@ SHORT = 23            # classes of words of up to three bytes; the rest go by en
 END = b"\xff"         # never a byte of UTF-8 text
 SLOTS = 1 << 12       # hashed feature rows
 HISTORY = CLASSES ** 3
-WORDS_HELD = 300_000
-_SEEN: dict[bytes, tuple[int, int]] = {}
 
 
-def word_key(word: bytes) -> tuple[int, int]:
-    """(64-bit hash, class): class 0 ends a text, short words are classed by a
-    hash of themselves, longer ones by a hash of their last letters."""
-    h = xxhash.xxh3_64_intdigest(word)
-    if word == END:
-        return h, 0
-    if len(word) <= 3:
-        return h, 1 + h % SHORT
-    tail = word.rstrip(b".,;:!?|&*$%#") or word
-    return h, 1 + SHORT + xxhash.xxh3_64_intdigest(tail[-2:]) % (CLASSES - 1 - SHORT)
+class _Endings(dict):
+    """Class of a word by its last four bytes: 0 ends a text, words of up to
+    three bytes are classed by a hash of themselves, longer ones by a hash of
+    their last letters."""
+
+    def __missing__(self, end: bytes) -> int:
+        if end == END:
+            cls = 0
+        elif len(end) <= 3:
+            cls = 1 + xxhash.xxh3_64_intdigest(end) % SHORT
+        else:
+            tail = end.rstrip(b".,;:!?|&*$%#") or end
+            cls = 1 + SHORT + xxhash.xxh3_64_intdigest(tail[-2:]) % (CLASSES - 1 - SHORT)
+        if len(self) < 200_000:
+            self[end] = cls
+        return cls
+
+
+_CLASS_OF = _Endings()
 
 
 def tokens(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and classes of a text's words, A-Z lower-cased, and its end."""
     listed = (text or "").encode("utf-8", "replace").lower().split()
     listed.append(END)
-    seen = _SEEN
-    pairs = list(map(seen.get, listed))
-    if None in pairs:
-        if len(seen) > WORDS_HELD:
-            seen.clear()
-        for i, p in enumerate(pairs):
-            if p is None:
-                w = listed[i]
-                pairs[i] = p = seen.get(w) or word_key(w)
-                if len(w) <= 64:
-                    seen[w] = p
-    both = np.array(pairs, np.uint64)
-    return both[:, 0].view(np.int64) if len(both) == 0 else both[:, 0].copy().view(np.int64), both[:, 1].astype(np.int64)
+    n = len(listed)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, listed), np.uint64, n).view(np.int64)
+    return hashes, np.fromiter(map(_CLASS_OF.__getitem__, [w[-4:] for w in listed]), np.int64, n)
 
 
 def histories(cls: np.ndarray) -> np.ndarray:
