@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assay.llm.common import written
+from assay.llm.common import discard, written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -31,9 +31,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         levels.append(to)
         left = to.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         right = to.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-        e = written(e.join(left, "a").join(right, "b").where("ra <> rb")
+        old, e = e, written(e.join(left, "a").join(right, "b").where("ra <> rb")
                     .select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "cc-edges")
+        discard(old)
         turn += 1
+    discard(e)
     if not levels:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).limit(0)
     last = levels[-1]
@@ -42,5 +44,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         last = (to.join(up, to["root"] == up["up"], "left")
                 .select("node", F.coalesce("top", "root").alias("root")))
     last = written(last, "cc-labels")
+    discard(*levels)
     least = last.groupBy("root").agg(F.min("node").alias("component"))
     return last.join(least, "root").select("node", "component")

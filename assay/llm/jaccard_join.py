@@ -17,6 +17,7 @@ below, before an exact check.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -27,15 +28,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from assay.llm.common import ready, written
+from assay.llm.common import discard, ready, written
 from assay.llm.components import connected_components
 
 WIDTH = 4               # words of a shingle
 PERCENT = 85            # least Jaccard similarity, in hundredths
-BITS = 1024             # of a parity sketch
+BITS = 1024             # of a parity sketch: the top ten bits of a hash name one
 BLOCK = 2048            # nodes of a bucket compared at a time
-WORDS_HELD = 300_000
-_SEEN: dict[bytes, int] = {}
+NEAREST = 3             # partners of a node that a bucket proposes in a round
+ROUNDS = 4              # of nearest partners, before all open pairs are checked
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -52,30 +53,29 @@ def shingles(text: str | None) -> np.ndarray:
     listed = (text or "").encode("utf-8", "replace").lower().split()
     if not listed:
         return np.empty(0, np.uint64)
-    seen = _SEEN
-    hashed = list(map(seen.get, listed))
-    if None in hashed:
-        if len(seen) > WORDS_HELD:
-            seen.clear()
-        for i, h in enumerate(hashed):
-            if h is None:
-                w = listed[i]
-                hashed[i] = h = xxhash.xxh3_64_intdigest(w)
-                if len(w) <= 64:
-                    seen[w] = h
-    w = np.array(hashed, np.uint64)
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, listed), np.uint64, len(listed))
     with np.errstate(over="ignore"):
         if len(w) < WIDTH:
             whole = np.uint64(len(w))
             for x in w:
                 whole = whole * np.uint64(0x9E3779B97F4A7C15) + x
             return mix(np.array([whole], np.uint64), 9)
-        grams = np.zeros(len(w) - WIDTH + 1, np.uint64)
-        for k in range(WIDTH):
-            grams = grams * np.uint64(0xD6E8FEB86659FD93) + mix(w[k:len(w) - WIDTH + 1 + k], k)
+        n = len(w) - WIDTH + 1
+        grams = w[:n].copy()
+        for k in range(1, WIDTH):
+            grams *= np.uint64(0xD6E8FEB86659FD93)
+            grams += w[k:n + k]
     return np.unique(mix(grams, 8))
 
 
+def names(grams: np.ndarray, seed: int) -> tuple[int, int]:
+    """(node, check): two 64-bit hashes of a set of shingle hashes."""
+    salt = np.uint64(0x2545F4914F6CDD1D * (seed + 1) & (2 ** 64 - 1))
+    with np.errstate(over="ignore"):
+        return (int((grams ^ salt).sum(dtype=np.uint64).view(np.int64)),
+                int((grams * (grams | np.uint64(1))).sum(dtype=np.uint64).view(np.int64)))
+
+
 def bands() -> Iterator[tuple[int, int]]:
     lo = 1
     while True:
@@ -124,39 +124,42 @@ def signatures(grams: np.ndarray) -> np.ndarray:
     it is left out unless so many partitions have one that a similar set might
     agree on nothing else."""
     out = []
-    content = mix(grams, 1)
-    place = mix(grams, 2)
+    place = grams >> np.uint64(11)
     for band, k in instances(len(grams)):
         n1, n2, k2 = scheme(k)
         cell = (place % np.uint64(n1 * n2)).astype(np.int64)
         sums = np.zeros(n1 * n2, np.uint64)
-        np.add.at(sums, cell, content)
+        np.add.at(sums, cell, grams)
         filled = np.bincount(cell, minlength=n1 * n2).reshape(n1, n2) > 0
         sums = sums.reshape(n1, n2)
-        found, void = [], []
-        part = np.arange(n1, dtype=np.uint64)
-        for s, subset in enumerate(combinations(range(n2), n2 - k2)):
-            key = mix(part * np.uint64(64) + np.uint64(s), 16 + band)
-            with np.errstate(over="ignore"):
-                for c in subset:
-                    key = mix(key + sums[:, c], 3)
-            found.append(key)
-            void.append(~filled[:, subset].any(1))
-        keys, void = np.stack(found, 1), np.stack(void, 1)
+        subsets = np.array(list(combinations(range(n2), n2 - k2)))
+        # one name per partition and subset, from the sums of the subset's cells
+        key = np.arange(n1 * len(subsets), dtype=np.uint64).reshape(n1, -1)
+        with np.errstate(over="ignore"):
+            for column in subsets.T:
+                key = key * np.uint64(0x9FB21C651E98DF25) + sums[:, column]
+        void = ~filled[:, subsets].any(2)
         agreed = n1 - k // (k2 + 1)         # partitions that a similar pair agrees on at least
         if void.any(1).sum() >= agreed:
             void[:] = False
-        out.append(keys[~void])
+        out.append(mix(key[~void], 16 + band))
     return np.concatenate(out)
 
 
 def sketch(grams: np.ndarray) -> np.ndarray:
     """Parity of the number of features per hash cell: the bits in which two
     sketches differ are at most the features in which the sets differ."""
-    bits = np.bincount((mix(grams, 4) % np.uint64(BITS)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1
+    bits = np.bincount((grams >> np.uint64(54)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1
     return np.packbits(bits).view(np.int64)
 
 
+def _lists(rows: list[np.ndarray], size: int | None = None) -> pa.ListArray:
+    """Rows of 64-bit integers as an Arrow list column."""
+    ends = np.arange(len(rows) + 1) * size if size else np.cumsum([0, *map(len, rows)])
+    flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+
+
 SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()),
                      T.StructField("node", T.LongType()), T.StructField("check", T.LongType()),
                      T.StructField("sketch", T.ArrayType(T.LongType()))])
@@ -170,13 +173,13 @@ def doc_sets(docs: DataFrame, seed: int) -> DataFrame:
             for text in batch.column(1):
                 grams = shingles(text.as_py())
                 n.append(len(grams))
-                with np.errstate(over="ignore"):
-                    node.append(int(mix(grams, 100 + seed).sum(dtype=np.uint64).view(np.int64)))
-                    check.append(int(mix(grams, 99).sum(dtype=np.uint64).view(np.int64)))
+                own = names(grams, seed)
+                node.append(own[0])
+                check.append(own[1])
                 bits.append(sketch(grams))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64()),
-                 pa.array(bits, pa.list_(pa.int64()))], names=SETS.names)
+                 _lists(bits, BITS // 64)], names=SETS.names)
     return docs.mapInArrow(run, SETS)
 
 
@@ -193,13 +196,12 @@ def signed(docs: DataFrame, seed: int) -> DataFrame:
                 grams = shingles(text.as_py())
                 if not len(grams):
                     continue
-                with np.errstate(over="ignore"):
-                    node = mix(grams, 100 + seed).sum(dtype=np.uint64).view(np.int64)
-                if int(node) in known:
+                node = names(grams, seed)[0]
+                if node in known:
                     continue
                 if len(known) > 500_000:
                     known.clear()
-                known.add(int(node))
+                known.add(node)
                 own = signatures(grams).view(np.int64)
                 sigs.append(own)
                 nodes.append(np.full(len(own), node))
@@ -223,29 +225,41 @@ def exact_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams = [shingles(t.as_py()).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.list_(pa.int64()))], names=["node", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(grams)], names=["node", "grams"])
     chosen = docs.join(members, docs["row_key"] == members["first_doc"]).select("node", "text")
     return written(chosen.mapInArrow(run, "node long, grams array<long>").dropDuplicates(["node"]), "jaccard-sets")
 
 
-def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose exact sets are similar enough."""
-    used = (pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            .join(nodes.select("node", "first_doc"), "node"))
-    sets = exact_sets(docs, written(used, "jaccard-used"))
-    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("ga", "gb"))
-    return written(both.where(common * 100 >= (F.size("ga") + F.size("gb") - common) * PERCENT).select("a", "b"), "jaccard-links")
+class ExactSets:
+    """Exact sets of the nodes asked for so far, each fetched from its text once."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame):
+        self.docs, self.nodes, self.tables = docs, nodes, []
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose exact sets are similar enough."""
+        used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        for t in self.tables:
+            used = used.join(t.select("node"), "node", "left_anti")
+        members = written(used.join(self.nodes.select("node", "first_doc"), "node"), "jaccard-used")
+        if not members.isEmpty():
+            self.tables.append(exact_sets(self.docs, members))
+        discard(members)
+        sets = reduce(DataFrame.unionByName, self.tables)
+        left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
+        right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
+        both = pairs.select("a", "b").join(left, "a").join(right, "b")
+        common = F.size(F.array_intersect("ga", "gb"))
+        return written(both.where(common * 100 >= (F.size("ga") + F.size("gb") - common) * PERCENT).select("a", "b"), "jaccard-links")
 
 
 PAIRS = "a long, b long, dist int"
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _across(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (bucket, i, j): plausible pairs of nodes of different
-    groups, block i against block j of a bucket. Holds one block pair at a time."""
+    groups, block i against block j of a bucket; with ``nearest`` only the
+    closest few of a node's partners there. Holds one block pair at a time."""
     held: list[pa.RecordBatch] = []
 
     def emit(rows: pa.Table):
@@ -270,7 +284,11 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 dist = np.bitwise_count(bits[y] ^ bits[x]).sum(1, dtype=np.int64)
                 ok = dist * (100 + PERCENT) <= (nx + cols["n"][y]) * (100 - PERCENT)
-                for z, e in zip(y[ok], dist[ok]):
+                y, dist = y[ok], dist[ok]
+                if nearest and len(y) > NEAREST:
+                    few = np.argsort(dist, kind="stable")[:NEAREST]
+                    y, dist = y[few], dist[few]
+                for z, e in zip(y, dist):
                     p, q = int(cols["node"][x]), int(cols["node"][z])
                     a.append(min(p, q))
                     b.append(max(p, q))
@@ -294,29 +312,33 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from emit(pa.Table.from_batches(held))
 
 
-def across_groups(buckets: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """(a, b, dist): plausible pairs that share a bucket but no group yet."""
+def open_buckets(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+    """(sig, node, grp) of the buckets that hold more than one group; buckets
+    with the same members count once. Pairs of closed buckets are linked already."""
     marked = (buckets.select("sig", "node").distinct()
               .join(groups.select(F.col("node").alias("g_node"), "component"), F.col("node") == F.col("g_node"), "left")
               .select("sig", "node", F.coalesce("component", "node").alias("grp")))
     w = Window.partitionBy("sig")
     h = F.xxhash64("node")
-    open_buckets = (marked.withColumn("lo", F.min("grp").over(w)).withColumn("hi", F.max("grp").over(w))
-                    .withColumn("size", F.count("*").over(w)).withColumn("f1", F.bit_xor(h).over(w))
-                    .withColumn("f2", F.bit_xor(F.xxhash64(F.lit(7), "node")).over(w)).where("lo <> hi"))
-    # buckets with the same members are one
-    once = written(open_buckets.select("f1", "f2", "size", "node", "grp").distinct()
-                   .select(F.xxhash64("f1", "f2", "size").alias("bucket"), "size", "node", "grp"), "jaccard-buckets")
+    several = (marked.withColumn("lo", F.min("grp").over(w)).withColumn("hi", F.max("grp").over(w))
+               .withColumn("size", F.count("*").over(w)).withColumn("f1", F.bit_xor(h).over(w))
+               .withColumn("f2", F.bit_xor(F.xxhash64(F.lit(7), "node")).over(w)).where("lo <> hi"))
+    return written(several.select(F.xxhash64("f1", "f2", "size").alias("sig"), "size", "node", "grp").distinct(), "jaccard-open")
+
+
+def across_groups(opened: DataFrame, nodes: DataFrame, nearest: bool) -> DataFrame:
+    """(a, b, dist): plausible pairs that share a bucket but no group yet; with
+    ``nearest`` only the closest partners of a node."""
     count = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64(F.lit(3), "node"), count).cast("int")
-    spread = (once.withColumn("block", own)
+    spread = (opened.withColumn("block", own)
               .withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
-              .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+              .select(F.col("sig").alias("bucket"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                       "block", "node", "grp"))
     full = spread.join(nodes.select(F.col("node").alias("s_node"), "n", "sketch"), F.col("node") == F.col("s_node"))
     ordered = (full.select("bucket", "i", "j", "block", "node", "grp", "n", "sketch")
                .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node"))
-    return written(ordered.mapInArrow(_across, PAIRS).groupBy("a", "b").agg(F.min("dist").alias("dist")), "jaccard-across")
+    return ordered.mapInArrow(lambda it: _across(nearest, it), PAIRS).groupBy("a", "b").agg(F.min("dist").alias("dist"))
 
 
 def nearest_each(pairs: DataFrame) -> DataFrame:
@@ -325,14 +347,6 @@ def nearest_each(pairs: DataFrame) -> DataFrame:
     return ends.groupBy("end").agg(F.min("p").alias("p")).select("p.a", "p.b", "p.dist").distinct()
 
 
-def still_open(pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different groups so far."""
-    ga = groups.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    gb = groups.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    return (pairs.join(ga, "a", "left").join(gb, "b", "left")
-            .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "dist"))
-
-
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
@@ -369,16 +383,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     dist = star.join(left, "a").join(right, "b").withColumn("dist", sketch_distance(F.col("sa"), F.col("sb")))
     pairs = written(dist.where(plausible(F.col("na"), F.col("nb"), F.col("dist"))).select("a", "b", "dist"), "jaccard-star")
     by_key = plain.select(F.col("doc_id").alias("row_key"), "text").where("row_key is not null")
-    links = verified(by_key, nodes, written(nearest_each(pairs), "jaccard-near"))
+    exact = ExactSets(by_key, nodes)
+    tested = written(nearest_each(pairs), "jaccard-tested")
+    links = exact.links(tested)
+    tested = tested.select("a", "b")
     groups = connected_components(links)
-    pairs = across_groups(buckets, nodes, groups)
-    for choose in (nearest_each, lambda p: p):
+    # rounds of closest partners join most of what belongs together; then all
+    # pairs that are still open are checked
+    opened = open_buckets(buckets, groups)
+    discard(pairs, buckets)
+    for turn in range(ROUNDS + 1):
+        nearest = turn < ROUNDS
+        found = across_groups(opened, nodes, nearest).join(tested, ["a", "b"], "left_anti")
+        pairs = written(nearest_each(found) if nearest else found, "jaccard-tested")
         if pairs.isEmpty():
+            if nearest:
+                continue
             break
-        more = verified(by_key, nodes, written(choose(pairs).select("a", "b", "dist"), "jaccard-near"))
-        links = links.unionByName(more)
+        links = links.unionByName(exact.links(pairs))
+        tested = tested.unionByName(pairs.select("a", "b"))
         groups = connected_components(links)
-        pairs = written(still_open(pairs, groups), "jaccard-open")
+        if nearest:
+            old, opened = opened, open_buckets(opened, groups)
+            discard(old)
+    discard(opened, *exact.tables)
     named = (nodes.join(groups.select(F.col("node").alias("g_node"), "component"), F.col("node") == F.col("g_node"), "left")
              .select("node", "first_doc", F.coalesce("component", "node").alias("grp")))
     least = named.groupBy("grp").agg(F.min("first_doc").alias("component_id"))

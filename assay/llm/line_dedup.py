@@ -54,6 +54,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # pre-aggregated before the shuffle; only windows found twice go on
     first = (seen.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
              .where("first <> last"))
+    first = written(first, "line-repeats")
     later = seen.join(first, ["h1", "h2"]).where(place != F.col("first"))
     lost = (later.select("doc_id", "th", F.explode(F.sequence(F.col("at"), F.col("at") + (WINDOW - 1))).alias("line"))
             .groupBy("doc_id", "th").agg(F.collect_set("line").alias("lost"))
