@@ -12,9 +12,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b: long): ``component``
     is the smallest node reachable.
 
-    Each round every node points at the neighbour (or itself) that comes first
-    in an order drawn anew for the round, and the graph is replaced by the graph
-    of those targets; a fresh order shrinks chains by a constant factor. Only
+    Each round every node points at the neighbour (or itself) that comes first,
+    and the graph is replaced by the graph of those targets. Rounds go by the
+    node's number, which ends stars around their smallest node at once, and by
+    an order drawn anew in turn, which shrinks chains by a constant factor. Only
     nodes that still have an edge stay in a round. Nothing is collected.
     """
     e = written(edges.select("a", "b").where("a <> b")
@@ -24,7 +25,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     levels, turn = [], 0
     while not e.isEmpty():
         def rank(c, t=turn):
-            return F.xxhash64(F.lit(t), F.col(c))
+            return F.col(c) if t % 2 == 0 else F.xxhash64(F.lit(t), F.col(c))
         first = e.groupBy("a").agg(F.min(F.struct(rank("b").alias("r"), F.col("b").alias("v"))).alias("m"))
         own = F.struct(rank("a").alias("r"), F.col("a").alias("v"))
         to = written(first.select(F.col("a").alias("node"), F.least("m", own)["v"].alias("root")), "cc-roots")
