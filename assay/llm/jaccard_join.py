@@ -36,7 +36,7 @@ PERCENT = 85            # least Jaccard similarity, in hundredths
 BITS = 1024             # of a parity sketch: the top ten bits of a hash name one
 BLOCK = 2048            # nodes of a bucket compared at a time
 NEAREST = 3             # partners of a node that a bucket proposes in a round
-ROUNDS = 4              # of nearest partners, before all open pairs are checked
+ROUNDS = 1              # of nearest partners, before all open pairs are checked
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -245,6 +245,8 @@ class ExactSets:
         if not members.isEmpty():
             self.tables.append(exact_sets(self.docs, members))
         discard(members)
+        if not self.tables:            # no pair so far
+            return pairs.select("a", "b")
         sets = reduce(DataFrame.unionByName, self.tables)
         left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
         right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
