@@ -68,11 +68,12 @@ def sensor_pairs(fact: DataFrame, features: Sequence[str], key: str = K.SERIAL,
                  label: str = K.LABEL, fraction: float | None = None,
                  seed: int = K.SPLIT_SEED) -> DataFrame:
     """BI7: the points behind the sensor scatter plots (key, label, the chosen
-    features). ``fraction`` draws a seeded, key-hashed sample for plotting."""
+    features). ``fraction`` draws a seeded, key-hashed sample for plotting; its
+    hash differs from the split's, so it holds training and test units alike."""
     out = fact.select(key, label, *features)
     if fraction is not None:
-        from assay.functions.scalar import split_bucket
-        out = out.where(split_bucket(key, seed) < F.lit(int(round(fraction * 1000))))
+        from assay.functions.scalar import split_hash
+        out = out.where(split_hash(key, f"plot-{seed}") < F.lit(int(round(fraction * 2 ** 32))))
     return out
 
 

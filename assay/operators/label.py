@@ -28,15 +28,19 @@ def worst_label(lines: DataFrame, key: str = K.SERIAL, line_label_col: str = "LA
     The reference takes ``first()`` after a shuffle, which depends on task
     timing. Here the representative comes from the first test in ``order``
     (a total order, e.g. test date then test id) through ``min_by``; without an
-    order the smallest attribute value is taken. ``max``, ``count`` and
+    order it is the test with the smallest attributes, compared one after the
+    other and known ones first. All attributes come from that one test. ``max``, ``count`` and
     ``min_by`` all combine map-side, so a unit holding a third of all rows is
     reduced to one partial row per input partition before the shuffle.
     """
     aggs = [F.max(line_label_col).alias(label), F.count(F.lit(1)).alias(count_name)]
-    ordering = F.struct(*[F.col(c) for c in order]) if order else None
-    for a in attributes:
-        aggs.append((F.min_by(a, ordering) if ordering is not None else F.min(a)).alias(a))
-    return lines.groupBy(key).agg(*aggs)
+    if not attributes:
+        return lines.groupBy(key).agg(*aggs)
+    first = ([F.col(c) for c in order] if order
+             else [x for a in attributes for x in (F.col(a).isNull(), F.col(a))])
+    aggs.append(F.min_by(F.struct(*attributes), F.struct(*first)).alias("_one"))
+    out = lines.groupBy(key).agg(*aggs)
+    return out.select(key, label, count_name, *[F.col("_one")[a].alias(a) for a in attributes])
 
 
 def label_distribution(units: DataFrame, label: str = K.LABEL,

@@ -92,6 +92,10 @@ def unmatched_keys(series_keys: DataFrame, label_keys: DataFrame,
 def star_join(dim: DataFrame, fact: DataFrame, predictions: DataFrame,
               product: str = K.PRODUCT, key: str = K.SERIAL,
               carry: Sequence[str] = (K.PROBABILITY, K.FINAL_PREDICTION)) -> DataFrame:
-    """dimension —(1:*)— fact —(1:0..1)— predictions, as the report model."""
-    p = predictions.select(key, *[c for c in carry if c in predictions.columns])
+    """dimension —(1:*)— fact —(1:0..1)— predictions, as the report model. Of
+    several predictions for a unit the one with the highest values stays, so
+    units are never multiplied."""
+    held = [c for c in carry if c in predictions.columns]
+    p = (predictions.groupBy(key).agg(F.max(F.struct(*held)).alias("_p"))
+         .select(key, *[F.col("_p")[c].alias(c) for c in held]))
     return fact.join(dim, product, "left").join(p, key, "left")

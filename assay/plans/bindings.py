@@ -101,6 +101,19 @@ def items_b(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_size").cast("string").alias("MODEL")))
 
 
+def catalogue_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts as a raw product catalogue: padded text, a second less complete
+    row for every fifth part and another complete row for every eleventh."""
+    p = table(spark, sf_dir, "part")
+    key, size = F.col("p_partkey").alias(K.PRODUCT), F.col("p_size")
+
+    def rows(df, group, nature, model):
+        return df.select(key, group.alias("GROUP"), nature.alias("NATURE"), model.cast("string").alias("MODEL"))
+    return (rows(p, F.concat(F.lit("  "), "p_brand", F.lit(" ")), F.concat("p_type", F.lit(" ")), size)
+            .unionAll(rows(p.where("p_partkey % 5 = 0"), F.concat(F.lit(" "), "p_brand"), F.lit(None).cast("string"), size))
+            .unionAll(rows(p.where("p_partkey % 11 = 0"), F.col("p_brand"), F.col("p_type"), size + 100)))
+
+
 # ---------------------------------------------------------------- binding C
 def vectors_c(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")

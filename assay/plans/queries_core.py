@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from assay import constants as K
+from assay.operators import clean as CL
 from assay.operators import features as FE
 from assay.operators import label as LB
 from assay.operators import star as ST
@@ -41,9 +43,14 @@ def fact_a(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dim_b(spark: SparkSession, d: str) -> DataFrame:
+    """The partial catalogue of the coverage reports."""
     return ST.dim_product(B.items_b(spark, d))
 
 
+def dim_all_b(spark: SparkSession, d: str) -> DataFrame:
+    return ST.dim_product(CL.trim_all(B.catalogue_b(spark, d)))
+
+
 # ------------------------------------------------------------ labels
 @query("worst_label", S.LABELS_A)
 def q_worst_label(spark, d):
@@ -81,3 +88,19 @@ def q_fact_test_devices(spark, d):
 def q_sequence_features_exact(spark, d):
     """AG7 exact: lower median per unit by chunked running counts (skew-safe)."""
     return FE.sequence_features(B.series_b(spark, d), sensors=B.SENSORS_B, exact_median=True)
+
+
+@query("worst_label_pair", f"""
+SELECT SERIAL_NUMBER, max(LAB) AS LABEL, count(*) AS nb_tests,
+       arg_min(PRODUCT_NUMBER, (PRODUCT_NUMBER, TEST_STAND)) AS PRODUCT_NUMBER,
+       arg_min(TEST_STAND, (PRODUCT_NUMBER, TEST_STAND)) AS TEST_STAND
+FROM (SELECT o_custkey AS SERIAL_NUMBER, o_orderpriority AS PRODUCT_NUMBER, o_orderstatus AS TEST_STAND,
+             CASE WHEN o_totalprice >= {B.W_PRICE} THEN 1 ELSE 0 END AS LAB FROM orders) t
+GROUP BY SERIAL_NUMBER""")
+def q_worst_label_pair(spark, d):
+    """AG3 without an order: product and stand come from one and the same test."""
+    o = B.table(spark, d, "orders")
+    lines = o.select(F.col("o_custkey").alias(K.SERIAL), F.col("o_orderpriority").alias(K.PRODUCT),
+                     F.col("o_orderstatus").alias(K.STAND),
+                     F.when(F.col("o_totalprice") >= B.W_PRICE, 1).otherwise(0).alias("LAB"))
+    return LB.worst_label(lines, attributes=(K.PRODUCT, K.STAND))

@@ -11,7 +11,7 @@ from assay.operators import star as ST
 from assay.plans import bindings as B
 from assay.plans import sqltext as S
 from assay.plans.catalog import query
-from assay.plans.queries_core import dim_b, fact_a, fact_b
+from assay.plans.queries_core import dim_all_b, fact_a, fact_b
 
 PE = K.PROBABILITY
 FP = K.FINAL_PREDICTION
@@ -187,7 +187,7 @@ def q_kpi_overview(spark, d):
 @query("star_join", S.rounded(f"""
 SELECT f.*, d."GROUP", d.NATURE, d.MODEL, p.{PE}, p.{FP}
 FROM ({S.FACT_B_RAW}) f
-LEFT JOIN ({S.DIM_B}) d ON f.PRODUCT_NUMBER = d.PRODUCT_NUMBER
+LEFT JOIN ({S.DIM_ALL_B}) d ON f.PRODUCT_NUMBER = d.PRODUCT_NUMBER
 LEFT JOIN (SELECT o_orderkey AS SERIAL_NUMBER,
                   {S.r6(f"o_totalprice / {B.SCORE_SCALE}")} AS {PE},
                   CAST({S.r6(f"o_totalprice / {B.SCORE_SCALE}")} >= {B.E_THRESHOLD} AS INTEGER)
@@ -196,4 +196,4 @@ LEFT JOIN (SELECT o_orderkey AS SERIAL_NUMBER,
     [f"{s}_{st}" for s in B.SENSORS_B for st in K.STATS] + [PE]))
 def q_star_join(spark, d):
     """JO6: dimension — fact — predictions, the report's model."""
-    return ST.star_join(dim_b(spark, d), fact_b(spark, d), predictions_b(spark, d))
+    return ST.star_join(dim_all_b(spark, d), fact_b(spark, d), predictions_b(spark, d))

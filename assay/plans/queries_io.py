@@ -165,12 +165,10 @@ def q_results_trim(spark, d):
     return CL.clean_results(M.source_results(spark, d))
 
 
-@query("trim_all", f"""
-SELECT PRODUCT_NUMBER, trim("GROUP") AS "GROUP", trim(NATURE) AS NATURE, trim(MODEL) AS MODEL
-FROM ({S.DIM_B}) d""")
+@query("trim_all", S.TRIMMED_B)
 def q_trim_all(spark, d):
     """SC6: trim every non-'_' text column of the product classification."""
-    return CL.trim_all(B.items_b(spark, d))
+    return CL.trim_all(B.catalogue_b(spark, d))
 
 
 def medallion_fact_sql() -> str:

@@ -15,7 +15,7 @@ from assay.operators.evaluate import positive_rate
 from assay.plans import bindings as B
 from assay.plans import sqltext as S
 from assay.plans.catalog import query
-from assay.plans.queries_core import dim_b, fact_a, fact_b, labels_a, labels_b
+from assay.plans.queries_core import dim_all_b, dim_b, fact_a, fact_b, labels_a, labels_b
 
 FEATS_B = FE.feature_names(B.SENSORS_B)
 FEATS_A = FE.feature_names(B.SENSORS_A)
@@ -28,18 +28,18 @@ SPLIT_SQL = ("CAST(('0x' || substr(md5(CAST(SERIAL_NUMBER AS VARCHAR) || ':42'),
              "AS BIGINT) % 1000")
 
 
-@query("dim_product", S.DIM_B)
+@query("dim_product", S.DIM_ALL_B)
 def q_dim_product(spark, d):
     """PR2 + SO5: key + the attributes present, one deterministic row per key."""
-    return dim_b(spark, d)
+    return dim_all_b(spark, d)
 
 
 @query("dataset_ml", f"""
 SELECT f.*, d."GROUP", d.NATURE, d.MODEL
-FROM ({S.FACT_B}) f LEFT JOIN ({S.DIM_B}) d ON f.PRODUCT_NUMBER = d.PRODUCT_NUMBER""")
+FROM ({S.FACT_B}) f LEFT JOIN ({S.DIM_ALL_B}) d ON f.PRODUCT_NUMBER = d.PRODUCT_NUMBER""")
 def q_dataset_ml(spark, d):
     """JO2: fact ⟕ product dimension (flat ML dataset)."""
-    return ST.dataset_ml(fact_b(spark, d), dim_b(spark, d))
+    return ST.dataset_ml(fact_b(spark, d), dim_all_b(spark, d))
 
 
 @query("sql_fact_scan", S.FACT_B)

@@ -105,6 +105,23 @@ SELECT p_partkey AS PRODUCT_NUMBER, p_brand AS "GROUP", p_type AS NATURE,
        CAST(p_size AS VARCHAR) AS MODEL
 FROM part WHERE p_partkey % {B.CATALOGUE_EVERY} = 0"""
 
+CATALOGUE_B = """
+SELECT p_partkey AS PRODUCT_NUMBER, '  ' || p_brand || ' ' AS "GROUP", p_type || ' ' AS NATURE,
+       CAST(p_size AS VARCHAR) AS MODEL FROM part
+UNION ALL SELECT p_partkey, ' ' || p_brand, NULL, CAST(p_size AS VARCHAR) FROM part WHERE p_partkey % 5 = 0
+UNION ALL SELECT p_partkey, p_brand, p_type, CAST(p_size + 100 AS VARCHAR) FROM part WHERE p_partkey % 11 = 0"""
+
+TRIMMED_B = f"""
+SELECT PRODUCT_NUMBER, trim("GROUP") AS "GROUP", trim(NATURE) AS NATURE, trim(MODEL) AS MODEL
+FROM ({CATALOGUE_B}) c"""
+
+DIM_ALL_B = f"""
+SELECT PRODUCT_NUMBER, "GROUP", NATURE, MODEL FROM (
+  SELECT *, row_number() OVER (PARTITION BY PRODUCT_NUMBER ORDER BY
+    CAST("GROUP" IS NULL AS INT) + CAST(NATURE IS NULL AS INT) + CAST(MODEL IS NULL AS INT),
+    "GROUP" NULLS FIRST, NATURE NULLS FIRST, MODEL NULLS FIRST) AS nth FROM ({TRIMMED_B}) t) r
+WHERE nth = 1"""
+
 SCORES_E = f"""
 SELECT o_custkey AS SERIAL_NUMBER, max({VERDICT_SQL}) AS LABEL,
        {r6(f"avg(o_totalprice) / {B.SCORE_SCALE}")} AS {K.PROBABILITY}

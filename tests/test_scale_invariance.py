@@ -101,8 +101,25 @@ def test_exact_split_for_rare_class(spark):
     assert len(s) == f.count()
     again = SP.stratified_split_exact(f.select(K.SERIAL, K.LABEL).repartition(5)).toPandas()
     assert sorted(map(tuple, s.values)) == sorted(map(tuple, again.values))
-    with pytest.raises(ValueError):
-        SP.stratified_split_exact(f.select(K.SERIAL, K.LABEL), max_exact_rows=10)
+    # one chunk or thousands: the same rank
+    for bits in (0, 3, 20):
+        cut = SP.stratified_split_exact(f.select(K.SERIAL, K.LABEL), chunk_bits=bits).toPandas()
+        assert sorted(map(tuple, s.values)) == sorted(map(tuple, cut.values))
+
+
+def test_plot_sample_holds_both_sides_of_the_split(spark):
+    from assay.operators import kpi as KP
+    f = SP.stratified_split(B.scores_e(spark, SF01))
+    drawn = KP.sensor_pairs(f, ["split"], fraction=0.3).toPandas()
+    assert 0.2 < len(drawn) / f.count() < 0.4 and set(drawn["split"]) == {"train", "test"}
+
+
+def test_several_predictions_do_not_multiply_units(spark):
+    from assay.operators import star as ST
+    f = spark.createDataFrame([("u", "p")], f"{K.SERIAL} string, {K.PRODUCT} string")
+    d = spark.createDataFrame([("p", "g")], f"{K.PRODUCT} string, GROUP string")
+    p = spark.createDataFrame([("u", 0.2, 0), ("u", 0.7, 1)], f"{K.SERIAL} string, {K.PROBABILITY} double, {K.FINAL_PREDICTION} int")
+    assert [r[K.PROBABILITY] for r in ST.star_join(d, f, p).collect()] == [0.7]
 
 
 def test_curve_areas_agree_with_single_metrics(spark):
