@@ -20,7 +20,6 @@ from __future__ import annotations
 import argparse
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +34,7 @@ from assay.operators import split as SP
 from assay.operators.kpi import with_scoring_metadata
 from assay.plans import medallion as M
 from assay.sources.delimited import ARRIVAL
-from assay.sources.layers import read_layer, write_layer
+from assay.sources.layers import read_layer, read_optional, write_layer
 
 # --- fixed values: source folder names of the reference layout --------------
 SOURCE_FOLDERS = {"timeseries": "TimeSeries", "results": "Results",
@@ -116,16 +115,12 @@ def run_audits(spark: SparkSession, lake: M.Lake, sensors=K.SENSORS) -> DataFram
     order = [c for c in ARRIVAL if c in ts.columns]
     if order:
         audits["time_inversions"] = AU.time_inversions(ts, order=order)
-    try:
-        war = read_layer(spark, lake.path("silver", "warranty_clean"))
+    war = read_optional(spark, lake.path("silver", "warranty_clean"))
+    if war is not None:
         audits["warranty_vs_results"] = ST.key_overlap(war, res)
-    except AnalysisException:
-        pass
-    try:
-        dim = read_layer(spark, lake.path("gold", "dim_produit"))
+    dim = read_optional(spark, lake.path("gold", "dim_produit"))
+    if dim is not None:
         audits["catalogue_coverage"] = ST.catalogue_coverage(fact, dim)
-    except AnalysisException:
-        pass
     for name, df in audits.items():
         write_layer(df, lake.path("audit", name))
     return AU.layer_counts({n: read_layer(spark, lake.path("audit", n)) for n in audits})

@@ -24,9 +24,9 @@ from assay.operators import features as FE
 from assay.operators import label as LB
 from assay.operators import star as ST
 from assay.plans import bindings as B
-from assay.sources.delimited import read_delimited
-from assay.sources.layers import (export_dataset, read_layer, save_bucketed, save_table,
-                                  write_layer)
+from assay.sources.delimited import SOURCE_FILE, read_delimited
+from assay.sources.layers import (export_dataset, read_layer, read_optional, save_bucketed,
+                                  save_table, write_layer)
 
 # --- fixed values: binding D layout ------------------------------------------
 TS_COLUMNS_D = [K.DATE, K.TIME, K.PHASE, "VALUE", "K"]
@@ -124,19 +124,25 @@ def bronze(spark: SparkSession, sources: dict[str, str], lake: Lake,
 
     ``by_ingest_date`` partitions the bronze folders by ingestion day and
     overwrites only the days being written (dynamic partition overwrite): a
-    daily run adds or replaces its day, and reads that filter on
-    ``_ingest_date`` prune whole folders at planning time."""
+    daily run adds or replaces its day, leaving out the files that an earlier
+    day holds, and reads that filter on ``_ingest_date`` prune whole folders at
+    planning time."""
     counts = {}
     for name, path in sources.items():
         cols = (columns or {}).get(name)
         try:
             df = read_delimited(spark, path, columns=cols, recursive=True)
-        except AnalysisException:
-            if name in ("timeseries", "results"):
+        except AnalysisException as e:
+            absent = e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+            if name in ("timeseries", "results") or not absent:
                 raise
-            continue                     # optional folder (warranty, catalogue) absent
+            continue                     # optional folder (warranty, catalogue) absent or empty
         if by_ingest_date:
             df = df.withColumn(INGEST_DATE, F.to_date(F.col("_ingested_at")))
+            earlier = read_optional(spark, lake.path("bronze", name))
+            if earlier is not None:      # files of an earlier day are there already
+                known = earlier.where(F.col(INGEST_DATE) < F.current_date()).select(SOURCE_FILE).distinct()
+                df = df.join(known, SOURCE_FILE, "left_anti")
             out = write_layer(df, lake.path("bronze", name), partition_by=[INGEST_DATE],
                               partitionOverwriteMode="dynamic")
         else:
@@ -171,9 +177,8 @@ def silver(spark: SparkSession, lake: Lake, sensors=K.SENSORS, scope: str = "nam
                "timeseries_quarantine": lake.path("silver", "timeseries_quarantine"),
                "results_dedup": lake.path("silver", "results_dedup")}
     for name, fn in [("itemclassification", CL.trim_all), ("warranty", CL.clean_warranty)]:
-        try:
-            src = read_layer(spark, lake.path("bronze", name))
-        except AnalysisException:  # optional source folder not present
+        src = read_optional(spark, lake.path("bronze", name))
+        if src is None:
             continue
         write_layer(fn(src), lake.path("silver", f"{name}_clean"))
         written[f"{name}_clean"] = lake.path("silver", f"{name}_clean")
@@ -190,9 +195,8 @@ def gold(spark: SparkSession, lake: Lake, sensors=K.SENSORS,
     write_layer(fact, lake.path("gold", "fait_test_moteur"))
     fact = read_layer(spark, lake.path("gold", "fait_test_moteur"))
     out = {"fait_test_moteur": fact}
-    try:
-        ic = read_layer(spark, lake.path("silver", "itemclassification_clean"))
-    except AnalysisException:  # no catalogue: fact only
+    ic = read_optional(spark, lake.path("silver", "itemclassification_clean"))
+    if ic is None:  # no catalogue: fact only
         return AU.layer_counts(out, key=K.SERIAL)
     write_layer(ST.dim_product(ic), lake.path("gold", "dim_produit"))
     dim = read_layer(spark, lake.path("gold", "dim_produit"))

@@ -29,11 +29,14 @@ def all_string_schema(columns: Sequence[str]) -> StructType:
 def read_delimited(spark: SparkSession, path: str | Sequence[str],
                    columns: Sequence[str] | None = None, sep: str = ";",
                    header: bool = True, recursive: bool = False,
-                   lineage: bool = True, encoding: str = "UTF-8") -> DataFrame:
+                   lineage: bool = True, encoding: str = "UTF-8",
+                   files: str | None = "*.csv") -> DataFrame:
     """Read a folder / glob of delimited files as all-string columns.
 
-    With ``columns`` the schema is fixed (positional, header line skipped);
-    without it the header names the columns and every column is a string.
+    Only files named like ``files`` are read (``None``: all). With ``columns``
+    the schema is fixed and a file whose header names other columns, or the
+    same ones in another order, is an error; without it the header names the
+    columns and every column is a string.
     Lineage: ``_source_file`` (full path, from the hidden ``_metadata``
     column, which -- unlike ``input_file_name()`` -- also works in streaming),
     ``_source_name`` (file name) and ``_ingested_at``.
@@ -46,8 +49,10 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
               .option("ignoreTrailingWhiteSpace", False))
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
+    if files:
+        reader = reader.option("pathGlobFilter", files)
     if columns is not None:
-        reader = reader.schema(all_string_schema(columns))
+        reader = reader.schema(all_string_schema(columns)).option("enforceSchema", False)
     df = reader.csv(path if isinstance(path, str) else list(path))
     return with_lineage(df) if lineage else df
 
@@ -68,10 +73,13 @@ def with_lineage(df: DataFrame, arrival: bool = True) -> DataFrame:
 
 def read_delimited_stream(spark: SparkSession, path: str, columns: Sequence[str],
                           sep: str = ";", header: bool = True,
-                          max_files_per_trigger: int | None = None) -> DataFrame:
+                          max_files_per_trigger: int | None = None,
+                          files: str | None = "*.csv") -> DataFrame:
     """Streaming twin of ``read_delimited`` (file source; new files only)."""
-    r = (spark.readStream.option("header", header).option("sep", sep)
+    r = (spark.readStream.option("header", header).option("sep", sep).option("enforceSchema", False)
          .option("recursiveFileLookup", True).schema(all_string_schema(columns)))
+    if files:
+        r = r.option("pathGlobFilter", files)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return with_lineage(r.csv(path))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,6 +26,17 @@ def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def read_optional(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """A layer table, or None where its folder is absent. Any other fault (an
+    unreadable folder, a broken file) is raised."""
+    try:
+        return read_layer(spark, path, fmt)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def export_dataset(df: DataFrame, path: str, sep: str = ",") -> dict[str, str]:
     """IO12: flat dataset as parquet (fast path) and CSV with header (fallback)."""
     pq = write_layer(df, f"{path}/parquet")

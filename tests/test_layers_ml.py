@@ -110,12 +110,41 @@ def test_stream_scoring_batches(spark):
         *[F.col("embedding")[i].cast("double").alias(f"e_{i}") for i in range(64)])
     out = score_batches(feats, lambda b: MD.score_units(m, b),
                         scratch_path(spark, "scores"), scratch_path(spark, "scores-ckpt"))
-    got = spark.read.parquet(out)
+    got = spark.read.parquet(out).drop("batch_id")
     assert got.count() == df.count()
     batch = MD.score_units(m, df)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_replayed_batch_leaves_no_duplicates(spark):
+    from assay.streaming.continuous import write_batch
+    out = scratch_path(spark, "replayed")
+    for batch_id in (0, 1, 1):
+        write_batch(spark.range(batch_id * 5, batch_id * 5 + 5), batch_id, out)
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(10))
+
+
+def _text_files(folder, files):
+    os.makedirs(folder)
+    for name, text in files.items():
+        with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    return str(folder)
+
+
+def test_only_csv_files_are_read(spark, tmp_path):
+    path = _text_files(tmp_path / "in", {"a.csv": "X;Y\n1;2\n", "notes.txt": "X;Y\n8;9\n"})
+    got = read_delimited(spark, path, columns=["X", "Y"], recursive=True, lineage=False)
+    assert [tuple(r) for r in got.collect()] == [("1", "2")]
+    assert read_delimited(spark, path, columns=["X", "Y"], lineage=False, files=None).count() == 2
+
+
+def test_swapped_header_is_an_error(spark, tmp_path):
+    path = _text_files(tmp_path / "in", {"a.csv": "X;Y\n1;2\n", "b.csv": "Y;X\n2;1\n"})
+    with pytest.raises(Exception, match="header"):
+        read_delimited(spark, path, columns=["X", "Y"], lineage=False).collect()
+
+
 def test_choose_final_and_best_threshold(spark):
     from assay.operators import evaluate as EV
     sw = EV.threshold_sweep(B.scores_e(spark, SF001))
@@ -241,3 +270,21 @@ def test_bronze_partitioned_by_ingest_date_prunes(spark):
     # a re-run of the same day replaces it (dynamic partition overwrite), no duplicates
     M.bronze(spark, src, lake, columns={"timeseries": TS_COLS}, by_ingest_date=True)
     assert spark.read.parquet(lake.path("bronze", "timeseries")).count() == 34
+
+
+def test_second_ingestion_day_adds_new_files_only(spark, tmp_path):
+    path = _text_files(tmp_path / "in", {"a.csv": "X;Y\n1;2\n"})
+    first, second = (M.Lake(scratch_path(spark, f"lake-day{i}")) for i in (1, 2))
+    columns = {"results": ["X", "Y"]}
+    M.bronze(spark, {"results": path}, first, columns=columns, by_ingest_date=True)
+    # the first load as if made a day ago
+    (spark.read.parquet(first.path("bronze", "results"))
+     .withColumn(M.INGEST_DATE, F.date_sub(M.INGEST_DATE, 1))
+     .write.partitionBy(M.INGEST_DATE).parquet(second.path("bronze", "results")))
+    with open(os.path.join(path, "b.csv"), "w", encoding="utf-8") as f:
+        f.write("X;Y\n3;4\n")
+    for _ in range(2):                  # a re-run of the second day changes nothing
+        M.bronze(spark, {"results": path}, second, columns=columns, by_ingest_date=True)
+        got = spark.read.parquet(second.path("bronze", "results"))
+        assert sorted((r["X"], r["Y"]) for r in got.collect()) == [("1", "2"), ("3", "4")]
+        assert got.select(M.INGEST_DATE).distinct().count() == 2
