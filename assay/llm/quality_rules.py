@@ -3,7 +3,7 @@ log-likelihood ratio of its hashed word n-grams between a trusted target and
 the raw corpus.
 
 Native DataFrame functions only. Texts are never shuffled: counts leave a task
-as one row per n-gram bucket, scores as one row per document.
+as one row per n-gram bucket, and a document is scored within its own row.
 """
 
 from __future__ import annotations
@@ -46,17 +46,17 @@ def repeated_words(hashes: Column) -> Column:
 
 
 def with_base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(row, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, hashes): ``row`` tells repeated rows apart."""
+    """(doc_id, text_hash, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, hashes, base_failed)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike("[^ \\t-\\r]"))
     # words twice in the list of columns: kept as a column, split once
-    base = (docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+    base = (docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).alias("text"))
             .withColumn("text_hash", F.xxhash64("text")).withColumn("w", words(F.col("text")))
             .withColumn("hashes", F.transform("w", lambda x: F.xxhash64(x))))
     counted = base.select(
-        "row", "doc_id", "text_hash", F.size("w").cast("long").alias("n_words"),
+        "doc_id", "text_hash", F.size("w").cast("long").alias("n_words"),
         F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
@@ -115,11 +115,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = 65536, thre
                       .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted), "trusted-ids")
     ratios = written(ratio_table(docs, trusted, buckets, prior, id_col, text_col), "ngram-ratios")
     base = with_base(docs, id_col, text_col)
-    kept_columns = ["row", "text_hash", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    grams = base.select(*kept_columns, F.explode_outer(_buckets(F.col("hashes"), buckets)).alias("b"))
-    # at most ``buckets`` rows; the sum per row is complete within its task
-    scored = (grams.join(F.broadcast(ratios), F.col("b") == F.col("bucket"), "left")
-              .groupBy(*kept_columns).agg(F.sum("llr").alias("total"), F.count("b").alias("n")))
-    llr = F.when(F.col("n") > 0, F.coalesce("total", F.lit(0.0)) / F.col("n")).otherwise(F.lit(0.0))
-    return scored.select(*kept_columns[2:], llr.alias("llr"),
-                         (~F.col("base_failed") & (llr >= threshold)).alias("kept"), "text_hash")
+    # one row of ``buckets`` numbers, looked up by place: no row per sequence is made
+    by_place = (docs.sparkSession.range(buckets).join(ratios, F.col("id") == F.col("bucket"), "left")
+                .agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("llr", F.lit(0.0)).alias("llr"))))["llr"]).scalar())
+    total = F.aggregate(_buckets(F.col("hashes"), buckets), F.lit(0.0), lambda a, b: a + F.get(F.col("by_place"), b))
+    n = F.greatest(2 * F.size("hashes") - 1, F.lit(1))
+    scored = base.withColumn("by_place", by_place).withColumn("llr", F.when(F.size("hashes") > 0, total / n).otherwise(F.lit(0.0)))
+    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr",
+                         (~F.col("base_failed") & (F.col("llr") >= threshold)).alias("kept"), "text_hash")
