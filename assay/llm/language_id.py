@@ -1,8 +1,11 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 One model per language over the letters of the training texts, all of them in
-shared sorted arrays of character sequences with a row of log probabilities per
-language. Counting and scoring run as Spark jobs; the driver holds the models.
+shared tables of character sequences with a row of log probabilities per
+language. Counts, discounts and probabilities are Spark jobs over every sequence
+seen. Tables of up to BROADCAST bytes are sorted arrays in the tasks that score;
+larger ones are joined with the sequences of each text. Log probabilities are
+whole numbers of 1/SCALE, so that both ways add up to the same sums.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +24,11 @@ ORDER = 4
 #: Codes scored at once; longer texts are cut with ORDER-1 codes of overlap.
 SEGMENT = 1 << 20
 UNKNOWN = "und"
+SCALE = 1 << 20
+#: Log probability of a letter that no model has seen, before its weight.
+FLOOR = round(float(np.log(1.0 / 65536)) * SCALE)
+#: Bytes of model tables that the driver and each worker hold at most.
+BROADCAST = 96 << 20
 _LETTER: np.ndarray | None = None
 
 
@@ -93,7 +101,7 @@ class KneserNey:
     ``keys[n]`` are the sorted n-code sequences seen in any language and
     ``logp[n]`` their log probabilities per language; ``left[n]`` are the sorted
     histories of n codes with the log weight ``rest[n]`` that a language gives
-    to the next shorter model after them.
+    to the next shorter model after them. Logs are in units of 1/SCALE.
     """
 
     def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray):
@@ -132,16 +140,22 @@ class KneserNey:
             own = np.maximum(counts - discount, 0.0) / np.maximum(mass[at], 1e-300)
             prob = np.where(mass[at] > 0, own, 0.0) + rest[at] * base
             lower_keys, lower = keys, prob
-            self.keys[o], self.logp[o] = keys, np.log(prob).astype(np.float32)
-            self.left[o - 1], self.rest[o - 1] = hkeys, np.log(rest).astype(np.float32)
-        # cross-entropy of the training text per language, from its counts
-        top = self.logp[ORDER][np.searchsorted(self.keys[ORDER], gram), lang].astype(np.float64)
-        weight = np.bincount(lang, n, width)
-        self.mean = -np.bincount(lang, n * top, width) / np.maximum(weight, 1)
-        self.sd = np.sqrt(np.maximum(np.bincount(lang, n * top * top, width) / np.maximum(weight, 1) - self.mean ** 2, 1e-9))
+            self.keys[o], self.logp[o] = keys, np.rint(np.log(prob) * SCALE).astype(np.int32)
+            self.left[o - 1], self.rest[o - 1] = hkeys, np.rint(np.log(rest) * SCALE).astype(np.int32)
+
+    @classmethod
+    def of(cls, langs: list[str], keys: dict, logp: dict, left: dict, rest: dict) -> KneserNey:
+        """A model of given tables."""
+        self = cls.__new__(cls)
+        self.langs, self.keys, self.logp, self.left, self.rest = langs, keys, logp, left, rest
+        return self
 
     def log_probs(self, packed: np.ndarray, order: int = ORDER) -> np.ndarray:
         """Log probability of each sequence's last code after the others, per language."""
+        return self.units(packed, order) / np.float32(SCALE)
+
+    def units(self, packed: np.ndarray, order: int = ORDER) -> np.ndarray:
+        """``log_probs`` in units of 1/SCALE."""
         keys = self.keys[order]
         at = np.minimum(np.searchsorted(keys, packed), len(keys) - 1)
         out = self.logp[order][at]
@@ -151,23 +165,23 @@ class KneserNey:
             hist = rare >> np.uint64(16)
             left = self.left[order - 1]
             h = np.minimum(np.searchsorted(left, hist), len(left) - 1)
-            rest = np.where((left[h] == hist)[:, None], self.rest[order - 1][h], np.float32(0))
+            rest = np.where((left[h] == hist)[:, None], self.rest[order - 1][h], np.int32(0))
             if order == 1:
-                out[miss] = rest + np.float32(np.log(1.0 / 65536))
+                out[miss] = rest + np.int32(FLOOR)
             else:
-                out[miss] = rest + self.log_probs(rare & np.uint64((1 << (16 * (order - 1))) - 1), order - 1)
+                out[miss] = rest + self.units(rare & np.uint64((1 << (16 * (order - 1))) - 1), order - 1)
         return out
 
     def totals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Summed log probabilities (text x language) and numbers of codes."""
-        sums = np.zeros((len(texts), len(self.langs)))
+        """Summed log probabilities (text x language) in units of 1/SCALE and numbers of codes."""
+        sums = np.zeros((len(texts), len(self.langs)), np.int64)
         sizes = np.zeros(len(texts), np.int64)
         parts, owners, held = [], [], 0
 
         def flush():
-            logp = self.log_probs(np.concatenate(parts))
+            logp = self.units(np.concatenate(parts))
             starts = np.cumsum([0, *[len(p) for p in parts[:-1]]])
-            np.add.at(sums, owners, np.add.reduceat(logp, starts, axis=0, dtype=np.float64))
+            np.add.at(sums, owners, np.add.reduceat(logp, starts, axis=0, dtype=np.int64))
         for i, text in enumerate(texts):
             for part in segments(codes(text or "")):
                 packed = grams(part)
@@ -183,66 +197,214 @@ class KneserNey:
         return sums, sizes
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          max_grams: int = 2_000_000) -> KneserNey | None:
+class Tables:
+    """Trained models: ``keys[n]`` (gram, logp) and ``left[n]`` (gram, rest) as
+    written tables with one number per language, and mean and deviation of the
+    log loss of each language's training text. ``bytes`` is what ``local`` holds."""
+
+    def __init__(self, langs: list[str], keys: dict[int, DataFrame], left: dict[int, DataFrame],
+                 mean: np.ndarray, sd: np.ndarray, rows: int):
+        self.langs, self.keys, self.left, self.mean, self.sd = langs, keys, left, mean, sd
+        self.bytes = rows * (8 + 4 * len(langs))
+
+    def local(self) -> KneserNey:
+        def arrays(tables: dict[int, DataFrame]) -> tuple[dict, dict]:
+            grams_of, values_of = {}, {}
+            for o, table in tables.items():
+                got = table.toArrow()
+                gram = got.column(0).to_numpy().view(np.uint64)
+                order = np.argsort(gram)
+                values = np.concatenate([c.flatten().to_numpy() for c in got.column(1).chunks]).reshape(-1, len(self.langs))
+                grams_of[o], values_of[o] = gram[order], values[order]
+            return grams_of, values_of
+        return KneserNey.of(self.langs, *arrays(self.keys), *arrays(self.left))
+
+
+def _suffix(gram: Column, order: int) -> Column:
+    return gram if order == ORDER else gram.bitwiseAND(F.lit((1 << (16 * order)) - 1))
+
+
+def _units(p: Column) -> Column:
+    return F.transform(p, lambda x: F.rint(F.log(x) * SCALE).cast("int"))
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Tables | None:
     """Models of the languages in ``docs``; None without a labelled letter.
 
-    Every text is counted. The model keeps the ``max_grams`` most frequent
-    (language, sequence) pairs, the bound of what the driver and the workers
-    hold; below that nothing is left out.
+    Every text and every sequence counts, by the formulas of ``KneserNey``. The
+    driver holds the names of the languages and one discount per order.
     """
     ready(docs.sparkSession)
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counted = written(labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
                       .mapInArrow(_count, COUNTS).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "lang-grams")
-    kept = counted.orderBy(F.desc("n"), "lang", "gram").limit(max_grams).toPandas()
-    if kept.empty:
+    langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
+    if not langs:
         return None
-    langs, lang = np.unique(kept["lang"].to_numpy().astype(str), return_inverse=True)
-    return KneserNey([str(x) for x in langs], lang, kept["gram"].to_numpy(np.int64).view(np.uint64), kept["n"].to_numpy(np.int64))
+    every = F.sequence(F.lit(0), F.lit(len(langs) - 1))
+    place = (F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1).cast("int")
+    # order ORDER has counts; lower orders count the distinct sequences they end
+    per_order = [counted.select(F.lit(ORDER).alias("o"), place.alias("l"), "gram", "n")]
+    for o in range(ORDER - 1, 0, -1):
+        per_order.append(per_order[-1].groupBy("l", _suffix(F.col("gram"), o).alias("gram")).agg(F.count("*").alias("n"))
+                         .select(F.lit(o).alias("o"), "l", "gram", "n"))
+    rows = per_order[0]
+    for more in per_order[1:]:
+        rows = rows.unionByName(more)
+    rows = written(rows, "lang-orders")
+    discounts = {r["o"]: r["ones"] / (r["ones"] + 2 * r["twos"]) if r["ones"] and r["twos"] else 0.5 for r in rows.groupBy("o").agg(
+        F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).collect()}
+    discount = F.element_at(F.create_map(*[F.lit(x) for o in discounts for x in (o, discounts[o])]), F.col("o"))
+    hists = written(
+        rows.groupBy("o", F.shiftrightunsigned("gram", 16).alias("gram"), "l").agg(F.sum("n").alias("mass"), F.count("*").alias("kinds"))
+        .groupBy("o", "gram").agg(F.map_from_entries(F.collect_list(F.struct("l", F.struct("mass", "kinds")))).alias("m"))
+        .select("o", "gram", F.transform(every, lambda l: F.coalesce(F.element_at("m", l)["mass"], F.lit(0)).cast("double")).alias("mass"),
+                F.transform(every, lambda l: F.coalesce(discount * F.element_at("m", l)["kinds"] / F.element_at("m", l)["mass"],
+                                                        F.lit(1.0))).alias("rest")), "lang-histories")
+    keys: dict[int, DataFrame] = {}
+    for o in range(1, ORDER + 1):
+        seen = (rows.where(F.col("o") == o).groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("l", "n"))).alias("m"))
+                .select("gram", F.transform(every, lambda l: F.coalesce(F.element_at("m", l), F.lit(0))).alias("n")))
+        hist = hists.where(F.col("o") == o).select(F.col("gram").alias("hist"), "mass", "rest")
+        seen = seen.join(hist, F.shiftrightunsigned(seen["gram"], 16) == F.col("hist"))
+        if o == 1:
+            seen = seen.withColumn("base", F.array_repeat(F.lit(1.0 / 65536), len(langs)))
+        else:
+            lower = keys[o - 1].select(F.col("gram").alias("short"), F.col("p").alias("base"))
+            seen = seen.join(lower, _suffix(seen["gram"], o - 1) == F.col("short"))
+        p = F.transform(every, lambda l: F.when(
+            F.get("mass", l) > 0, F.greatest(F.get("n", l) - F.lit(discounts[o]), F.lit(0.0)) / F.get("mass", l)).otherwise(F.lit(0.0))
+            + F.get("rest", l) * F.get("base", l))
+        keys[o] = written(seen.select("gram", "n", p.alias("p")).select("gram", _units(F.col("p")).alias("logp"), "p", "n"), f"lang-model-{o}")
+    # log loss of the training text per language, from its counts
+    n, top = F.col("x")["n"].cast("decimal(19,0)"), F.col("x")["logp"].cast("decimal(10,0)")
+    loss = {r["l"]: [float(r[k]) for k in ("n", "one", "two")] for r in
+            keys[ORDER].select(F.posexplode(F.arrays_zip("n", "logp")).alias("l", "x")).where("x.n > 0").groupBy("l").agg(
+                F.sum(n).alias("n"), F.sum(n * top).alias("one"), F.sum(n * top * top).alias("two")).collect()}
+    weight, one, two = np.array([loss[l] for l in range(len(langs))]).T
+    mean = -one / weight / SCALE
+    sd = np.sqrt(np.maximum(two / weight / SCALE ** 2 - mean ** 2, 1e-9))
+    held = hists.count() + sum(keys[o].count() for o in keys)
+    return Tables(langs, {o: keys[o].select("gram", "logp") for o in keys},
+                  {o - 1: hists.where(F.col("o") == o).select("gram", _units(F.col("rest")).alias("rest")) for o in keys}, mean, sd, held)
 
 
 RESULT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang_pred", T.StringType()),
                        T.StructField("score", T.DoubleType()), T.StructField("cross_entropy", T.DoubleType()),
                        T.StructField("rejected", T.BooleanType())])
+FOUND = T.StructType([T.StructField("text_key", T.BinaryType()), T.StructField("gram", T.LongType()),
+                      T.StructField("n", T.LongType())])
 
 
-def identify(docs: DataFrame, model: KneserNey | None, id_col: str = "doc_id", text_col: str = "text",
-             tolerance: float = 6.0, slack: float = 0.5) -> DataFrame:
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text_key, gram, n) of every text; one row without a gram for the text itself."""
+    for batch in batches:
+        keys, grams_, ns, size = [], [], [], 0
+
+        def flush():
+            gram = np.concatenate(grams_)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array(keys, object), [len(g) for g in grams_]), pa.binary()),
+                 pa.array(gram.view(np.int64), mask=np.concatenate([n == 0 for n in ns])),
+                 pa.array(np.maximum(np.concatenate(ns), 1))], names=FOUND.names)
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            parts = [(np.zeros(1, np.uint64), np.zeros(1, np.int64))]
+            parts += [np.unique(grams(part), return_counts=True) for part in segments(codes(text.as_py()))]
+            for gram, n in parts:
+                keys.append(key)
+                grams_.append(gram)
+                ns.append(n)
+                size += len(gram)
+            if size > SEGMENT // 4:
+                yield flush()
+                keys, grams_, ns, size = [], [], [], 0
+        if keys:
+            yield flush()
+
+
+def _joined(texts: DataFrame, model: Tables) -> DataFrame:
+    """(doc_id, sums, size) of (doc_id, text): each distinct sequence of the texts
+    is looked up once, then joined with the sequences counted per text. Rows of
+    one text are summed together and share the sums, which divide evenly."""
+    width = len(model.langs)
+    keyed = texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.unhex(F.md5("text")))
+    found = written(keyed.select("text_key", "text").mapInArrow(_found, FOUND), "text-grams")
+    looked = found.where("gram is not null").select("gram").distinct()
+    rest = model.left[0].first()["rest"]
+    score = F.array(*[F.lit(x + FLOOR) for x in rest])
+    for o in range(1, ORDER + 1):
+        key, value = f"_gram{o}", f"_logp{o}"
+        looked = looked.join(model.keys[o].select(F.col("gram").alias(key), F.col("logp").alias(value)),
+                             _suffix(looked["gram"], o) == F.col(key), "left")
+        if o > 1:
+            left, weight = f"_left{o}", f"_rest{o}"
+            looked = looked.join(model.left[o - 1].select(F.col("gram").alias(left), F.col("rest").alias(weight)),
+                                 F.shiftrightunsigned(_suffix(looked["gram"], o), 16) == F.col(left), "left")
+            score = F.when(F.col(weight).isNull(), score).otherwise(F.zip_with(weight, score, lambda a, b: a + b))
+        score = F.coalesce(F.col(value), score)
+    looked = written(looked.select("gram", score.alias("units")), "gram-scores")
+    grams_ = found.where("gram is not null").join(looked, "gram").select("text_key", "n", "units", F.lit(0).cast("long").alias("copies"))
+    marks = found.where("gram is null").select("text_key", F.lit(0).cast("long").alias("n"), F.lit(None).cast("array<int>").alias("units"),
+                                               F.col("n").alias("copies"))
+    summed = grams_.unionByName(marks).groupBy("text_key").agg(
+        F.sum("copies").alias("copies"), F.sum("n").alias("size"),
+        *[F.coalesce(F.sum(F.col("n") * F.get("units", F.lit(l))), F.lit(0)).alias(f"_sum{l}") for l in range(width)])
+    per_text = summed.select("text_key", F.expr("size div copies").alias("size"),
+                             F.array(*[F.expr(f"_sum{l} div copies") for l in range(width)]).alias("sums"))
+    return keyed.select("doc_id", "text_key").join(per_text, "text_key", "left").select("doc_id", "sums", "size")
+
+
+def identify(docs: DataFrame, model: Tables | None, id_col: str = "doc_id", text_col: str = "text",
+             tolerance: float = 6.0, slack: float = 0.5, broadcast: int = BROADCAST) -> DataFrame:
     """(doc_id, lang_pred, score, cross_entropy, rejected) for every row.
 
     The language with the lowest cross-entropy per letter over the whole text;
     ties go to the first name. ``score`` weighs the others at the evidence of
     the square root of the length. ``rejected``: the cross-entropy lies more
     than ``slack`` plus ``tolerance`` standard errors above that of the
-    language's own training text.
+    language's own training text. A model of more than ``broadcast`` bytes is
+    joined instead of held, with the same result.
 
     Null text or no letter: ``und``, score 0, no cross-entropy, rejected; so for
     every row without a model. Repeated rows come back each; null ids stay;
     extra columns are not read.
     """
     ready(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    langs, mean, sd = (model.langs, model.mean, model.sd) if model else ([], None, None)
+
+    def judged(ids: pa.Array, sums: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+        rows = len(sizes)
+        pred, conf = [UNKNOWN] * rows, np.zeros(rows)
+        entropy: list[float | None] = [None] * rows
+        rejected = np.ones(rows, bool)
+        if langs and rows:
+            best = sums.argmax(1)
+            top = sums[np.arange(rows), best]
+            root = np.sqrt(np.maximum(sizes, 1))
+            conf = np.where(sizes > 0, 1.0 / np.exp((sums - top[:, None]) / SCALE / root[:, None]).sum(1), 0.0)
+            ce = -top / SCALE / np.maximum(sizes, 1)
+            rejected = (sizes == 0) | (ce > mean[best] + slack + tolerance * sd[best] / root)
+            for i in np.flatnonzero(sizes):
+                pred[i], entropy[i] = langs[best[i]], float(ce[i])
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(pred, pa.string()), pa.array(conf, pa.float64()),
+             pa.array(entropy, pa.float64()), pa.array(rejected, pa.bool_())], names=RESULT.names)
+
+    if model and model.bytes > broadcast:
+        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield judged(batch.column(0), batch.column(1).flatten().to_numpy().reshape(batch.num_rows, len(langs)),
+                             batch.column(2).to_numpy())
+
+        return _joined(texts, model).mapInArrow(judge, RESULT)
+    shared = docs.sparkSession.sparkContext.broadcast(model.local() if model else None)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kn = shared.value
         for batch in batches:
             rows = batch.num_rows
-            pred, conf = [UNKNOWN] * rows, np.zeros(rows)
-            entropy: list[float | None] = [None] * rows
-            rejected = np.ones(rows, bool)
-            if kn is not None and rows:
-                sums, sizes = kn.totals(batch.column(1).to_pylist())
-                best = sums.argmax(1)
-                top = sums[np.arange(rows), best]
-                root = np.sqrt(np.maximum(sizes, 1))
-                conf = np.where(sizes > 0, 1.0 / np.exp((sums - top[:, None]) / root[:, None]).sum(1), 0.0)
-                ce = -top / np.maximum(sizes, 1)
-                rejected = (sizes == 0) | (ce > kn.mean[best] + slack + tolerance * kn.sd[best] / root)
-                for i in np.flatnonzero(sizes):
-                    pred[i], entropy[i] = kn.langs[best[i]], float(ce[i])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(pred, pa.string()), pa.array(conf, pa.float64()),
-                 pa.array(entropy, pa.float64()), pa.array(rejected, pa.bool_())], names=RESULT.names)
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(score, RESULT)
+            sums, sizes = kn.totals(batch.column(1).to_pylist()) if kn is not None and rows else (np.zeros((rows, 0)), np.zeros(rows, np.int64))
+            yield judged(batch.column(0), sums, sizes)
+
+    return texts.mapInArrow(score, RESULT)

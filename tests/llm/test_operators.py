@@ -270,6 +270,40 @@ def test_kneser_ney_is_a_distribution():
     assert np.exp(kn.log_probs(every).astype(float)).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_language_tables_equal_the_model_in_arrays(spark, docs):
+    marked = [(r.lang, r.text) for r in docs.collect() if r.text and r.lang]
+    langs = sorted({x for x, _ in marked})
+    seen = collections.Counter((langs.index(x), g) for x, t in marked for g in language_id.grams(language_id.codes(t)).tolist())
+    pairs = sorted(seen)
+    kn = language_id.KneserNey(langs, np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs], np.uint64),
+                               np.array([seen[p] for p in pairs]))
+    got = language_id.train(docs).local()
+    assert got.langs == langs
+    for o in range(1, language_id.ORDER + 1):
+        assert (got.keys[o] == kn.keys[o]).all() and abs(got.logp[o] - kn.logp[o]).max() <= 1
+        assert (got.left[o - 1] == kn.left[o - 1]).all() and abs(got.rest[o - 1] - kn.rest[o - 1]).max() <= 1
+
+
+def test_language_joined_equals_broadcast(spark, odd, docs):
+    d = docs.select("doc_id", "text", "lang")
+    d = d.union(odd.select("doc_id", "text", "lang")).union(d.limit(5))
+    model = language_id.train(d)
+    held, joined = (sorted(language_id.identify(d, model, broadcast=b).collect(), key=str) for b in (1 << 40, 0))
+    assert held == joined
+
+
+def test_language_small_beside_a_large_one(spark):
+    """More than two million frequent sequences of one language leave the other's in."""
+    rng = np.random.default_rng(5)
+    big = ["".join(map(chr, rng.integers(0x4E00, 0x9FA0, 100_000))) for _ in range(21)]
+    rows = [(i, t, "zh") for i, t in enumerate(big * 2)] + [(100, "quick brown foxes jump over lazy dogs", "zz")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    model = language_id.train(d)
+    assert model.langs == ["zh", "zz"] and model.keys[language_id.ORDER].count() > 2_000_000
+    got = {r.doc_id: r for r in language_id.identify(d, model).collect()}
+    assert got[100].lang_pred == "zz" and got[0].lang_pred == "zh"
+
+
 def test_embedding_links_equal_brute_force(spark):
     rnd = np.random.default_rng(4)
     base = rnd.normal(size=(40, 16))
