@@ -2,8 +2,9 @@
 log-likelihood ratio of its hashed word n-grams between a trusted target and
 the raw corpus.
 
-Native DataFrame functions only. Texts are never shuffled: counts leave a task
-as one row per n-gram bucket, and a document is scored within its own row.
+Native DataFrame functions only. Counts leave a task as one row per n-gram
+bucket, and a document is scored within its own row. Texts are shuffled once, to
+meet the trusted ids, whose number has no bound.
 """
 
 from __future__ import annotations
@@ -78,9 +79,11 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int, prior: float,
     """(bucket, llr): log of the bucket's share in the trusted texts over its
     share in all texts, each with ``prior`` counts more a bucket, so that a
     bucket with little evidence stays near 0. Counts cover every document."""
-    mark = F.broadcast(trusted.select(F.col("doc_id").alias("trusted_id"), F.lit(1).alias("hit")))
+    mark = trusted.select(F.col("doc_id").alias("trusted_id"), F.lit(1).alias("hit"), F.lit(0).cast("long").alias("spread"))
+    # null ids meet no trusted id: spread by their text
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
     grams = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-             .join(mark, F.col("doc_id") == F.col("trusted_id"), "left")
+             .join(mark.hint("merge"), (F.col("doc_id") == F.col("trusted_id")) & (spread == F.col("spread")), "left")
              .select("hit", F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("hashes"))
              .select("hit", F.explode(_buckets(F.col("hashes"), buckets)).alias("bucket")))
     counts = written(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("hit").alias("target")),
@@ -95,24 +98,22 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int, prior: float,
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = 65536, threshold: float = -0.19,
-                  prior: float = 5.0, max_trusted: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  prior: float = 5.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, llr, kept, text_hash) for every row of ``docs``.
 
     ``llr`` is the mean over all one- and two-word sequences (a text's words
     hashed to ``buckets``) of log P_trusted - log P_corpus; a document is kept
     if it passes the base rules and ``llr >= threshold``. Trusted texts are
-    those labelled ``quality`` = 1, at most ``max_trusted`` of them, taken in
-    the order of a hash of their id: that many ids are broadcast. The corpus
-    side and the scores cover all documents.
+    all those labelled ``quality`` = 1. The corpus side and the scores cover all
+    documents.
 
     Null or blank text: no words, so the base rules fail; ``llr`` is 0. No
     labels: every ratio is 0 and the base rules alone decide. Repeated rows are
     judged each on its own, alike. Extra columns are not read.
     """
     trusted = written(labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id"))
-                      .where("doc_id is not null").distinct()
-                      .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted), "trusted-ids")
+                      .where("doc_id is not null").distinct(), "trusted-ids")
     ratios = written(ratio_table(docs, trusted, buckets, prior, id_col, text_col), "ngram-ratios")
     base = with_base(docs, id_col, text_col)
     # one row of ``buckets`` numbers, looked up by place: no row per sequence is made

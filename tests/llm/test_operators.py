@@ -145,6 +145,14 @@ def test_quality_base_counts(docs, odd, marks):
         assert not (r.base_failed and r.kept)
 
 
+def test_quality_ratio_counts_every_trusted_text(spark):
+    """All texts trusted: both sides are alike, however many ids there are."""
+    d = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.sha1(F.col("id").cast("string")), F.lit("and so on")).alias("text"))
+    m = d.select("doc_id", F.lit(1).alias("quality"))
+    top = lambda x: x.agg(F.max(F.abs("llr"))).first()[0]
+    assert top(quality_rules.quality_rules(d, m)) < 1e-12
+
+
 def test_quality_ratio_separates_labels(spark):
     d, m = table(spark, SF01, "documents"), table(spark, SF01, "labels")
     fold = F.crc32(F.col("doc_id").cast("string")) % 2
