@@ -220,12 +220,19 @@ def plausible(n_a: Column, n_b: Column, dist: Column) -> Column:
             & (dist * (100 + PERCENT) <= (n_a + n_b) * (100 - PERCENT)))
 
 
-def exact_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, grams) of the nodes in ``members`` (node, first_doc), from one document each."""
+def exact_sets(docs: DataFrame, members: DataFrame, seed: int) -> DataFrame:
+    """(node, grams) of the nodes in ``members`` (node, first_doc), from one
+    document each. Of rows that share an id only those with the node's own set
+    count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = [shingles(t.as_py()).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(grams)], names=["node", "grams"])
+            nodes, grams = [], []
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = shingles(text.as_py())
+                if names(own, seed)[0] == node:
+                    nodes.append(node)
+                    grams.append(own.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), _lists(grams)], names=["node", "grams"])
     chosen = docs.join(members, docs["row_key"] == members["first_doc"]).select("node", "text")
     return written(chosen.mapInArrow(run, "node long, grams array<long>").dropDuplicates(["node"]), "jaccard-sets")
 
@@ -233,8 +240,8 @@ def exact_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
 class ExactSets:
     """Exact sets of the nodes asked for so far, each fetched from its text once."""
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame):
-        self.docs, self.nodes, self.tables = docs, nodes, []
+    def __init__(self, docs: DataFrame, nodes: DataFrame, seed: int):
+        self.docs, self.nodes, self.seed, self.tables = docs, nodes, seed, []
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose exact sets are similar enough."""
@@ -243,7 +250,7 @@ class ExactSets:
             used = used.join(t.select("node"), "node", "left_anti")
         members = written(used.join(self.nodes.select("node", "first_doc"), "node"), "jaccard-used")
         if not members.isEmpty():
-            self.tables.append(exact_sets(self.docs, members))
+            self.tables.append(exact_sets(self.docs, members, self.seed))
         discard(members)
         if not self.tables:            # no pair so far
             return pairs.select("a", "b")
@@ -385,7 +392,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     dist = star.join(left, "a").join(right, "b").withColumn("dist", sketch_distance(F.col("sa"), F.col("sb")))
     pairs = written(dist.where(plausible(F.col("na"), F.col("nb"), F.col("dist"))).select("a", "b", "dist"), "jaccard-star")
     by_key = plain.select(F.col("doc_id").alias("row_key"), "text").where("row_key is not null")
-    exact = ExactSets(by_key, nodes)
+    exact = ExactSets(by_key, nodes, seed)
     tested = written(nearest_each(pairs), "jaccard-tested")
     links = exact.links(tested)
     tested = tested.select("a", "b")

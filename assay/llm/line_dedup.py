@@ -60,12 +60,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .groupBy("doc_id", "th").agg(F.collect_set("line").alias("lost"))
             .select(F.col("doc_id").alias("lost_id"), F.col("th").alias("lost_th"), "lost"))
     joined = keyed.join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")) & (F.col("th") == F.col("lost_th")), "left")
-    kept = let(F.array_sort("lost"), lambda gone: let(
-        F.concat(F.array(F.lit(-1)), gone, F.array(F.size(lines))),
+    # bound once a row: a filter on the result would paste the split into the lambdas
+    kept = let(F.col("lines"), lambda parts: let(F.array_sort("lost"), lambda gone: let(
+        F.concat(F.array(F.lit(-1)), gone, F.array(F.size(parts))),
         lambda edge: F.array_join(F.flatten(F.transform(
             F.sequence(F.lit(1), F.size(edge) - 1),
-            lambda i: F.slice(F.col("lines"), F.get(edge, i - 1) + 2,
-                              F.get(edge, i) - F.get(edge, i - 1) - 1))), "\n")))
+            lambda i: F.slice(parts, F.get(edge, i - 1) + 2,
+                              F.get(edge, i) - F.get(edge, i - 1) - 1))), "\n"))))
     cut_up = joined.withColumn("lines", lines)
     return cut_up.select(
         "doc_id", F.when(F.col("lost").isNull(), F.col("text")).otherwise(kept).alias("text"),

@@ -61,7 +61,7 @@ def with_base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("hashes")).alias("n_repeat_words"), "hashes")
+        let(F.col("hashes"), repeated_words).alias("n_repeat_words"), "hashes")
     return counted.withColumn("base_failed", (F.col("n_words") < 10)
                               | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20))
 
@@ -85,7 +85,7 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int, prior: float,
     grams = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
              .join(mark.hint("merge"), (F.col("doc_id") == F.col("trusted_id")) & (spread == F.col("spread")), "left")
              .select("hit", F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("hashes"))
-             .select("hit", F.explode(_buckets(F.col("hashes"), buckets)).alias("bucket")))
+             .select("hit", F.explode(let(F.col("hashes"), lambda h: _buckets(h, buckets))).alias("bucket")))
     counts = written(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("hit").alias("target")),
                      "ngram-counts")
     total = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
@@ -119,7 +119,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = 65536, thre
     # one row of ``buckets`` numbers, looked up by place: no row per sequence is made
     by_place = (docs.sparkSession.range(buckets).join(ratios, F.col("id") == F.col("bucket"), "left")
                 .agg(F.array_sort(F.collect_list(F.struct("id", F.coalesce("llr", F.lit(0.0)).alias("llr"))))["llr"]).scalar())
-    total = F.aggregate(_buckets(F.col("hashes"), buckets), F.lit(0.0), lambda a, b: a + F.get(F.col("by_place"), b))
+    # bound once a row: a filter on the result would paste the split into the lambdas
+    total = let(F.col("hashes"), lambda h: F.aggregate(_buckets(h, buckets), F.lit(0.0), lambda a, b: a + F.get(F.col("by_place"), b)))
     n = F.greatest(2 * F.size("hashes") - 1, F.lit(1))
     scored = base.withColumn("by_place", by_place).withColumn("llr", F.when(F.size("hashes") > 0, total / n).otherwise(F.lit(0.0)))
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr",

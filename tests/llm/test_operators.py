@@ -6,6 +6,7 @@ import heapq
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -160,6 +161,30 @@ def test_quality_ratio_separates_labels(spark):
     assert got[got.quality == 1].kept.mean() > 0.97 and got[got.quality == 0].kept.mean() < 0.2
 
 
+def test_filtered_results_grow_with_the_text(spark):
+    """A filter on the result must not split a text once per word or line."""
+    def took(n, run):
+        text = "\n".join(f"w{i} x{i} y{i}" for i in range(n)) + "\n" + "\n".join(f"w{i} x{i} y{i}" for i in range(9))
+        d = spark.createDataFrame([(1, text), (2, text + " tail")], "doc_id long, text string")
+        t = time.time()
+        assert run(d).collect() is not None
+        return time.time() - t
+    m = table(spark, SMALL, "labels")
+    for run in (lambda d: quality_rules.quality_rules(d, m).where("kept").select("doc_id"),
+                lambda d: line_dedup.line_dedup(d).where("text <> ''").select("doc_id")):
+        took(500, run)
+        short, long = took(2_000, run), took(20_000, run)
+        assert long < 10 * short + 10, (short, long)
+
+
+def test_jaccard_two_texts_with_one_id(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail")]
+    for order in (rows, rows[::-1]):
+        d = spark.createDataFrame(order, "doc_id long, text string")
+        assert {(r.doc_id, r.component_id) for r in jaccard_join.jaccard_components(d).collect()} == {(1, 1), (2, 1), (3, 1)}
+
+
 def brute_components(rows):
     sets = {}
     for i, text in rows:
