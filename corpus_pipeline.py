@@ -32,8 +32,8 @@ def _same_row(docs: DataFrame, rows: DataFrame):
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or the likelihood ratio go."""
-    judged = quality_rules.quality_rules(docs, table(spark, sf_dir, "labels"))
-    rejected = written(judged.where(~F.col("kept")).select(F.col("doc_id").alias(ID), F.col("text_hash").alias(HASH)), "rejected")
+    judged = written(quality_rules.quality_rules(docs, table(spark, sf_dir, "labels")).select("doc_id", "text_hash", "kept"), "judged")
+    rejected = judged.where(~F.col("kept")).select(F.col("doc_id").alias(ID), F.col("text_hash").alias(HASH))
     return docs.join(rejected, _same_row(docs, rejected), "left_anti")
 
 
@@ -42,7 +42,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     plain = line_dedup.line_dedup(docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(others)]),
                                   carry=[f"_c{i}" for i in range(len(others))])
-    left = plain.where((F.col("n_removed") == 0) | (F.coalesce(F.col("text"), F.lit("")) != ""))
+    left = written(plain, "cut-lines").where((F.col("n_removed") == 0) | (F.coalesce(F.col("text"), F.lit("")) != ""))
     out = {"doc_id": F.col("doc_id"), "text": F.col("text")} | {c: F.col(f"_c{i}") for i, c in enumerate(others)}
     if "n_chars" in out:
         out["n_chars"] = F.char_length("text").cast("long")
