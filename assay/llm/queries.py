@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assay.functions.scalar import round_doubles
-from assay.llm import (bpe, embedding_dedup, jaccard_join, language_id, line_dedup, lm_scoring, mixing,
-                       quality_qda, quality_rules, sharding, sql)
+from assay.llm import (alignment, bpe, conversation_trie, embedding_dedup, jaccard_join, language_id, line_dedup, lm_scoring,
+                       mixing, quality_qda, quality_rules, sharding, sql, substring_dedup)
 from assay.llm.common import table
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,8 +60,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held_out)
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_file(), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_mix_sources, op3_bpe, op4_quality_rules, op5_jaccard_join, op6_sharding,
-    op7_lm_scoring, op8_quality_classifier, op9_embedding_dedup, op10_language_id)}
+    op7_lm_scoring, op8_quality_classifier, op9_embedding_dedup, op10_language_id,
+    op11_substring_dedup, op12_tokenizer_alignment, op13_conversation_trie)}
 ORACLE = {"op1_line_dedup": sql.LINE_DEDUP.strip(), "op2_mix_sources": sql.MIX_SOURCES.strip(),
-          "op5_jaccard_join": sql.JACCARD.strip()}
+          "op5_jaccard_join": sql.JACCARD.strip(), "op11_substring_dedup": sql.SUBSTRING_DEDUP.strip(),
+          "op13_conversation_trie": sql.CONVERSATION_TRIE.strip()}

@@ -66,3 +66,46 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.y) AS component_id
 FROM documents d JOIN r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY 1, 2
 """.replace("{words}", _WORDS.replace(
     "{text}", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"))
+
+SUBSTRING_DEDUP = r"""
+WITH w AS (SELECT doc_id, {words} AS ws FROM documents),
+win AS (SELECT doc_id, p, md5(array_to_string(ws[p:p + 49], ' ')) AS h
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM w WHERE len(ws) >= 50)),
+earliest AS (SELECT h, min(doc_id) AS lo FROM win GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS i FROM win JOIN earliest USING (h) WHERE lo < doc_id),
+each AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""".replace("{words}", _WORDS.replace("{text}", "coalesce(text, '')"))
+
+#: The checksum of an id's decimal form is taken bit by bit (fixed value: the
+#: reversed CRC-32 polynomial 0xEDB88320 = 3988292384).
+CONVERSATION_TRIE = r"""
+WITH t AS (
+  SELECT conv_id AS c, length(coalesce(text, '')) AS chars, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT c, count(*) AS n, c - c % 100 AS base, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)) AS digits FROM t GROUP BY c),
+h AS (SELECT c, n, base, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, digits), lambda crc, b:
+        list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1))))) % 6 AS h FROM n),
+r AS (SELECT h.c, b.pos, b.k, b.chars FROM h JOIN t b ON b.c = h.base AND b.pos < h.h
+      UNION ALL
+      SELECT h.c, t.pos - h.h + least(h.h, coalesce(b.n, 0)), t.k, t.chars FROM t JOIN h ON h.c = t.c AND t.pos >= h.h LEFT JOIN n b ON b.c = h.base),
+s AS (SELECT h.c, coalesce(list(r.k ORDER BY r.pos) FILTER (WHERE r.k IS NOT NULL), []) AS ks,
+             coalesce(list(r.chars ORDER BY r.pos) FILTER (WHERE r.k IS NOT NULL), []) AS cs FROM h LEFT JOIN r ON r.c = h.c GROUP BY h.c),
+p AS (SELECT c, d, len(ks) AS size, coalesce(cs[d], 0) AS chars, md5(array_to_string(ks[1:d], '|')) AS node,
+             CASE WHEN d > 0 THEN md5(array_to_string(ks[1:d - 1], '|')) END AS up
+      FROM (SELECT c, ks, cs, unnest(range(0, len(ks) + 1)) AS d FROM s)),
+g AS (SELECT node, d AS depth, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+             sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE d = size), '')) AS ends_sha256 FROM p GROUP BY node, d),
+kids AS (SELECT up, count(*) AS n_children FROM g WHERE up IS NOT NULL GROUP BY up),
+v AS (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN kids ON kids.up = g.node),
+sums AS (SELECT p.node, sum(CASE WHEN v.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((v.n_convs - 1) * v.chars) AS saved_tokens
+         FROM v JOIN p ON p.c = v.conv_id AND p.d <= v.depth GROUP BY p.node)
+SELECT CAST(v.conv_id AS BIGINT) AS conv_id, CAST(v.depth AS BIGINT) AS depth, CAST(u.conv_id AS BIGINT) AS parent_conv_id,
+       CAST(v.n_convs AS BIGINT) AS n_convs, CAST(v.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM v JOIN sums ON sums.node = v.node LEFT JOIN g u ON u.node = v.up
+"""
