@@ -132,3 +132,10 @@ def fill_missing_features(df: DataFrame, features: Sequence[str],
     number of filled cells per row as ``_filled`` so the choice is counted."""
     filled = sum((F.col(f"`{c}`").isNull().cast("int") for c in features), F.lit(0))
     return df.withColumn("_filled", filled).fillna(value, subset=list(features))
+
+
+def single_precision(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Features at single precision (still double columns). The last digits of a
+    mean depend on the order in which rows were added up, and a tree may split
+    right there; at single precision a stream and a batch score alike."""
+    return df.withColumns({c: F.col(f"`{c}`").cast("float").cast("double") for c in features})

@@ -63,7 +63,7 @@ def run_model(spark: SparkSession, lake: M.Lake, sensors=K.SENSORS,
     at ``threshold``. Results are written under ``<lake>/ml``."""
     fact = read_layer(spark, lake.path("gold", "fait_test_moteur"))
     feats = FE.feature_names(sensors)
-    frame = FE.fill_missing_features(FE.ml_frame(fact, sensors), feats)
+    frame = FE.single_precision(FE.fill_missing_features(FE.ml_frame(fact, sensors), feats), feats)
     split = (SP.stratified_split_exact(frame) if rare_exact else SP.stratified_split(frame))
     write_layer(split, lake.path("ml", "split"))
     split = read_layer(spark, lake.path("ml", "split"))

@@ -57,6 +57,32 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("K"))
 
 
+def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``source_events`` with the faults that test benches make: files without a
+    serial, impossible or missing dates, decimal commas, text for numbers."""
+    ev = B.table(spark, sf_dir, "events")
+    every = lambda n: F.col("event_id") % n == 0
+    value = F.col("value").cast("string")
+    return ev.select(
+        F.when(F.col("event_type") == "error", F.lit("TimeSeries_unknown"))
+        .otherwise(F.concat(F.lit("TimeSeries_"), F.md5(F.col("user_id").cast("string")))).alias("_test"),
+        F.when(every(13), F.lit("31/02/2024")).when(~every(17), F.date_format("ts", "dd/MM/yyyy")).alias(K.DATE),
+        F.date_format("ts", "HH:mm:ss").alias(K.TIME),
+        F.col("event_type").alias(K.PHASE),
+        F.when(every(7), F.regexp_replace(value, r"\.", ",")).otherwise(value).alias("VALUE"),
+        F.when(every(11), F.lit("n/a")).otherwise(F.get_json_object("props", "$.k")).alias("K"))
+
+
+def write_test_files(events: DataFrame, path: str) -> str:
+    """One file per test: all rows of a folder are written by one task, in time
+    order (``events`` as from ``source_events``, a test per folder)."""
+    n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (events.repartition(n, "_test").sortWithinPartitions("_test", K.DATE, K.TIME).write.mode("overwrite").partitionBy("_test")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("header", True).option("sep", ";").csv(path))
+    return path
+
+
 def source_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders as a results source file. Orders in status 'P' carry the
     verdict as badly typed text (' W', 'g'): the label rule keeps them 0 and

@@ -78,19 +78,25 @@ def q_scored_motors(spark, d):
                                  model_version="rf-200x8-seed42")
 
 
-@query("scored_fact", rounded=False)
-def q_scored_fact(spark, d):
-    """The reference's end-to-end flow on the gold fact (binding B): 20
-    sequence features by inclusion, NULL std of one-reading units filled and
-    counted, hash split, class weights from the training split, weighted
-    random forest, test units scored at threshold 0.05."""
+def fit_fact_forest(spark, d):
+    """The weighted random forest of the gold fact (binding B) and the test
+    units: 20 sequence features by inclusion, NULL std of one-reading units filled
+    and counted, hash split, class weights from the training split."""
     from assay.operators import features as FE
     from assay.plans.queries_core import fact_b
     feats = FE.feature_names(B.SENSORS_B)
-    frame = FE.fill_missing_features(FE.ml_frame(fact_b(spark, d), B.SENSORS_B), feats)
+    frame = FE.single_precision(FE.fill_missing_features(FE.ml_frame(fact_b(spark, d), B.SENSORS_B), feats), feats)
     train, test = SP.train_test(frame)
     SP.require_both_classes(SP.class_weights(train))
     train = SP.with_class_weight(train).persist(StorageLevel.MEMORY_AND_DISK)
     model = MD.fit("rf", train, feats)
     train.unpersist()
+    return model, test
+
+
+@query("scored_fact", rounded=False)
+def q_scored_fact(spark, d):
+    """The reference's end-to-end flow on the gold fact (binding B): weighted
+    random forest, test units scored at threshold 0.05."""
+    model, test = fit_fact_forest(spark, d)
     return MD.score_units(model, test, threshold=K.FINAL_THRESHOLD)
