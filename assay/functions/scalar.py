@@ -100,6 +100,13 @@ def outcome_label(label: str | Column, prediction: str | Column) -> Column:
             .otherwise(F.lit(K.OUTCOME_TN)))
 
 
+def place_among(value: Column, cuts: Column, size: int) -> Column:
+    """How many of the ascending ``cuts`` (an array of ``size``, a power of two
+    less one) lie below ``value``: a binary search of log2(size) steps."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(size.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at))
+
+
 def split_hash(key: str | Column, seed: int = K.SPLIT_SEED) -> Column:
     """First 8 hex digits of md5(key || ':' || seed) as a non-negative bigint."""
     h = F.md5(F.concat(col(key).cast("string"), F.lit(f":{seed}")))

@@ -4,10 +4,10 @@ SC14-SC16, FI3-FI4, AG18-AG19, SO6).
 Counts are single-pass conditional aggregates (the reference runs four
 filtered counts per threshold: 40 jobs for a 10-threshold sweep; here it is
 one). Curves (ROC / PR) never sort all rows in one task: rows are first
-reduced to one row per distinct score (map-side), the distinct scores are
-range-partitioned into chunks, running sums are taken inside each chunk and
-offset by the totals of the preceding chunks (a table with one row per
-chunk). ROC and PR areas come from one such table (``curve_areas``).
+reduced to one row per distinct score (map-side), the score range is cut into
+chunks, running sums are taken inside each chunk and offset by the totals of the
+chunks above (a table with one row per chunk). ROC and PR areas come from one
+such table (``curve_areas``).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from assay import constants as K
-from assay.functions.scalar import apply_threshold, f1_from, outcome_label, safe_ratio
+from assay.functions.scalar import apply_threshold, f1_from, outcome_label, place_among, safe_ratio
 
 
 def with_prediction(df: DataFrame, score: str = K.PROBABILITY,
@@ -62,19 +62,24 @@ def confusion_matrix(df: DataFrame, label: str = K.LABEL,
             .orderBy(label, prediction))
 
 
-def accuracy_f1w(df: DataFrame, label: str = K.LABEL,
-                 prediction: str = K.FINAL_PREDICTION) -> DataFrame:
-    """EV1: accuracy and class-weighted F1 (as the multiclass evaluator's
-    ``f1``): sum over the label classes present of share(c) * F1(c)."""
-    c = df.agg(*_cells(F.col(label), F.col(prediction)))
+def with_accuracy(cells: DataFrame) -> DataFrame:
+    """EV1 from the class counts TP, FP, TN, FN: accuracy and class-weighted F1
+    (as the multiclass evaluator's ``f1``): sum over the label classes present of
+    share(c) * F1(c)."""
     tp, fp, tn, fn = (F.col(x).cast("double") for x in ("TP", "FP", "TN", "FN"))
     n = tp + fp + tn + fn
     f1_pos = safe_ratio(2 * tp, 2 * tp + fp + fn)
     f1_neg = safe_ratio(2 * tn, 2 * tn + fn + fp)
-    return c.select(
-        safe_ratio(tp + tn, n).alias("accuracy"),
-        safe_ratio((tp + fn) * f1_pos + (tn + fp) * f1_neg, n).alias("f1_weighted"),
-        safe_ratio(2 * tp, 2 * tp + fp + fn).alias("f1_anomaly"))
+    return (cells.withColumn("accuracy", safe_ratio(tp + tn, n))
+            .withColumn("f1_weighted", safe_ratio((tp + fn) * f1_pos + (tn + fp) * f1_neg, n))
+            .withColumn("f1_anomaly", f1_pos))
+
+
+def accuracy_f1w(df: DataFrame, label: str = K.LABEL,
+                 prediction: str = K.FINAL_PREDICTION) -> DataFrame:
+    """EV1: accuracy and class-weighted F1 of the rows."""
+    cells = df.agg(*_cells(F.col(label), F.col(prediction)))
+    return with_accuracy(cells).select("accuracy", "f1_weighted", "f1_anomaly")
 
 
 def threshold_sweep(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABILITY,
@@ -83,10 +88,12 @@ def threshold_sweep(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABIL
 
     One global aggregate with 2 conditional counts per threshold plus the
     class totals (partial per partition, one tiny final row), then one row
-    per threshold. Ordered by decreasing threshold.
+    per threshold. Ordered by decreasing threshold. Units without a score are in
+    no cell: they were neither predicted good nor bad.
     """
     y, s = F.col(label), F.col(score)
-    aggs = [F.count_if(y == 1).alias("_P"), F.count_if(y == 0).alias("_N")]
+    known = s.isNotNull()
+    aggs = [F.count_if((y == 1) & known).alias("_P"), F.count_if((y == 0) & known).alias("_N")]
     for i, t in enumerate(thresholds):
         hit = s >= F.lit(float(t))
         aggs += [F.count_if((y == 1) & hit).alias(f"tp{i}"),
@@ -132,48 +139,49 @@ def score_histogram(scored: DataFrame, score: str = K.PROBABILITY, label: str =
 
 
 # ------------------------------------------------------------------ curves
-def _score_groups(df: DataFrame, label: str, score: str) -> DataFrame:
-    return df.groupBy(F.col(score).alias("_s")).agg(
-        F.count_if(F.col(label) == 1).cast("double").alias("_pos"),
-        F.count(F.lit(1)).cast("double").alias("_n"))
-
-
-def _running_by_score(g: DataFrame, chunks: int) -> DataFrame:
-    """Running sums of _pos and _n over decreasing score, without one-task
-    windows: chunk = range partition of the distinct scores (descending),
-    fixed by a reliable checkpoint because the partition index is data here
-    (and every later read of the table hits the checkpoint, not the scores).
-    Adds cum_pos, cum_n (inclusive) and the totals tot_pos, tot_n."""
-    from assay.session import checkpoint_root
-    checkpoint_root(g.sparkSession)
-    ranged = (g.repartitionByRange(chunks, F.desc("_s"))
-              .withColumn("_chunk", F.spark_partition_id())
-              .checkpoint(eager=True))
-    tot = ranged.groupBy("_chunk").agg(F.sum("_pos").alias("_cp"), F.sum("_n").alias("_cn"))
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy(F.lit(0))
-    # one row per chunk: these windows are bounded by the chunk count, and so
-    # is the broadcast below.
-    offsets = tot.select("_chunk",
-                         F.coalesce(F.sum("_cp").over(before), F.lit(0.0)).alias("_op"),
-                         F.coalesce(F.sum("_cn").over(before), F.lit(0.0)).alias("_on"),
-                         F.sum("_cp").over(every).alias("tot_pos"),
-                         F.sum("_cn").over(every).alias("tot_n"))
+#: Cut points of the score range; so many distinct scores a chunk, if they suffice.
+CUTS = 1023
+SCORES_A_CHUNK = 1_000_000
+
+
+def _running_by_score(df: DataFrame, label: str, score: str, chunks: int | None) -> DataFrame:
+    """One row per distinct score with running sums over decreasing score
+    (cum_pos, cum_n, inclusive) and the totals tot_pos, tot_n; NULL scores rank
+    nothing and are left out.
+
+    Rows are first counted per score (map-side). A quantile sketch of the distinct
+    scores cuts their range; a score's chunk is its place among the cuts, a pure
+    function of the score, so nothing has to be checkpointed. The sketch and the
+    chunks read the same exchange. Running sums are taken inside a chunk and
+    added to the totals of the chunks above it (one row a chunk)."""
+    g = (df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("_s"))
+         .agg(F.count_if(F.col(label) == 1).cast("double").alias("_pos"), F.count(F.lit(1)).cast("double").alias("_n")))
+    points = [(i + 1) / (CUTS + 1) for i in range(CUTS)]
+    sketch = g.agg(F.struct(F.count(F.lit(1)).alias("n"), F.percentile_approx("_s", points, 10 * (CUTS + 1)).alias("cuts"),
+                            F.sum("_pos").alias("pos"), F.sum("_n").alias("rows"))).scalar()
+    # as many chunks as the scores need, out of the finest cut
+    wanted = F.lit(chunks) if chunks else F.least(F.lit(CUTS + 1), F.ceil(F.col("_sketch.n") / F.lit(SCORES_A_CHUNK)))
+    place = place_among(F.col("_s"), F.col("_sketch.cuts"), CUTS)
+    cut = (g.withColumn("_sketch", sketch)
+           .select("_s", "_pos", "_n", F.col("_sketch.pos").alias("tot_pos"), F.col("_sketch.rows").alias("tot_n"), F.when(wanted > 1, F.floor(place * wanted / F.lit(CUTS + 1))).otherwise(F.lit(0)).cast("int").alias("_chunk")))
+    totals = cut.groupBy("_chunk").agg(F.sum("_pos").alias("_cp"), F.sum("_n").alias("_cn"))
+    above = Window.orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per chunk, at most CUTS + 1
+    offsets = totals.select(F.col("_chunk").alias("_o_chunk"),
+                            F.coalesce(F.sum("_cp").over(above), F.lit(0.0)).alias("_op"),
+                            F.coalesce(F.sum("_cn").over(above), F.lit(0.0)).alias("_on"))
     w = (Window.partitionBy("_chunk").orderBy(F.desc("_s"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (ranged.join(F.broadcast(offsets), "_chunk")
-            .withColumn("cum_pos", F.col("_op") + F.sum("_pos").over(w))
-            .withColumn("cum_n", F.col("_on") + F.sum("_n").over(w)))
-
-
-def _chunks(df: DataFrame, chunks: int | None) -> int:
-    return chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    summed = cut.withColumn("_rp", F.sum("_pos").over(w)).withColumn("_rn", F.sum("_n").over(w))
+    return (summed.join(F.broadcast(offsets), F.col("_chunk") == F.col("_o_chunk"))
+            .withColumn("cum_pos", F.col("_op") + F.col("_rp"))
+            .withColumn("cum_n", F.col("_on") + F.col("_rn")).drop("_o_chunk", "_rp", "_rn"))
 
 
 def pr_curve(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABILITY,
              chunks: int | None = None) -> DataFrame:
     """Points (threshold, recall, precision, ...) per distinct score."""
-    r = _running_by_score(_score_groups(df, label, score), _chunks(df, chunks))
+    r = _running_by_score(df, label, score, chunks)
     return (r.withColumnRenamed("_s", "threshold")
             .withColumn("recall", F.try_divide(F.col("cum_pos"), F.col("tot_pos")))
             .withColumn("precision", F.try_divide(F.col("cum_pos"), F.col("cum_n"))))
@@ -181,40 +189,31 @@ def pr_curve(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABILITY,
 
 def curve_areas(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABILITY,
                 chunks: int | None = None) -> DataFrame:
-    """EV3 + EV4 from one running-sum table: one row with
+    """EV3 + EV4 in one pass: one row with
 
     * ``roc_auc``: exact area under ROC, ties counted one half;
     * ``pr_auc``: trapezoid area under (recall, precision) with the first
       point (0, precision at the highest score) -- the binary evaluator's rule.
 
-    Both equal the evaluator with ``numBins=0``. The previous PR point of a
-    chunk's first row is the last point of the chunk above (one row per chunk).
+    Both equal the evaluator with ``numBins=0``. A point's predecessor follows
+    from its own running sums less its own counts.
     """
-    pts = pr_curve(df, label, score, chunks)
-    w = Window.partitionBy("_chunk").orderBy(F.desc("threshold"))
-    last = pts.groupBy("_chunk").agg(
-        F.min_by(F.struct("recall", "precision"), F.col("threshold")).alias("_l"))
-    prev_chunk = last.select(F.col("_chunk"), F.lag("_l").over(Window.orderBy("_chunk")).alias("_pl"))
-    p = (pts.join(F.broadcast(prev_chunk), "_chunk")
-         .withColumn("_r0", F.coalesce(F.lag("recall").over(w), F.col("_pl.recall"), F.lit(0.0)))
-         .withColumn("_q0", F.coalesce(F.lag("precision").over(w), F.col("_pl.precision"),
-                                       F.col("precision"))))
+    p = pr_curve(df, label, score, chunks)
+    pos0, n0 = F.col("cum_pos") - F.col("_pos"), F.col("cum_n") - F.col("_n")
+    recall0 = F.try_divide(pos0, F.col("tot_pos"))
+    precision0 = F.coalesce(F.try_divide(pos0, n0), F.col("precision"))
     neg = F.col("_n") - F.col("_pos")
     return p.agg(
         F.try_divide(F.sum(neg * (F.col("cum_pos") - F.col("_pos") / 2.0)),
                      F.sum("_pos") * F.sum(neg)).alias("roc_auc"),
-        F.sum((F.col("recall") - F.col("_r0")) *
-              (F.col("precision") + F.col("_q0")) / 2.0).alias("pr_auc"))
+        F.sum((F.col("recall") - recall0) * (F.col("precision") + precision0) / 2.0).alias("pr_auc"))
 
 
 def roc_auc(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABILITY,
             chunks: int | None = None) -> DataFrame:
     """EV3: exact area under ROC, ties counted one half (equals the binary
-    evaluator with ``numBins=0``); ROC needs only the running positives."""
-    r = _running_by_score(_score_groups(df, label, score), _chunks(df, chunks))
-    neg = F.col("_n") - F.col("_pos")
-    return r.agg(F.try_divide(F.sum(neg * (F.col("cum_pos") - F.col("_pos") / 2.0)),
-                              F.sum("_pos") * F.sum(neg)).alias("roc_auc"))
+    evaluator with ``numBins=0``)."""
+    return curve_areas(df, label, score, chunks).select("roc_auc")
 
 
 def pr_auc(df: DataFrame, label: str = K.LABEL, score: str = K.PROBABILITY,

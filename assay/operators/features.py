@@ -56,7 +56,10 @@ def exact_medians(series: DataFrame, key: str, sensors: Sequence[str],
                                F.sum("_cc").over(unit).alias("_n"))
     inside = (Window.partitionBy(key, "_sensor", "_chunk").orderBy("_v")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = (ranged.join(offsets, [key, "_sensor", "_chunk"])
+    other = offsets.select(F.col(key).alias("_o_key"), F.col("_sensor").alias("_o_sensor"), F.col("_chunk").alias("_o_chunk"), "_off", "_n")
+    # null-safe: readings without a unit have a median too
+    cum = (ranged.join(other, F.col(key).eqNullSafe(F.col("_o_key")) & (F.col("_sensor") == F.col("_o_sensor"))
+                       & (F.col("_chunk") == F.col("_o_chunk")))
            .withColumn("_cum", F.col("_off") + F.sum("_c").over(inside)))
     med = (cum.where(F.col("_cum") * 2 >= F.col("_n"))
            .groupBy(key, "_sensor").agg(F.min("_v").alias("_med")))
@@ -103,7 +106,8 @@ def sequence_features(series: DataFrame, key: str = K.SERIAL, ts: str = K.TS,
     if by:
         raise ValueError("exact_median is per unit; it does not combine with extra groupings")
     order = [key] + feature_names(sensors) + ([*K.LEAK_COLUMNS] if leak_columns else [])
-    return out.join(exact_medians(series, key, sensors), key, "left").select(*order)
+    medians = exact_medians(series, key, sensors).withColumnRenamed(key, "_m_key")
+    return out.join(medians, F.col(key).eqNullSafe(F.col("_m_key")), "left").select(*order)
 
 
 def ml_frame(fact: DataFrame, sensors: Sequence[str], key: str = K.SERIAL,

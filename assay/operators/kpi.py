@@ -14,8 +14,10 @@ from assay.functions.scalar import safe_ratio
 
 def kpi_overview(fact: DataFrame, predictions: DataFrame, key: str = K.SERIAL,
                  label: str = K.LABEL, prediction: str = K.FINAL_PREDICTION) -> DataFrame:
-    """BI1: tested units, scored units, real anomaly rate (%), predicted rate (%)."""
-    p = predictions.select(key, F.col(prediction).alias("_pred"))
+    """BI1: tested units, scored units, real anomaly rate (%), predicted rate (%).
+    A unit scored several times counts once, as an anomaly if any score says so;
+    a unit without a serial is tested and not scored."""
+    p = predictions.groupBy(key).agg(F.max(prediction).alias("_pred"))
     j = fact.select(key, label).join(p, key, "left")
     return j.agg(
         F.count(F.lit(1)).alias("units_tested"),

@@ -18,7 +18,6 @@ table).
 from __future__ import annotations
 
 import argparse
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,14 +42,9 @@ SOURCE_FOLDERS = {"timeseries": "TimeSeries", "results": "Results",
 
 
 def source_paths(sources: str) -> dict[str, str]:
-    """The source folders that exist under ``sources`` (local or remote: a
-    missing optional folder is detected when it is read)."""
-    out = {}
-    for name, folder in SOURCE_FOLDERS.items():
-        path = f"{sources.rstrip('/')}/{folder}"
-        if "://" in path or os.path.isdir(path) or name in ("timeseries", "results"):
-            out[name] = path
-    return out
+    """The source folders under ``sources`` (local or remote). An optional one
+    that is missing is noticed when it is listed."""
+    return {name: f"{sources.rstrip('/')}/{folder}" for name, folder in SOURCE_FOLDERS.items()}
 
 
 def run_model(spark: SparkSession, lake: M.Lake, sensors=K.SENSORS,
@@ -99,9 +93,9 @@ def run_model(spark: SparkSession, lake: M.Lake, sensors=K.SENSORS,
 def run_audits(spark: SparkSession, lake: M.Lake, sensors=K.SENSORS) -> DataFrame:
     """The data-quality findings of the layers, each written under
     ``<lake>/audit/<name>``; returns one row per audit with its row count."""
-    ts = read_layer(spark, lake.path("silver", "timeseries_clean"))
+    ts = M.read_series(spark, lake)[0]
     fact = read_layer(spark, lake.path("gold", "fait_test_moteur"))
-    res = CL.clean_results(read_layer(spark, lake.path("bronze", "results")))
+    res = CL.clean_results(M.read_bronze(spark, lake, "results"))
     audits = {
         "grain": AU.grain_check(fact),
         "nulls": AU.null_audit(fact),

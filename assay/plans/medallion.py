@@ -2,7 +2,7 @@
 
 ``bronze``, ``silver`` and ``gold`` each read the previous layer from storage
 and overwrite theirs, as the reference's three scripts do; counts come back
-as one small DataFrame per layer instead of repeated ``count()`` jobs.
+as one small DataFrame per layer (bronze: from the file ledger).
 
 ``write_sources`` is test-data binding D: it writes the events / orders
 tables as the reference's source folders (';' CSV with header, one folder per
@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +23,9 @@ from assay.operators import features as FE
 from assay.operators import label as LB
 from assay.operators import star as ST
 from assay.plans import bindings as B
-from assay.sources.delimited import SOURCE_FILE, read_delimited
-from assay.sources.layers import (export_dataset, read_layer, read_optional, save_bucketed,
+from assay.sources import ledger as LD
+from assay.sources.delimited import SOURCE_FILE, header_of, read_delimited
+from assay.sources.layers import (drop_layer, export_dataset, read_layer, read_optional, save_bucketed,
                                   save_table, write_layer)
 
 # --- fixed values: binding D layout ------------------------------------------
@@ -33,6 +33,8 @@ TS_COLUMNS_D = [K.DATE, K.TIME, K.PHASE, "VALUE", "K"]
 RESULT_COLUMNS_D = [K.SERIAL, K.RESULT, K.STAND, "TEST_DATE", "TEST_ID"]
 SENSORS_D = ["VALUE", "K"]
 # --- end of fixed values ----------------------------------------------------
+QUARANTINED = "_quarantined"
+PARTS = {"timeseries_clean": f"timeseries/{QUARANTINED}=0", "timeseries_quarantine": f"timeseries/{QUARANTINED}=1"}
 
 
 @dataclass
@@ -40,7 +42,9 @@ class Lake:
     root: str
 
     def path(self, layer: str, table: str) -> str:
-        return f"{self.root}/{layer}/{table}"
+        """Folder of a layer's table. The clean series and its quarantine are the
+        two partitions of one table."""
+        return f"{self.root}/{layer}/{PARTS.get(table, table)}"
 
 
 # ------------------------------------------------------------ binding D
@@ -140,7 +144,12 @@ def read_bronze_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ------------------------------------------------------------ layer jobs
-INGEST_DATE = "_ingest_date"
+INGEST_DATE = LD.LOADED
+REQUIRED = ("timeseries", "results")
+
+
+def ledger_path(lake: Lake, name: str) -> str:
+    return lake.path("bronze", f"{name}_files")
 
 
 def bronze(spark: SparkSession, sources: dict[str, str], lake: Lake,
@@ -148,33 +157,73 @@ def bronze(spark: SparkSession, sources: dict[str, str], lake: Lake,
            by_ingest_date: bool = False) -> DataFrame:
     """IO1-IO7: each source folder -> bronze parquet, all strings + lineage.
 
-    ``by_ingest_date`` partitions the bronze folders by ingestion day and
-    overwrites only the days being written (dynamic partition overwrite): a
-    daily run adds or replaces its day, leaving out the files that an earlier
-    day holds, and reads that filter on ``_ingest_date`` prune whole folders at
-    planning time."""
-    counts = {}
+    All files of a source must have the columns given, or else those of its first
+    file, in that order: any other header is an error. Lines with too few or too
+    many values are kept padded or cut, as the reader does, with their whole text
+    beside them, and counted per file in the source's ledger.
+
+    A load overwrites its tables; an optional source (warranty, catalogue) that is
+    absent leaves none. With ``by_ingest_date`` bronze is partitioned by ingestion
+    day: a daily run replaces its day and reads only files that the ledger has not
+    entered as they are now on an earlier day.
+
+    Returns (table, rows, files, malformed) of this load."""
+    today = F.current_date()
+    out = None
     for name, path in sources.items():
-        cols = (columns or {}).get(name)
-        try:
-            df = read_delimited(spark, path, columns=cols, recursive=True)
-        except AnalysisException as e:
-            absent = e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-            if name in ("timeseries", "results") or not absent:
-                raise
-            continue                     # optional folder (warranty, catalogue) absent or empty
+        listed = LD.list_files(spark, path)
+        if listed is None:
+            if name in REQUIRED:
+                raise FileNotFoundError(f"no source files for {name} in {path}")
+            if not by_ingest_date:
+                drop_layer(spark, lake.path("bronze", name))
+                drop_layer(spark, ledger_path(lake, name))
+            continue
         if by_ingest_date:
-            df = df.withColumn(INGEST_DATE, F.to_date(F.col("_ingested_at")))
-            earlier = read_optional(spark, lake.path("bronze", name))
-            if earlier is not None:      # files of an earlier day are there already
-                known = earlier.where(F.col(INGEST_DATE) < F.current_date()).select(SOURCE_FILE).distinct()
-                df = df.join(known, SOURCE_FILE, "left_anti")
-            out = write_layer(df, lake.path("bronze", name), partition_by=[INGEST_DATE],
-                              partitionOverwriteMode="dynamic")
-        else:
-            out = write_layer(df, lake.path("bronze", name))
-        counts[name] = read_layer(spark, out)
-    return AU.layer_counts(counts)
+            listed = LD.unread(listed, _known_files(spark, lake, name))
+        found = sorted(r["path"] for r in listed.select("path").collect())     # a reader is given its files' names
+        if found:
+            cols = (columns or {}).get(name) or header_of(spark, found[0])
+            df = read_delimited(spark, found, columns=cols, recursive=True, malformed=LD.MALFORMED)
+            if by_ingest_date:
+                write_layer(df.withColumn(INGEST_DATE, today), lake.path("bronze", name), partition_by=[INGEST_DATE],
+                            partitionOverwriteMode="dynamic")
+                rows = read_layer(spark, lake.path("bronze", name)).where(F.col(INGEST_DATE) == today)
+            else:
+                write_layer(df, lake.path("bronze", name))
+                rows = read_layer(spark, lake.path("bronze", name))
+            write_layer(LD.entries(listed, rows, cols, ";"), ledger_path(lake, name), partition_by=[INGEST_DATE],
+                        **({"partitionOverwriteMode": "dynamic"} if by_ingest_date else {}))
+        ledger = LD.read_ledger(spark, ledger_path(lake, name))
+        if ledger is None:
+            continue
+        one = ledger.where(F.col(INGEST_DATE) == today).agg(
+            F.lit(name).alias("table"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("malformed"), F.lit(0)).alias("malformed"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _known_files(spark: SparkSession, lake: Lake, name: str) -> DataFrame | None:
+    """The source's ledger. A dated table without one (written by an earlier
+    version) is entered first, from its file names."""
+    ledger = LD.read_ledger(spark, ledger_path(lake, name))
+    if ledger is not None:
+        return ledger
+    rows = read_optional(spark, lake.path("bronze", name))
+    if rows is None or INGEST_DATE not in rows.columns:
+        return None
+    write_layer(LD.entries_of_table(rows), ledger_path(lake, name), partition_by=[INGEST_DATE])
+    return LD.read_ledger(spark, ledger_path(lake, name))
+
+
+def read_bronze(spark: SparkSession, lake: Lake, name: str) -> DataFrame | None:
+    """A bronze table (None where absent); of a file that was loaded again after
+    it had changed, only the newest load."""
+    rows = read_optional(spark, lake.path("bronze", name))
+    if rows is None or INGEST_DATE not in rows.columns:
+        return rows
+    return LD.newest_loads(rows, LD.read_ledger(spark, ledger_path(lake, name)))
 
 
 def silver(spark: SparkSession, lake: Lake, sensors=K.SENSORS, scope: str = "name",
@@ -189,32 +238,41 @@ def silver(spark: SparkSession, lake: Lake, sensors=K.SENSORS, scope: str = "nam
     min/max statistics on the unit let per-unit reads skip files. The gold
     aggregation re-groups by unit anyway, so ``sort=False`` writes the rows in
     arrival order with no shuffle at all."""
-    ts = read_layer(spark, lake.path("bronze", "timeseries"))
-    clean, bad = CL.split_quarantine(CL.clean_measurements(ts, sensors=sensors, scope=scope,
-                                                           keep_arrival=True))
-    write_layer(CL.sort_series(clean) if sort else clean, lake.path("silver", "timeseries_clean"))
-    write_layer(bad, lake.path("silver", "timeseries_quarantine"))
-    res = read_layer(spark, lake.path("bronze", "results"))
-    lines = CL.clean_results(res)
+    ts = read_bronze(spark, lake, "timeseries")
+    clean = CL.clean_measurements(ts, sensors=sensors, scope=scope, keep_arrival=True)
+    flagged = clean.withColumn(QUARANTINED, F.col(K.SERIAL).isNull().cast("int"))
+    # both tables in one write: the flag leads the sort, so no other one is needed
+    write_layer(flagged.orderBy(QUARANTINED, K.SERIAL, K.TS) if sort else flagged,
+                lake.path("silver", "timeseries"), partition_by=[QUARANTINED])
+    lines = CL.clean_results(read_bronze(spark, lake, "results").drop(LD.MALFORMED))
     attrs = [c for c in (K.PRODUCT, K.STAND) if c in lines.columns]
     write_layer(LB.worst_label(lines, attributes=attrs, order=result_order),
                 lake.path("silver", "results_dedup"))
-    written = {"timeseries_clean": lake.path("silver", "timeseries_clean"),
-               "timeseries_quarantine": lake.path("silver", "timeseries_quarantine"),
-               "results_dedup": lake.path("silver", "results_dedup")}
+    written = {"results_dedup": lake.path("silver", "results_dedup")}
     for name, fn in [("itemclassification", CL.trim_all), ("warranty", CL.clean_warranty)]:
-        src = read_optional(spark, lake.path("bronze", name))
+        src = read_bronze(spark, lake, name)
         if src is None:
+            drop_layer(spark, lake.path("silver", f"{name}_clean"))
             continue
-        write_layer(fn(src), lake.path("silver", f"{name}_clean"))
+        write_layer(fn(src.drop(LD.MALFORMED)), lake.path("silver", f"{name}_clean"))
         written[f"{name}_clean"] = lake.path("silver", f"{name}_clean")
-    return AU.layer_counts({k: read_layer(spark, v) for k, v in written.items()}, key=K.SERIAL)
+    good, bad = read_series(spark, lake)
+    counts = {"timeseries_clean": good, "timeseries_quarantine": bad} | {k: read_layer(spark, v) for k, v in written.items()}
+    return AU.layer_counts(counts, key=K.SERIAL)
+
+
+def read_series(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
+    """(clean series, rows without a serial) of the silver layer: partitions of
+    one table, each read alone."""
+    rows = read_layer(spark, lake.path("silver", "timeseries"))
+    good, bad = (rows.where(F.col(QUARANTINED) == n).drop(QUARANTINED) for n in (0, 1))
+    return good, bad
 
 
 def gold(spark: SparkSession, lake: Lake, sensors=K.SENSORS,
          exact_median: bool = False) -> DataFrame:
     """IO9 + IO12: fact (features ⋈ labels), product dimension, flat dataset."""
-    ts = read_layer(spark, lake.path("silver", "timeseries_clean"))
+    ts = read_series(spark, lake)[0]
     res = read_layer(spark, lake.path("silver", "results_dedup"))
     fact = ST.fact_table(FE.sequence_features(ts, sensors=sensors, exact_median=exact_median),
                          res)
@@ -223,6 +281,8 @@ def gold(spark: SparkSession, lake: Lake, sensors=K.SENSORS,
     out = {"fait_test_moteur": fact}
     ic = read_optional(spark, lake.path("silver", "itemclassification_clean"))
     if ic is None:  # no catalogue: fact only
+        for name in ("dim_produit", "dataset_ml"):
+            drop_layer(spark, lake.path("gold", name))
         return AU.layer_counts(out, key=K.SERIAL)
     write_layer(ST.dim_product(ic), lake.path("gold", "dim_produit"))
     dim = read_layer(spark, lake.path("gold", "dim_produit"))

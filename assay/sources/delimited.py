@@ -30,13 +30,15 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
                    columns: Sequence[str] | None = None, sep: str = ";",
                    header: bool = True, recursive: bool = False,
                    lineage: bool = True, encoding: str = "UTF-8",
-                   files: str | None = "*.csv") -> DataFrame:
+                   files: str | None = "*.csv", malformed: str | None = None) -> DataFrame:
     """Read a folder / glob of delimited files as all-string columns.
 
     Only files named like ``files`` are read (``None``: all). With ``columns``
     the schema is fixed and a file whose header names other columns, or the
     same ones in another order, is an error; without it the header names the
-    columns and every column is a string.
+    columns and every column is a string. A line with too few or too many values
+    is padded or cut; with ``malformed`` its whole text is kept in a column of that
+    name (NULL for a well-formed line).
     Lineage: ``_source_file`` (full path, from the hidden ``_metadata``
     column, which -- unlike ``input_file_name()`` -- also works in streaming),
     ``_source_name`` (file name) and ``_ingested_at``.
@@ -52,11 +54,19 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
     if files:
         reader = reader.option("pathGlobFilter", files)
     if columns is not None:
-        reader = reader.schema(all_string_schema(columns)).option("enforceSchema", False)
+        fields = [*columns, malformed] if malformed else columns
+        reader = reader.schema(all_string_schema(fields)).option("enforceSchema", False)
+        if malformed:
+            reader = reader.option("columnNameOfCorruptRecord", malformed)
     df = reader.csv(path if isinstance(path, str) else list(path))
     return with_lineage(df) if lineage else df
 
 
+def header_of(spark: SparkSession, file: str, sep: str = ";", encoding: str = "UTF-8") -> list[str]:
+    """Column names in a file's header line."""
+    return spark.read.option("header", True).option("sep", sep).option("encoding", encoding).csv(file).columns
+
+
 def with_lineage(df: DataFrame, arrival: bool = True) -> DataFrame:
     """Source file, file name, ingestion time and (batch only) the arrival
     order: the split's start offset plus ``monotonically_increasing_id``,

@@ -37,6 +37,13 @@ def read_optional(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
         return None
 
 
+def drop_layer(spark: SparkSession, path: str) -> None:
+    """Removes a layer table whose source is gone, so that no later step takes it
+    for a current one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def export_dataset(df: DataFrame, path: str, sep: str = ",") -> dict[str, str]:
     """IO12: flat dataset as parquet (fast path) and CSV with header (fallback)."""
     pq = write_layer(df, f"{path}/parquet")

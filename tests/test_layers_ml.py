@@ -288,3 +288,100 @@ def test_second_ingestion_day_adds_new_files_only(spark, tmp_path):
         got = spark.read.parquet(second.path("bronze", "results"))
         assert sorted((r["X"], r["Y"]) for r in got.collect()) == [("1", "2"), ("3", "4")]
         assert got.select(M.INGEST_DATE).distinct().count() == 2
+
+
+def test_command_line_bronze_checks_every_header(spark, tmp_path):
+    """Columns come from the first file; another file with swapped ones is an error."""
+    from assay.plans import jobs as J
+    src = str(tmp_path / "src")
+    _text_files(os.path.join(src, "TimeSeries"), {"a.csv": "DATE;HEURE\n1;2\n"})
+    _text_files(os.path.join(src, "Results"), {"a.csv": "SERIAL_NUMBER;RESULT\ns1;G\n", "b.csv": "RESULT;SERIAL_NUMBER\nG;s2\n"})
+    with pytest.raises(Exception, match="(?i)header"):
+        J.main(["bronze", "--sources", src, "--lake", str(tmp_path / "lake")])
+
+
+def test_malformed_lines_are_counted_per_file(spark, tmp_path):
+    path = _text_files(tmp_path / "in", {"a.csv": "X;Y\n1;2\n3\n4;5;6\n", "b.csv": "X;Y\n7;8\n", "empty.csv": "X;Y\n"})
+    lake = M.Lake(scratch_path(spark, "lake-malformed"))
+    got = {r["table"]: r for r in M.bronze(spark, {"results": path}, lake).collect()}
+    assert (got["results"]["rows"], got["results"]["files"], got["results"]["malformed"]) == (4, 3, 2)
+    ledger = {os.path.basename(r["_source_file"]): (r["rows"], r["malformed"], r["header"])
+              for r in spark.read.parquet(M.ledger_path(lake, "results")).collect()}
+    assert ledger == {"a.csv": (3, 2, "X;Y"), "b.csv": (1, 0, "X;Y"), "empty.csv": (0, 0, "X;Y")}
+    kept = spark.read.parquet(lake.path("bronze", "results"))
+    assert sorted((r["X"], r["Y"], r["_malformed_line"]) for r in kept.collect() if r["_malformed_line"]) == [("3", None, "3"), ("4", "5", "4;5;6")]
+
+
+def test_absent_optional_source_leaves_no_table(spark, tmp_path):
+    src = {n: _text_files(tmp_path / n, {"a.csv": t}) for n, t in (
+        ("timeseries", "X\n1\n"), ("results", "X\n1\n"), ("warranty", "SERIAL_NUMBER\ns1\n"))}
+    lake = M.Lake(scratch_path(spark, "lake-optional"))
+    assert len(M.bronze(spark, src, lake).collect()) == 3 and M.read_bronze(spark, lake, "warranty").count() == 1
+    src["warranty"] = str(tmp_path / "gone")
+    assert len(M.bronze(spark, src, lake).collect()) == 2 and M.read_bronze(spark, lake, "warranty") is None
+    with pytest.raises(FileNotFoundError):
+        M.bronze(spark, {"results": str(tmp_path / "gone")}, lake)
+
+
+def _as_yesterday(spark, lake, name):
+    for path in (lake.path("bronze", name), M.ledger_path(lake, name)):
+        moved = spark.read.parquet(path).withColumn(M.INGEST_DATE, F.date_sub(M.INGEST_DATE, 1)).toArrow()
+        spark.createDataFrame(moved).write.mode("overwrite").partitionBy(M.INGEST_DATE).parquet(path)
+
+
+def test_ledger_drives_the_second_day(spark, tmp_path):
+    """Day two opens new and changed files only; a changed file's newest rows count."""
+    path = _text_files(tmp_path / "in", {"a.csv": "X;Y\n1;2\n", "b.csv": "X;Y\n3;4\n"})
+    lake = M.Lake(scratch_path(spark, "lake-ledger"))
+    load = lambda: {r["table"]: r for r in M.bronze(spark, {"results": path}, lake, by_ingest_date=True).collect()}["results"]
+    assert (load()["rows"], load()["files"]) == (2, 2)
+    _as_yesterday(spark, lake, "results")
+    assert load()["rows"] == 0                              # nothing new
+    for name, text in (("c.csv", "X;Y\n5;6\n"), ("b.csv", "X;Y\n3;4\n33;44\n")):
+        with open(os.path.join(path, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    for _ in range(2):                                      # a re-run of the day changes nothing
+        got = load()
+        assert (got["rows"], got["files"]) == (3, 2)
+        rows = M.read_bronze(spark, lake, "results")
+        assert sorted((r["X"], r["Y"]) for r in rows.collect()) == [("1", "2"), ("3", "4"), ("33", "44"), ("5", "6")]
+
+
+def test_silver_is_one_write(spark):
+    src = {"timeseries": os.path.join(FIXTURES, "timeseries"), "results": os.path.join(FIXTURES, "results")}
+    lake = M.Lake(scratch_path(spark, "lake-one-write"))
+    M.bronze(spark, src, lake, columns={"timeseries": TS_COLS})
+    M.silver(spark, lake, sort=False)
+    good, bad = M.read_series(spark, lake)
+    assert good.count() == 31 and bad.count() == 3 and bad.where(f"{K.SERIAL} is not null").count() == 0
+    plan = bad._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_quarantined" in plan
+
+
+def test_leaderboard_orders(spark):
+    rows = [("a", 0.9, 0.1, 0.5), ("b", 0.8, 0.3, 0.4), ("c", 0.7, 0.2, 0.6)]
+    board = spark.createDataFrame(rows, "Model string, PR_AUC double, ROC_AUC double, F1_anomaly double")
+    first = lambda by: MD.choose_final(board, by).first()["Model"]
+    assert [first(by) for by in MD.RANKINGS] == ["a", "b", "c"]
+    with pytest.raises(ValueError):
+        MD.ranked(board, "Model")
+
+
+def test_overview_counts_a_unit_once_and_sweep_leaves_unscored_out(spark):
+    from assay.operators import evaluate as EV
+    from assay.operators import kpi as KP
+    fact = spark.createDataFrame([("u", 1), ("v", 0)], f"{K.SERIAL} string, {K.LABEL} int")
+    pred = spark.createDataFrame([("u", 0), ("u", 1)], f"{K.SERIAL} string, {K.FINAL_PREDICTION} int")
+    r = KP.kpi_overview(fact, pred).first()
+    assert (r["units_tested"], r["units_scored"], r["anomaly_rate"], r["predicted_rate"]) == (2, 1, 50.0, 100.0)
+    scored = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, None), (0, None)], f"{K.LABEL} int, {K.PROBABILITY} double")
+    assert all(x["TP"] + x["FP"] + x["TN"] + x["FN"] == 2 for x in EV.threshold_sweep(scored).collect())
+    assert tuple(EV.curve_areas(scored).first()) == (1.0, 1.0)
+
+
+def test_exact_median_of_readings_without_a_unit(spark):
+    from assay.operators import features as FE
+    rows = [(None, 1.0), (None, 2.0), (None, 7.0), ("u", 5.0)]
+    d = spark.createDataFrame(rows, f"{K.SERIAL} string, V double").withColumn(K.TS, F.current_timestamp()).withColumn(K.PHASE, F.lit("A"))
+    got = {r[K.SERIAL]: r["V_med"] for r in FE.sequence_features(d, sensors=["V"], exact_median=True).collect()}
+    assert got == {None: 2.0, "u": 5.0}
