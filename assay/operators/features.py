@@ -22,49 +22,47 @@ def _median(c: str, accuracy: int) -> Column:
     return F.percentile_approx(F.col(c), F.lit(0.5), F.lit(accuracy))
 
 
-def exact_medians(series: DataFrame, key: str, sensors: Sequence[str],
-                  chunks: int | None = None) -> DataFrame:
-    """Exact lower median (``percentile_disc(0.5)``) per unit and sensor,
-    without ever holding one unit's values in one task or one buffer.
-
-    1. (unit, sensor, value) -> count: a map-side-combined aggregate, so a
-       hot unit shrinks to its distinct values.
-    2. Range-partition those rows on (unit, sensor, value); the partition
-       index is a chunk number, fixed by a reliable checkpoint.
-    3. Running counts inside each (unit, sensor, chunk), plus the counts of
-       the unit's earlier chunks (a table of at most #units*#sensors +
-       #chunks rows per sensor).
-    4. The median is the smallest value whose running count reaches half.
+def exact_medians(series: DataFrame, key: str, sensors: Sequence[str], accuracy: int = 10000) -> DataFrame:
+    """Exact lower median (``percentile_disc(0.5)``) per unit and sensor, without
+    ever holding one unit's values in one task or one buffer.
+
+    1. A bounded sketch per unit and sensor brackets the median: the values at a
+       few sketch errors below and above the middle rank.
+    2. The readings meet their unit's brackets; values below are counted, those
+       inside (a small share of the readings) are counted one by one.
+    3. The median is the first inside value whose running count reaches half.
+
+    Every step combines map-side, so a hot unit costs a sketch and some counts per
+    task. A NULL unit is a unit. Without values the median is NULL. Should a sketch
+    ever miss its error bound, the query fails rather than return another rank.
     """
     from pyspark.sql.window import Window
-    from assay.session import checkpoint_root
-    spark = series.sparkSession
-    checkpoint_root(spark)
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("_sensor"),
-                                        F.col(c).cast("double").alias("_v")) for c in sensors]))
-    counts = (series.select(key, pairs).where(F.col("_v").isNotNull())
-              .groupBy(key, "_sensor", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    ranged = (counts.repartitionByRange(n, F.col(key), F.col("_sensor"), F.col("_v"))
-              .withColumn("_chunk", F.spark_partition_id())
-              .checkpoint(eager=True))
-    per_chunk = ranged.groupBy(key, "_sensor", "_chunk").agg(F.sum("_c").alias("_cc"))
-    unit = Window.partitionBy(key, "_sensor")
-    before = unit.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.select(key, "_sensor", "_chunk",
-                               F.coalesce(F.sum("_cc").over(before), F.lit(0)).alias("_off"),
-                               F.sum("_cc").over(unit).alias("_n"))
-    inside = (Window.partitionBy(key, "_sensor", "_chunk").orderBy("_v")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    other = offsets.select(F.col(key).alias("_o_key"), F.col("_sensor").alias("_o_sensor"), F.col("_chunk").alias("_o_chunk"), "_off", "_n")
-    # null-safe: readings without a unit have a median too
-    cum = (ranged.join(other, F.col(key).eqNullSafe(F.col("_o_key")) & (F.col("_sensor") == F.col("_o_sensor"))
-                       & (F.col("_chunk") == F.col("_o_chunk")))
-           .withColumn("_cum", F.col("_off") + F.sum("_c").over(inside)))
-    med = (cum.where(F.col("_cum") * 2 >= F.col("_n"))
-           .groupBy(key, "_sensor").agg(F.min("_v").alias("_med")))
-    return (med.groupBy(key).pivot("_sensor", list(sensors)).agg(F.first("_med"))
-            .select(key, *[F.col(c).alias(f"{c}_med") for c in sensors]))
+    margin = min(0.5, 8.0 / accuracy)
+    ids = range(len(sensors))
+    plain = series.select(F.col(key).alias("_key"), *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(sensors)])
+    brackets = plain.groupBy("_key").agg(
+        *[F.percentile_approx(f"_v{i}", [0.5 - margin, 0.5 + margin], accuracy).alias(f"_b{i}") for i in ids],
+        *[F.count(f"_v{i}").alias(f"_n{i}") for i in ids]).withColumnRenamed("_key", "_b_key")
+    met = plain.join(brackets, F.col("_key").eqNullSafe(F.col("_b_key"))).drop("_b_key")
+    below = met.groupBy("_key").agg(*[F.struct(F.count_if(F.col(f"_v{i}") < F.col(f"_b{i}")[0]).alias("below"),
+                                               F.max(f"_n{i}").alias("n")).alias(f"_s{i}") for i in ids])
+    inside = F.filter(F.array(*[F.struct(F.lit(i).alias("_sensor"), F.col(f"_v{i}").alias("_v"), F.col(f"_b{i}").alias("_b")) for i in ids]),
+                      lambda x: (x["_v"] >= x["_b"][0]) & (x["_v"] <= x["_b"][1]))
+    values = (met.select("_key", F.inline(inside)).groupBy("_key", "_sensor", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    upto = (Window.partitionBy("_key", "_sensor").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranks = below.select(F.col("_key").alias("_r_key"), F.array(*[F.col(f"_s{i}") for i in ids]).alias("_s"))
+    at = F.get(F.col("_s"), F.col("_sensor"))
+    cum = (values.withColumn("_run", F.sum("_c").over(upto)).join(ranks, F.col("_key").eqNullSafe(F.col("_r_key")))
+           .withColumn("_cum", at["below"] + F.col("_run")).withColumn("_half", at["n"]).withColumn("_below", at["below"]))
+    missed = F.col("_below") * 2 >= F.col("_half")
+    found = (cum.where((F.col("_cum") * 2 >= F.col("_half")))
+             .select("_key", "_sensor", F.when(missed, F.raise_error(F.lit("median outside its bracket")).cast("double")).otherwise(F.col("_v")).alias("_v"))
+             .groupBy("_key").agg(*[F.min(F.when(F.col("_sensor") == i, F.col("_v"))).alias(f"_m{i}") for i in ids]))
+    out = below.join(found.withColumnRenamed("_key", "_f_key"), F.col("_key").eqNullSafe(F.col("_f_key")), "left")
+    return out.select(F.col("_key").alias(key), *[
+        F.when(F.col(f"_s{i}")["n"] == 0, F.lit(None).cast("double"))
+        .when(F.col(f"_m{i}").isNull(), F.raise_error(F.lit("median outside its bracket")).cast("double"))
+        .otherwise(F.col(f"_m{i}")).alias(f"{c}_med") for i, c in enumerate(sensors)])
 
 
 def feature_names(sensors: Sequence[str], stats: Sequence[str] = K.STATS) -> list[str]:

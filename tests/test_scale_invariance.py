@@ -79,11 +79,16 @@ def test_sweep_matches_published_binding_figures(spark):
     assert tuple(sw[0.4][c] for c in ("TP", "FP", "TN", "FN")) == (264, 1026, 204, 6)
 
 
-@pytest.mark.parametrize("chunks", [1, 7])
-def test_exact_medians_equal_percentile_disc(spark, chunks):
+@pytest.mark.parametrize("accuracy", [100, 10000])
+def test_exact_medians_equal_percentile_disc(spark, accuracy):
+    """Short series, a unit with most of the readings, ties, no unit, no values."""
     from assay.operators.features import exact_medians
-    ser = B.series_b(spark, SF001)
-    got = {r[K.SERIAL]: r for r in exact_medians(ser, K.SERIAL, B.SENSORS_B, chunks).collect()}
+    hot = spark.range(40_000).select(F.when(F.col("id") % 9 == 0, F.lit(None)).otherwise(F.lit(-1)).cast("long").alias(K.SERIAL),
+                                     *[F.when(F.col("id") % 5 == 0, F.lit(7.0)).otherwise(F.rand(i) * 10).alias(c) for i, c in enumerate(B.SENSORS_B)])
+    none = spark.range(3).select(F.lit(-2).cast("long").alias(K.SERIAL), F.lit(None).cast("double").alias("a"),
+                                 *[F.lit(1.0).alias(c) for c in "bcd"]).toDF(K.SERIAL, *B.SENSORS_B)
+    ser = B.series_b(spark, SF001).select(K.SERIAL, *B.SENSORS_B).unionByName(hot).unionByName(none).repartition(6).cache()
+    got = {r[K.SERIAL]: r for r in exact_medians(ser, K.SERIAL, B.SENSORS_B, accuracy).collect()}
     want = ser.groupBy(K.SERIAL).agg(*[
         F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {c})").alias(f"{c}_med")
         for c in B.SENSORS_B]).collect()
