@@ -17,6 +17,8 @@ from assay.session import scratch_path
 
 #: White space between words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE_RUN = "[ \\t-\\r]+"
+#: Spark's setting that removes a finished execution's shuffle files.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -27,10 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared scratch folder: lineage is cut
-    there, so a lost executor never re-runs what came before."""
+    there, so a lost executor never re-runs what came before. The shuffle files
+    behind it are no longer needed and go at once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     table = spark.read.schema(df.schema).parquet(path)
     table.scratch = path
     return table
@@ -86,6 +94,16 @@ def running(df: DataFrame, group: list[str], key: str, ties: list[str], measure:
             .drop("_chunk", "_offset", "_o_chunk", *[f"_o_{g}" for g in group]))
 
 
+def least_hashed(df: DataFrame, rows: int, count: int, *key: str | Column) -> DataFrame:
+    """The ``rows`` rows of ``df`` (``count`` rows) whose key has the least hash.
+    Rows far above the place where the last one lies are left out first, so that
+    all tasks together hand on about twice the number wanted, at any size."""
+    h = F.xxhash64(*key)
+    if count > 4 * rows:
+        df = df.where(h < F.lit(int(-(1 << 63) + (1 << 64) * (2 * rows / count))))
+    return df.orderBy(h, *[k for k in key if isinstance(k, str)]).limit(rows)
+
+
 def batches_of(rows: Iterator[tuple], schema: pa.Schema, size: int) -> Iterator[pa.RecordBatch]:
     """Groups row tuples into record batches of ``size`` rows."""
     held: list[tuple] = []

@@ -169,20 +169,23 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     kinds = written(runs.groupBy("mark", "name").agg(F.min("d").alias("lo"), F.max("d").alias("hi")), "window-kinds")
     # marks with several kinds: windows are compared one by one
     several = (kinds.groupBy("mark").agg(F.min("lo").alias("mark_lo"), F.max("hi").alias("mark_hi"), F.count("*").alias("kinds"))
-               .where("kinds > 1 and mark_lo < mark_hi").select(F.col("mark").alias("open_mark")))
+               .where("kinds > 1 and mark_lo < mark_hi").select(F.col("mark").alias("open_mark"), "mark_lo"))
     open_kinds = kinds.join(several, F.col("mark") == F.col("open_mark")).select(
-        F.col("mark").alias("k_mark"), F.col("name").alias("k_name"), "lo")
-    # of an open kind one run gives the windows: the pre-aggregated least place of its first document
-    chosen = (runs.join(open_kinds, (F.col("mark") == F.col("k_mark")) & (F.col("name") == F.col("k_name")) & (F.col("d") == F.col("lo")))
-              .groupBy("mark", "name", "lo").agg(F.min("windows").alias("windows")))
-    # the name is drawn anew, so that a hot mark's windows are dealt out
-    each = written(chosen.select("mark", "name", "lo", F.posexplode("windows").alias("at", "w1"))
-                   .withColumn("w2", F.xxhash64(F.lit(5), "mark", "w1")), "window-each")
-    least = (each.groupBy("w1", "w2").agg(F.min("lo").alias("least"), F.max("lo").alias("most")).where("least < most")
+        F.col("mark").alias("k_mark"), F.col("name").alias("k_name"), "lo", (F.col("lo") > F.col("mark_lo")).alias("late"))
+    # of an open kind one run gives the windows, a run of its first document
+    chosen = written(runs.join(open_kinds, (F.col("mark") == F.col("k_mark")) & (F.col("name") == F.col("k_name")) & (F.col("d") == F.col("lo")))
+                     .groupBy("mark", "name", "lo", "late").agg(F.min("windows").alias("windows")), "window-chosen")
+
+    def each(some: DataFrame) -> DataFrame:
+        # named by its hash and the mark, so that a hot mark's windows are dealt out
+        return some.select("mark", "name", "lo", F.posexplode("windows").alias("at", "w1")).withColumn("w2", F.xxhash64(F.lit(5), "mark", "w1"))
+    least = (each(chosen).groupBy("w1", "w2").agg(F.min("lo").alias("least"), F.max("lo").alias("most")).where("least < most")
              .select(F.col("w1").alias("l1"), F.col("w2").alias("l2"), "least"))
-    more = (each.join(least, (F.col("w1") == F.col("l1")) & (F.col("w2") == F.col("l2"))).where("least < lo")
-            .groupBy("mark", "name").agg(F.sort_array(F.collect_list("at")).alias("at"))
-            .select(F.col("mark").alias("k_mark"), F.col("name").alias("k_name"), "at"))
+    # a kind of the mark's first document has nothing to find
+    late = each(chosen.where("late"))
+    more = written(late.join(least, (F.col("w1") == F.col("l1")) & (F.col("w2") == F.col("l2"))).where("least < lo")
+                   .groupBy("mark", "name").agg(F.sort_array(F.collect_list("at")).alias("at"))
+                   .select(F.col("mark").alias("k_mark"), F.col("name").alias("k_name"), "at"), "window-more")
     same = (F.col("mark") == F.col("k_mark")) & (F.col("name") == F.col("k_name"))
     places = runs.select("mark", "name", "d", "th", "first", "n")
     across = kinds.where("lo < hi").select(F.col("mark").alias("k_mark"), F.col("name").alias("k_name"), "lo")
@@ -191,7 +194,9 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
              .select("d", "th", F.array(F.struct(F.col("first").alias("from"), (F.col("first") + F.col("n") + (WINDOW - 1)).alias("to"))).alias("spans")))
     partly = places.join(more, same).select(
         "d", "th", F.transform("at", lambda a: F.struct((F.col("first") + a).alias("from"), (F.col("first") + a + WINDOW).alias("to"))).alias("spans"))
-    return known.unionByName(partly).groupBy("d", "th").agg(F.flatten(F.collect_set("spans")).alias("spans"))
+    spans = written(known.unionByName(partly).groupBy("d", "th").agg(F.flatten(F.collect_set("spans")).alias("spans")), "window-spans")
+    discard(runs, kinds, chosen, more)
+    return spans
 
 
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
