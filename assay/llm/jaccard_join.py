@@ -48,21 +48,21 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles, A-Z lower-cased."""
     listed = (text or "").encode("utf-8", "replace").lower().split()
     if not listed:
         return np.empty(0, np.uint64)
     w = np.fromiter(map(xxhash.xxh3_64_intdigest, listed), np.uint64, len(listed))
     with np.errstate(over="ignore"):
-        if len(w) < WIDTH:
+        if len(w) < width:
             whole = np.uint64(len(w))
             for x in w:
                 whole = whole * np.uint64(0x9E3779B97F4A7C15) + x
             return mix(np.array([whole], np.uint64), 9)
-        n = len(w) - WIDTH + 1
+        n = len(w) - width + 1
         grams = w[:n].copy()
-        for k in range(1, WIDTH):
+        for k in range(1, width):
             grams *= np.uint64(0xD6E8FEB86659FD93)
             grams += w[k:n + k]
     return np.unique(mix(grams, 8))
@@ -92,21 +92,22 @@ def band_of(size: int) -> tuple[int, int, int]:
     raise AssertionError
 
 
-_BANDS: dict[int, list[tuple[int, int]]] = {}
+_BANDS: dict[tuple[int, int], list[tuple[int, int]]] = {}
 
 
-def instances(size: int) -> list[tuple[int, int]]:
+def instances(size: int, percent: int = PERCENT) -> list[tuple[int, int]]:
     """(band number, greatest difference) of the bands a set takes part in: its
     own, and the next one if a similar set can lie there."""
-    if size not in _BANDS:
+    key = (size, percent)
+    if key not in _BANDS:
         if len(_BANDS) > 200_000:
             _BANDS.clear()
         i, _, hi = band_of(size)
         out = [(i, hi)]
-        if size * 100 // PERCENT > hi:
+        if size * 100 // percent > hi:
             out.append((i + 1, band_of(hi + 1)[2]))
-        _BANDS[size] = [(j, top * 2 * (100 - PERCENT) // (100 + PERCENT)) for j, top in out]
-    return _BANDS[size]
+        _BANDS[key] = [(j, top * 2 * (100 - percent) // (100 + percent)) for j, top in out]
+    return _BANDS[key]
 
 
 def scheme(k: int) -> tuple[int, int, int]:
@@ -119,13 +120,13 @@ def scheme(k: int) -> tuple[int, int, int]:
     return k // 2 + 2 + k // 20, 2, 1
 
 
-def signatures(grams: np.ndarray) -> np.ndarray:
+def signatures(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The set's signatures. A subset of cells without a feature says nothing:
     it is left out unless so many partitions have one that a similar set might
     agree on nothing else."""
     out = []
     place = grams >> np.uint64(11)
-    for band, k in instances(len(grams)):
+    for band, k in instances(len(grams), percent):
         n1, n2, k2 = scheme(k)
         cell = (place % np.uint64(n1 * n2)).astype(np.int64)
         sums = np.zeros(n1 * n2, np.uint64)
@@ -165,13 +166,13 @@ SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T
                      T.StructField("sketch", T.ArrayType(T.LongType()))])
 
 
-def doc_sets(docs: DataFrame, seed: int) -> DataFrame:
+def doc_sets(docs: DataFrame, seed: int, width: int) -> DataFrame:
     """(doc_id, n, node, check, sketch): size and 2 x 64-bit hash of every set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, node, check, bits = [], [], [], []
             for text in batch.column(1):
-                grams = shingles(text.as_py())
+                grams = shingles(text.as_py(), width)
                 n.append(len(grams))
                 own = names(grams, seed)
                 node.append(own[0])
@@ -186,14 +187,14 @@ def doc_sets(docs: DataFrame, seed: int) -> DataFrame:
 SIGNED = T.StructType([T.StructField("sig", T.LongType()), T.StructField("node", T.LongType())])
 
 
-def signed(docs: DataFrame, seed: int) -> DataFrame:
+def signed(docs: DataFrame, seed: int, width: int, percent: int) -> DataFrame:
     """(sig, node) of every distinct set of a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
         for batch in batches:
             sigs, nodes = [], []
             for text in batch.column(1):
-                grams = shingles(text.as_py())
+                grams = shingles(text.as_py(), width)
                 if not len(grams):
                     continue
                 node = names(grams, seed)[0]
@@ -202,7 +203,7 @@ def signed(docs: DataFrame, seed: int) -> DataFrame:
                 if len(known) > 500_000:
                     known.clear()
                 known.add(node)
-                own = signatures(grams).view(np.int64)
+                own = signatures(grams, percent).view(np.int64)
                 sigs.append(own)
                 nodes.append(np.full(len(own), node))
             if sigs:
@@ -214,13 +215,13 @@ def sketch_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
-def plausible(n_a: Column, n_b: Column, dist: Column) -> Column:
+def plausible(n_a: Column, n_b: Column, dist: Column, percent: int) -> Column:
     """No similar pair fails this: sizes and sketches bound the similarity."""
-    return ((F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT)
-            & (dist * (100 + PERCENT) <= (n_a + n_b) * (100 - PERCENT)))
+    return ((F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent)
+            & (dist * (100 + percent) <= (n_a + n_b) * (100 - percent)))
 
 
-def exact_sets(docs: DataFrame, members: DataFrame, seed: int) -> DataFrame:
+def exact_sets(docs: DataFrame, members: DataFrame, seed: int, width: int) -> DataFrame:
     """(node, grams) of the nodes in ``members`` (node, first_doc), from one
     document each. Of rows that share an id only those with the node's own set
     count."""
@@ -228,7 +229,7 @@ def exact_sets(docs: DataFrame, members: DataFrame, seed: int) -> DataFrame:
         for batch in batches:
             nodes, grams = [], []
             for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = shingles(text.as_py())
+                own = shingles(text.as_py(), width)
                 if names(own, seed)[0] == node:
                     nodes.append(node)
                     grams.append(own.view(np.int64))
@@ -240,8 +241,9 @@ def exact_sets(docs: DataFrame, members: DataFrame, seed: int) -> DataFrame:
 class ExactSets:
     """Exact sets of the nodes asked for so far, each fetched from its text once."""
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, seed: int):
+    def __init__(self, docs: DataFrame, nodes: DataFrame, seed: int, width: int, percent: int):
         self.docs, self.nodes, self.seed, self.tables = docs, nodes, seed, []
+        self.width, self.percent = width, percent
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose exact sets are similar enough."""
@@ -250,7 +252,7 @@ class ExactSets:
             used = used.join(t.select("node"), "node", "left_anti")
         members = written(used.join(self.nodes.select("node", "first_doc"), "node"), "jaccard-used")
         if not members.isEmpty():
-            self.tables.append(exact_sets(self.docs, members, self.seed))
+            self.tables.append(exact_sets(self.docs, members, self.seed, self.width))
         discard(members)
         if not self.tables:            # no pair so far
             return pairs.select("a", "b")
@@ -259,13 +261,13 @@ class ExactSets:
         right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
         both = pairs.select("a", "b").join(left, "a").join(right, "b")
         common = F.size(F.array_intersect("ga", "gb"))
-        return written(both.where(common * 100 >= (F.size("ga") + F.size("gb") - common) * PERCENT).select("a", "b"), "jaccard-links")
+        return written(both.where(common * 100 >= (F.size("ga") + F.size("gb") - common) * self.percent).select("a", "b"), "jaccard-links")
 
 
 PAIRS = "a long, b long, dist int"
 
 
-def _across(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _across(nearest: bool, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (bucket, i, j): plausible pairs of nodes of different
     groups, block i against block j of a bucket; with ``nearest`` only the
     closest few of a node's partners there. Holds one block pair at a time."""
@@ -288,11 +290,11 @@ def _across(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
                 if not len(y):
                     continue
                 nx, ny = cols["n"][x], cols["n"][y]
-                y = y[np.minimum(nx, ny) * 100 >= np.maximum(nx, ny) * PERCENT]
+                y = y[np.minimum(nx, ny) * 100 >= np.maximum(nx, ny) * percent]
                 if not len(y):
                     continue
                 dist = np.bitwise_count(bits[y] ^ bits[x]).sum(1, dtype=np.int64)
-                ok = dist * (100 + PERCENT) <= (nx + cols["n"][y]) * (100 - PERCENT)
+                ok = dist * (100 + percent) <= (nx + cols["n"][y]) * (100 - percent)
                 y, dist = y[ok], dist[ok]
                 if nearest and len(y) > NEAREST:
                     few = np.argsort(dist, kind="stable")[:NEAREST]
@@ -335,7 +337,7 @@ def open_buckets(buckets: DataFrame, groups: DataFrame) -> DataFrame:
     return written(several.select(F.xxhash64("f1", "f2", "size").alias("sig"), "size", "node", "grp").distinct(), "jaccard-open")
 
 
-def across_groups(opened: DataFrame, nodes: DataFrame, nearest: bool) -> DataFrame:
+def across_groups(opened: DataFrame, nodes: DataFrame, nearest: bool, percent: int) -> DataFrame:
     """(a, b, dist): plausible pairs that share a bucket but no group yet; with
     ``nearest`` only the closest partners of a node."""
     count = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -347,7 +349,7 @@ def across_groups(opened: DataFrame, nodes: DataFrame, nearest: bool) -> DataFra
     full = spread.join(nodes.select(F.col("node").alias("s_node"), "n", "sketch"), F.col("node") == F.col("s_node"))
     ordered = (full.select("bucket", "i", "j", "block", "node", "grp", "n", "sketch")
                .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node"))
-    return ordered.mapInArrow(lambda it: _across(nearest, it), PAIRS).groupBy("a", "b").agg(F.min("dist").alias("dist"))
+    return ordered.mapInArrow(lambda it: _across(nearest, percent, it), PAIRS).groupBy("a", "b").agg(F.min("dist").alias("dist"))
 
 
 def nearest_each(pairs: DataFrame) -> DataFrame:
@@ -356,13 +358,14 @@ def nearest_each(pairs: DataFrame) -> DataFrame:
     return ends.groupBy("end").agg(F.min("p").alias("p")).select("p.a", "p.b", "p.dist").distinct()
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
-    A text's set holds its distinct four-word shingles (fewer words: the whole
+    A text's set holds its distinct ``width``-word shingles (fewer words: the whole
     sequence; none: empty, linked with nothing). Texts are linked when their
-    sets' Jaccard similarity is at least 0.85; ``component_id`` is the smallest
-    id reachable.
+    sets' Jaccard similarity is at least ``percent`` hundredths; ``component_id``
+    is the smallest id reachable.
 
     Null text: empty. A row with a null id is linked with nothing and has a null
     component. Repeated rows come back each. Empty table: no rows. Extra columns
@@ -373,7 +376,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     seed = 0
     while True:
-        sets = written(doc_sets(plain, seed), "jaccard-docs")
+        sets = written(doc_sets(plain, seed, width), "jaccard-docs")
         filled = sets.where("n > 0 and doc_id is not null")
         # equal 64-bit names of unequal sets: choose other names
         clash = filled.groupBy("node").agg(F.min("check").alias("x"), F.max("check").alias("y")).where("x <> y")
@@ -383,16 +386,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     nodes = written(filled.groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n"),
                                                F.first("sketch").alias("sketch")), "jaccard-nodes")
     w = Window.partitionBy("sig")
-    buckets = written(signed(plain.where("doc_id is not null"), seed).withColumn("center", F.min("node").over(w)).withColumn("far", F.max("node").over(w))
+    buckets = written(signed(plain.where("doc_id is not null"), seed, width, percent).withColumn("center", F.min("node").over(w)).withColumn("far", F.max("node").over(w))
                       .where("center <> far").select("sig", "node", "center"), "jaccard-shared")
     side = nodes.select("node", "n", "sketch")
     left = side.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = side.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     star = buckets.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     dist = star.join(left, "a").join(right, "b").withColumn("dist", sketch_distance(F.col("sa"), F.col("sb")))
-    pairs = written(dist.where(plausible(F.col("na"), F.col("nb"), F.col("dist"))).select("a", "b", "dist"), "jaccard-star")
+    pairs = written(dist.where(plausible(F.col("na"), F.col("nb"), F.col("dist"), percent)).select("a", "b", "dist"), "jaccard-star")
     by_key = plain.select(F.col("doc_id").alias("row_key"), "text").where("row_key is not null")
-    exact = ExactSets(by_key, nodes, seed)
+    exact = ExactSets(by_key, nodes, seed, width, percent)
     tested = written(nearest_each(pairs), "jaccard-tested")
     links = exact.links(tested)
     tested = tested.select("a", "b")
@@ -403,7 +406,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     discard(pairs, buckets)
     for turn in range(ROUNDS + 1):
         nearest = turn < ROUNDS
-        found = across_groups(opened, nodes, nearest).join(tested, ["a", "b"], "left_anti")
+        found = across_groups(opened, nodes, nearest, percent).join(tested, ["a", "b"], "left_anti")
         pairs = written(nearest_each(found) if nearest else found, "jaccard-tested")
         if pairs.isEmpty():
             if nearest:
