@@ -16,7 +16,7 @@ from pyspark.sql.types import NumericType
 from pyspark.sql.window import Window
 
 from assay import constants as K
-from assay.functions.scalar import is_known_verdict, safe_ratio
+from assay.functions.scalar import is_known_verdict, place_among, safe_ratio
 
 
 def _q(c: str) -> Column:
@@ -116,44 +116,60 @@ def unknown_verdicts(results: DataFrame, result: str = K.RESULT) -> DataFrame:
             .groupBy(r.alias("verdict")).agg(F.count(F.lit(1)).alias("count")))
 
 
+#: Rows of a chunk of ordered rows; at most so many chunks, a power of two.
+ROWS_A_CHUNK = 4_000_000
+MOST_CHUNKS = 1024
+
+
+def _cut_points(rows: DataFrame, place: Column, chunks: int, count: int) -> Column:
+    """Scalar: ``MOST_CHUNKS`` - 1 ascending cut points of ``place`` over the rows,
+    from a sample drawn by hash (64 rows a cut point), the same in every run."""
+    want = 64 * MOST_CHUNKS
+    h = F.xxhash64(place)
+    some = rows.select(place.alias("_p"), h.alias("_h"))
+    if count > want:
+        some = some.where(F.col("_h") < F.lit(int(-(1 << 63) + (1 << 64) * (want / count))))
+    ordered = some.agg(F.sort_array(F.collect_list("_p")).alias("_all"))
+    pick = F.transform(F.sequence(F.lit(1), F.lit(MOST_CHUNKS - 1)),
+                       lambda i: F.get(F.col("_all"), F.floor(i * F.size("_all") / F.lit(MOST_CHUNKS)).cast("int")))
+    return ordered.select(pick).scalar()
+
+
 def time_inversions(series: DataFrame, key: str = K.SERIAL, ts: str = K.TS,
                     order: Sequence[str] = (), chunks: int | None = None) -> DataFrame:
     """QA6: share of consecutive pairs (in arrival ``order``) whose time goes
     backwards (strictly; an equal second is not an inversion).
 
     A plain ``lag`` over ``partitionBy(key)`` puts a whole unit in one task;
-    a unit holding a third of the data would be one task. Instead the rows are
-    range-partitioned on (key, order) -- a hot unit spans many partitions --
-    and the partition index becomes a chunk number, fixed by a reliable
-    checkpoint. ``lag`` runs per (key, chunk); the first row of a chunk is
-    compared with the last row of the key's previous chunk through a table
-    of at most (#keys + #chunks) boundary rows.
+    a unit holding a third of the data would be one task. Rows are cut into
+    chunks by cut points of (key, order), as many as the number of rows asks for;
+    a row's chunk is a pure function of the row. ``lag`` and the aggregation run
+    per (key, chunk) behind one exchange; the first row of a chunk is compared
+    with the last one of the key's previous chunk in a table of at most (#keys +
+    #chunks) rows.
     """
     if not order:
         raise ValueError("time_inversions needs the arrival order columns (a total "
                          "order within a unit); without them 'consecutive' is undefined")
-    spark = series.sparkSession
-    from assay.session import checkpoint_root
-    checkpoint_root(spark)
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = series.select(key, ts, *[c for c in order if c not in (key, ts)])
+    count = rows.count()
+    n = min(MOST_CHUNKS, chunks or -(-count // ROWS_A_CHUNK))
+    place = F.struct(F.col(key), *[F.col(c) for c in order])
+    chunk = F.lit(0)
+    if n > 1:
+        rows = rows.withColumn("_cuts", _cut_points(rows, place, n, count))
+        chunk = F.floor(place_among(place, F.col("_cuts"), MOST_CHUNKS - 1) * F.lit(n) / F.lit(MOST_CHUNKS)).cast("int")
     ordering = [F.col(c) for c in order]
-    ranged = (series.select(key, ts, *order)
-              .repartitionByRange(n, F.col(key), *ordering)
-              .withColumn("_chunk", F.spark_partition_id())
-              .checkpoint(eager=True))
     w = Window.partitionBy(key, "_chunk").orderBy(*ordering)
-    inner = (ranged.withColumn("_prev", F.lag(ts).over(w))
-             .agg(F.count("_prev").alias("pairs"),
-                  F.count_if(F.col(ts) < F.col("_prev")).alias("inversions")))
-    first_last = ranged.groupBy(key, "_chunk").agg(
-        F.min_by(F.col(ts), F.struct(*ordering)).alias("_first"),
-        F.max_by(F.col(ts), F.struct(*ordering)).alias("_last"))
-    wb = Window.partitionBy(key).orderBy("_chunk")
-    edges = (first_last.withColumn("_prev", F.lag("_last").over(wb))
-             .agg(F.count("_prev").alias("pairs"),
-                  F.count_if(F.col("_first") < F.col("_prev")).alias("inversions")))
-    total = inner.unionByName(edges).agg(F.sum("pairs").alias("pairs"),
-                                         F.sum("inversions").alias("inversions"))
+    per = (rows.withColumn("_chunk", chunk).drop("_cuts").withColumn("_prev", F.lag(ts).over(w))
+           .groupBy(key, "_chunk").agg(
+               F.count("_prev").alias("_pairs"), F.count_if(F.col(ts) < F.col("_prev")).alias("_inversions"),
+               F.min_by(F.col(ts), F.struct(*ordering)).alias("_first"),
+               F.max_by(F.col(ts), F.struct(*ordering)).alias("_last")))
+    above = Window.partitionBy(key).orderBy("_chunk")
+    total = per.withColumn("_before", F.lag("_last").over(above)).agg(
+        F.coalesce(F.sum("_pairs") + F.count("_before"), F.lit(0)).alias("pairs"),
+        F.coalesce(F.sum("_inversions") + F.count_if(F.col("_first") < F.col("_before")), F.lit(0)).alias("inversions"))
     return total.withColumn("share", safe_ratio(F.col("inversions"), F.col("pairs")))
 
 
