@@ -89,6 +89,13 @@ def _draw(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("~")) for p in parts]))
 
 
+def block_of(blocks: int) -> Column:
+    """The block of a place ``start`` in a part, start * blocks div part. In
+    decimals: the product passes 64 bits on large corpora, and a quotient of
+    doubles could cross a block's edge."""
+    return F.expr(f"cast(cast(start as decimal(20,0)) * cast({blocks} as decimal(16,0)) div cast(part as decimal(20,0)) as long)")
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", budget_tokens: int | None = None,
                 entropy_gain: float = 0.5, max_repeats: float = 4.0,
@@ -134,8 +141,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drawn = (placed.withColumn("start", F.col("epoch") * F.col("tokens") + F.col("within"))
              .where(F.col("start") < F.col("part")))
     blocks = max(1, math.ceil(budget / block_tokens))
-    numbered = drawn.withColumn(
-        "block", F.floor(F.col("start") * F.lit(blocks) / F.col("part")).cast("long"))
+    numbered = drawn.withColumn("block", block_of(blocks))
     order = Window.partitionBy("block").orderBy("shuffle", "doc_id", "th", "epoch")
     return (numbered.withColumn("shuffle", _draw(F.lit(seed + 1), F.col("epoch"), F.col("doc_id")))
             .withColumn("slot", (F.row_number().over(order) - 1).cast("long"))
