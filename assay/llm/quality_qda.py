@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assay.llm.common import ready, written
+from assay.llm.common import least_hashed, ready, written
 
 FEATURES = ["log_words", "word_length", "upper", "digit", "symbol", "punctuation", "exclaim", "wide",
             "distinct_words", "top_word", "same_neighbour", "repeat_lines", "short_lines", "capital_words"]
@@ -150,7 +150,7 @@ def train(rows: DataFrame, labels: DataFrame, shrink: float = 0.1, ridge: float
         v = np.array([cells[i]["v"] for i in range(k + k * k)])
         moments.append((cells[0]["n"], v[:k], v[k:].reshape(k, k)))
     model = Discriminant(moments, shrink, ridge)
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_rows).collect()
+    sample = least_hashed(known, calibration_rows, sum(int(n) for n, _, _ in moments), "doc_id").collect()
     model.calibrate(np.array([r["x"] for r in sample], float), np.array([r["quality"] for r in sample], float))
     return model
 
