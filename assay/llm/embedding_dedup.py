@@ -10,20 +10,23 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from assay.llm.common import ready, written
+from assay.llm.common import least_hashed, ready, written
 from assay.llm.components import connected_components
 
 COSINE = 0.93
 BLOCK = 1024            # vectors of a cell on either side of one comparison
 SAMPLE = 20_000         # vectors the codebooks are fitted on, at most
 PROBES = 400            # vectors whose neighbours are all looked up to set the visits
-VISITS = 16             # cells visited if no probe has a neighbour
+TELLING = 100           # probes with neighbours that suffice to set the visits
+SURE = 0.95             # share of synthetic neighbours found where fewer have any
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -52,7 +55,7 @@ def distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
 class MultiIndex:
     """The two codebooks and the number of cells that a query visits."""
 
-    def __init__(self, first: np.ndarray, second: np.ndarray, visits: int = VISITS):
+    def __init__(self, first: np.ndarray, second: np.ndarray, visits: int = 1):
         self.first, self.second = first, second
         self.visits = visits
 
@@ -93,7 +96,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def fit(nodes: DataFrame, count: int) -> MultiIndex | None:
     """Codebooks from at most SAMPLE nodes in the order of a hash of their id."""
-    rows = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("embedding").toPandas()
+    rows = least_hashed(nodes, SAMPLE, count, "node").select("embedding").toPandas()
     if rows.empty:
         return None
     u = unit(np.stack(rows["embedding"].to_numpy()))
@@ -103,12 +106,32 @@ def fit(nodes: DataFrame, count: int) -> MultiIndex | None:
     return MultiIndex(codebook(u[:, :cut], k), codebook(u[:, cut:], k))
 
 
-def set_visits(nodes: DataFrame, index: MultiIndex, recall: float) -> MultiIndex:
+def synthetic_place(u: np.ndarray, index: MultiIndex) -> int:
+    """Cells to visit so that SURE of the vectors at a cosine of just 0.93 to the
+    probes, in random directions, would be found."""
+    rng = np.random.default_rng(1)
+    if u.shape[1] < 2:
+        return 1
+    places = []
+    for x in u:
+        noise = rng.normal(size=(16, len(x)))
+        noise -= np.outer(noise @ x, x)
+        noise /= np.maximum(np.sqrt(np.square(noise).sum(1, keepdims=True)), 1e-12)
+        d1, d2 = index.halves(x[None])
+        sums = np.sort((d1[0][:, None] + d2[0][None, :]).ravel())
+        own = index.sequence(COSINE * x + math.sqrt(1 - COSINE ** 2) * noise, 1)[2]
+        places.append(np.searchsorted(sums, d1[0][own // len(index.second)] + d2[0][own % len(index.second)] - 1e-12) + 1)
+    return int(np.quantile(np.concatenate(places), SURE, method="higher"))
+
+
+def set_visits(nodes: DataFrame, count: int, index: MultiIndex, recall: float) -> MultiIndex:
     """Looks up all neighbours of PROBES nodes by brute force, finds the place of
     each neighbour's cell in the probe's sequence, and visits as many cells as
-    give ``recall`` of the neighbours, counted by pair and by probe."""
+    give ``recall`` of the neighbours, counted by pair and by probe. Where fewer
+    than TELLING probes have neighbours, made-up neighbours of the probes at the
+    least cosine have to be found as well."""
     spark = nodes.sparkSession
-    probe = nodes.orderBy(F.xxhash64(F.lit(5), "node"), "node").limit(PROBES).select("node", "label", "embedding").toPandas()
+    probe = least_hashed(nodes, PROBES, count, F.lit(5), "node").select("node", "label", "embedding").toPandas()
     ids, labels = probe["node"].to_numpy(np.int64), probe["label"].to_numpy(np.int64)
     u = unit(np.stack(probe["embedding"].to_numpy()))
     shared = spark.sparkContext.broadcast((ids, labels, u, index))
@@ -132,17 +155,16 @@ def set_visits(nodes: DataFrame, index: MultiIndex, recall: float) -> MultiIndex
 
     found = nodes.select("node", "label", "embedding").mapInArrow(run, "probe long, place long")
     seen = found.groupBy("probe", "place").count().toPandas()       # at most PROBES x cells rows
-    if seen.empty:
-        return index
-    share = seen["count"] / seen.groupby("probe")["count"].transform("sum")
-    need = 1
-    for weight in (seen["count"], share):
-        by = weight.groupby(seen["place"]).sum().sort_index().cumsum()
-        need = max(need, int(by.index[np.searchsorted(by.to_numpy(), recall * by.iloc[-1] - 1e-9)]))
+    need = synthetic_place(u, index) if seen["probe"].nunique() < TELLING else 1
+    if not seen.empty:
+        share = seen["count"] / seen.groupby("probe")["count"].transform("sum")
+        for weight in (seen["count"], share):
+            by = weight.groupby(seen["place"]).sum().sort_index().cumsum()
+            need = max(need, int(by.index[np.searchsorted(by.to_numpy(), recall * by.iloc[-1] - 1e-9)]))
     return MultiIndex(index.first, index.second, max(need, 4))
 
 
-ROLE = "label int, cell int, role int, node long, copies long, reach double, own int, embedding array<float>"
+ROLE = "label int, cell int, role int, node long, copies long, reach double, own int, embedding array<{kind}>"
 
 
 def _roles(index: MultiIndex, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,40 +256,14 @@ def _compare(index: MultiIndex, batches: Iterator[pa.RecordBatch]) -> Iterator[p
         yield from emit(pa.Table.from_batches(held))
 
 
-def embedding_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                         label_col: str = "label", recall: float = 0.995) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for every row of ``vectors``.
-
-    Two vectors are linked when their labels are equal and not null and their
-    cosine is at least 0.93 in double precision; every reported link is checked,
-    ``recall`` of them are found as measured on the probes. ``component_id`` is
-    the smallest id reachable and ``kept`` says it is the row's own.
-
-    Vectors that are null or zero, that hold a null or non-finite component, or
-    whose length is not the table's most frequent one link with nothing; so do
-    rows with a null label or a null id (component null, kept true). Repeated
-    rows are copies linked with each other. Empty table: no rows. Extra columns
-    are not read.
-    """
-    spark = vectors.sparkSession
-    ready(spark, 2048)
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("int").alias("label"),
-                          F.col(vector_col).cast("array<float>").alias("embedding"))
-    fine = (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()
-            & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-            & F.exists("embedding", lambda x: x != 0))
-    valid = rows.where(fine)
-    size = valid.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if size is None:
-        return alone
-    valid = valid.where(F.size("embedding") == size["d"])
-    nodes = written(valid.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "imi-nodes")
-    index = fit(nodes, nodes.count())
-    index = set_visits(nodes, index, recall)
+def _named(nodes: DataFrame, count: int, kind: str, recall: float) -> DataFrame:
+    """(n_label, n_embedding, found: links of each copy, component) of the nodes,
+    which have one length."""
+    spark = nodes.sparkSession
+    index = set_visits(nodes, count, fit(nodes, count), recall)
     shared = spark.sparkContext.broadcast(index)
     roles = written(nodes.select("label", "node", "copies", "embedding")
-                    .mapInArrow(lambda it: _roles(shared.value, it), ROLE), "imi-roles")
+                    .mapInArrow(lambda it: _roles(shared.value, it), ROLE.format(kind=kind)), "imi-roles")
     load = roles.groupBy("label", "cell").agg(
         F.ceil(F.sum(1 - F.col("role")) / BLOCK).cast("int").alias("n_mb"), F.ceil(F.sum("role") / BLOCK).cast("int").alias("n_vb"))
     load = load.where("n_mb > 0").select(F.col("label").alias("l_label"), F.col("cell").alias("l_cell"), "n_mb", "n_vb")
@@ -286,12 +282,46 @@ def embedding_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     edges = found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
     groups = connected_components(edges)
-    named = (nodes.select("label", "embedding", "node", "copies")
-             .join(links.select(F.col("node").alias("k_node"), "links"), F.col("node") == F.col("k_node"), "left")
-             .join(groups.select(F.col("node").alias("g_node"), "component"), F.col("node") == F.col("g_node"), "left")
-             .select(F.col("label").alias("n_label"), F.col("embedding").alias("n_embedding"),
-                     (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("found"),
-                     F.coalesce("component", "node").alias("component")))
+    return (nodes.select("label", "embedding", "node", "copies")
+            .join(links.select(F.col("node").alias("k_node"), "links"), F.col("node") == F.col("k_node"), "left")
+            .join(groups.select(F.col("node").alias("g_node"), "component"), F.col("node") == F.col("g_node"), "left")
+            .select(F.col("label").alias("n_label"), F.col("embedding").alias("n_embedding"),
+                    (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("found"),
+                    F.coalesce("component", "node").alias("component")))
+
+
+def embedding_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
+                         label_col: str = "label", recall: float = 0.995) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) for every row of ``vectors``.
+
+    Two vectors are linked when their labels are equal and not null and their
+    cosine is at least 0.93 in double precision; every reported link is checked,
+    ``recall`` of them are found as measured on the probes. ``component_id`` is
+    the smallest id reachable and ``kept`` says it is the row's own.
+
+    Vectors of different lengths are not linked; each length has an index of its
+    own. Vectors that are null or zero or that hold a null or non-finite component
+    link with nothing; so do rows with a null label or a null id (component null,
+    kept true). Repeated rows are copies linked with each other. Empty table: no
+    rows. Extra columns are not read. Components are taken as they are stored,
+    single or double.
+    """
+    spark = vectors.sparkSession
+    ready(spark, 2048)
+    kind = "float" if vectors.schema[vector_col].dataType.elementType == T.FloatType() else "double"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("int").alias("label"),
+                          F.col(vector_col).cast(f"array<{kind}>").alias("embedding"))
+    fine = (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()
+            & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+            & F.exists("embedding", lambda x: x != 0))
+    every = written(rows.where(fine).groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
+                    .withColumn("length", F.size("embedding")), "imi-nodes")
+    # a row a length
+    lengths = sorted((r["length"], r["count"]) for r in every.groupBy("length").count().collect())
+    if not lengths:
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    named = reduce(DataFrame.unionByName, [
+        _named(every.where(F.col("length") == n).drop("length"), count, kind, recall) for n, count in lengths])
     own = rows.join(named, (F.col("label") == F.col("n_label")) & (F.col("embedding") == F.col("n_embedding"))
                     & F.col("vec_id").isNotNull(), "left")
     component = F.coalesce("component", "vec_id")

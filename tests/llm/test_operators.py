@@ -185,11 +185,12 @@ def test_jaccard_two_texts_with_one_id(spark):
         assert {(r.doc_id, r.component_id) for r in jaccard_join.jaccard_components(d).collect()} == {(1, 1), (2, 1), (3, 1)}
 
 
-def brute_components(rows):
+def brute_components(rows, width=4, percent=85):
     sets = {}
     for i, text in rows:
         w = lower(text)
-        sets[i] = frozenset(tuple(w[a:a + 4]) for a in range(len(w) - 3)) if len(w) > 3 else frozenset([tuple(w)] if w else [])
+        sets[i] = (frozenset(tuple(w[a:a + width]) for a in range(len(w) - width + 1)) if len(w) >= width
+                   else frozenset([tuple(w)] if w else []))
     up = {i: i for i in sets}
 
     def find(x):
@@ -200,15 +201,16 @@ def brute_components(rows):
     for k, i in enumerate(ids):
         for j in ids[:k]:
             a, b = sets[i], sets[j]
-            if 100 * min(len(a), len(b)) >= 85 * max(len(a), len(b)):
+            if 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
                 c = len(a & b)
-                if 100 * c >= 85 * (len(a) + len(b) - c):
+                if 100 * c >= percent * (len(a) + len(b) - c):
                     x, y = find(i), find(j)
                     up[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-def test_jaccard_groups_equal_brute_force(spark, docs):
+@pytest.mark.parametrize("width, percent", [(4, 85), (5, 80)])
+def test_jaccard_groups_equal_brute_force(spark, docs, width, percent):
     rnd = random.Random(5)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     base = [f"w{rnd.randrange(500)}" for _ in range(120)]
@@ -220,8 +222,8 @@ def test_jaccard_groups_equal_brute_force(spark, docs):
     for k in range(60):       # small sets
         rows.append((2000 + k, " ".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 12)))))
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(d).collect()}
-    assert got == brute_components(rows)
+    found = jaccard_join.jaccard_components(d, width=width, percent=percent)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute_components(rows, width, percent)
 
 
 def test_parts_of_partenum_lose_no_similar_pair():
@@ -362,6 +364,46 @@ def test_embedding_links_equal_brute_force(spark):
     assert embedding_dedup.embedding_neighbours(d.limit(0)).collect() == []
 
 
+def test_embedding_of_every_length_and_precision(spark):
+    """Vectors of a rarer length are linked; doubles keep their precision."""
+    rnd = np.random.default_rng(9)
+    rows = [(i, rnd.normal(size=16).tolist(), 0) for i in range(300)]
+    rows += [(1000 + i, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0 + i], 0) for i in range(2)] + [(1010, [1.0], 0), (1011, [2.0], 0), (1012, [-1.0], 0)]
+    # cosine with the first axis just below and just above the threshold
+    edge = lambda c: [c, math.sqrt(1 - c * c), 0.0]
+    rows += [(1020, [1.0, 0.0, 0.0], 0), (1021, edge(0.93 + 1e-12), 0), (1022, edge(0.93 - 1e-12)[:1] + [-edge(0.93 - 1e-12)[1], 0.0], 0)]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_neighbours(d).collect()}
+    assert got[1000] == (1, 1000) and got[1001] == (1, 1000)
+    assert got[1010] == (1, 1010) and got[1011] == (1, 1010) and got[1012] == (0, 1012)
+    assert got[1020] == (1, 1020) and got[1021] == (1, 1020) and got[1022] == (0, 1022)
+
+
+def test_embedding_recall_where_links_are_rare(spark):
+    """No probe has a neighbour, yet the few links at the least cosine are found."""
+    rnd = np.random.default_rng(12)
+    base = rnd.normal(size=(6000, 32))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    noise = rnd.normal(size=(120, 32))
+    noise -= (noise * base[:120]).sum(1)[:, None] * base[:120]
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    near = 0.932 * base[:120] + math.sqrt(1 - 0.932 ** 2) * noise
+    rows = [(i, x.tolist(), 0) for i, x in enumerate(np.concatenate([base, near]))]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = embedding_dedup.embedding_neighbours(d).where("n_links > 0").count()
+    assert got >= 0.9 * 240
+
+
+def test_mixing_of_a_huge_budget(spark):
+    """The block of a place is exact where place times blocks passes 64 bits."""
+    d = spark.createDataFrame([(i, f"text {i}", "s") for i in range(20)], "doc_id long, text string, source string")
+    got = mixing.mix_sources(d, budget_tokens=39, block_tokens=1).collect()
+    assert sorted(r.block for r in got) == sorted(r.start * 39 // 39 for r in got)
+    big, blocks, part = 4 * 10 ** 18, 10 ** 14, 5 * 10 ** 18
+    exact = spark.createDataFrame([(big, part)], "start long, part long").select(mixing.block_of(blocks).alias("b"))
+    assert exact.first().b == big * blocks // part
+
+
 def test_pipeline_stages(spark, odd):
     cols = odd.columns
     got = odd
@@ -395,7 +437,7 @@ def test_pipeline_equals_brute_force(spark, docs):
     assert sorted((r.doc_id, r.text) for r in plain.collect()) == cleaned
     assert plain.where("n_chars <> char_length(text)").count() == 0
     unique = corpus_pipeline.near_duplicates(spark, plain, SMALL)
-    comp = brute_components(cleaned)
+    comp = brute_components(cleaned, 5, 80)
     assert sorted(r.doc_id for r in unique.collect()) == sorted(i for i, (_, c) in comp.items() if i == c)
     mixed = corpus_pipeline.mix(spark, unique, SMALL)
     assert mixed.columns == docs.columns and mixed.count() > 0
