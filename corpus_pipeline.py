@@ -50,9 +50,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked documents (five-word shingles, similarity 0.8 or
-    more) the one with the smallest id stays, and one of each set of repeated rows."""
-    found = jaccard_join.jaccard_components(docs, width=5, percent=80)
+    """Of every group of linked documents (as in the join's own contract: four-word
+    shingles, similarity 0.85 or more) the one with the smallest id stays, and one
+    of each set of repeated rows."""
+    found = jaccard_join.jaccard_components(docs)
     gone = written(found.where("component_id <> doc_id").select(F.col("doc_id").alias(ID)).distinct(), "duplicates")
     left = docs.join(gone, docs["doc_id"] == gone[ID], "left_anti")
     return left.dropDuplicates(["doc_id", "text"])
