@@ -11,7 +11,7 @@ Groups of equal sets are one node from the start. Within a signature's bucket
 pairs are not enumerated: every node is first checked against the bucket's
 smallest node, found groups are merged, and only nodes of different groups are
 compared further, in blocks, by parity sketches that bound the difference from
-below, before an exact check.
+below and have as many bits as the sets ask for, before an exact check.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ from assay.llm.components import connected_components
 
 WIDTH = 4               # words of a shingle
 PERCENT = 85            # least Jaccard similarity, in hundredths
-BITS = 1024             # of a parity sketch: the top ten bits of a hash name one
+BITS = 1024             # of a coarse parity sketch
+FINE = 16384            # most bits of a fine one, which has at least a bit a feature below that
 BLOCK = 2048            # nodes of a bucket compared at a time
 NEAREST = 3             # partners of a node that a bucket proposes in a round
 ROUNDS = 1              # of nearest partners, before all open pairs are checked
@@ -147,11 +148,28 @@ def signatures(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.concatenate(out)
 
 
-def sketch(grams: np.ndarray) -> np.ndarray:
+def sketch(grams: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Parity of the number of features per hash cell: the bits in which two
-    sketches differ are at most the features in which the sets differ."""
-    bits = np.bincount((grams >> np.uint64(54)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1
-    return np.packbits(bits).view(np.int64)
+    sketches differ are at most the features in which the sets differ. The low
+    bits of a hash name its cell, so a sketch is cut to half its bits by the
+    exclusive or of its halves."""
+    cells = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(cells).view(np.int64)
+
+
+def fine_sketch(grams: np.ndarray) -> np.ndarray:
+    """A sketch whose bits grow with the set. With far fewer bits than features a
+    sketch of unlike sets differs in half of its bits and no more, which says
+    nothing about long texts."""
+    return sketch(grams, min(FINE, max(BITS, 1 << (max(1, len(grams)) - 1).bit_length())))
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Sketches (one a row) cut to ``size`` words."""
+    while bits.shape[1] > size:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
 
 
 def _lists(rows: list[np.ndarray], size: int | None = None) -> pa.ListArray:
@@ -163,14 +181,15 @@ def _lists(rows: list[np.ndarray], size: int | None = None) -> pa.ListArray:
 
 SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()),
                      T.StructField("node", T.LongType()), T.StructField("check", T.LongType()),
-                     T.StructField("sketch", T.ArrayType(T.LongType()))])
+                     T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("fine", T.ArrayType(T.LongType()))])
 
 
 def doc_sets(docs: DataFrame, seed: int, width: int) -> DataFrame:
-    """(doc_id, n, node, check, sketch): size and 2 x 64-bit hash of every set."""
+    """(doc_id, n, node, check, sketch, fine): size, 2 x 64-bit hash and coarse and
+    fine sketch of every set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, node, check, bits = [], [], [], []
+            n, node, check, bits, fine = [], [], [], [], []
             for text in batch.column(1):
                 grams = shingles(text.as_py(), width)
                 n.append(len(grams))
@@ -178,9 +197,10 @@ def doc_sets(docs: DataFrame, seed: int, width: int) -> DataFrame:
                 node.append(own[0])
                 check.append(own[1])
                 bits.append(sketch(grams))
+                fine.append(fine_sketch(grams))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64()),
-                 _lists(bits, BITS // 64)], names=SETS.names)
+                 _lists(bits, BITS // 64), _lists(fine)], names=SETS.names)
     return docs.mapInArrow(run, SETS)
 
 
@@ -277,13 +297,23 @@ def _across(nearest: bool, percent: int, batches: Iterator[pa.RecordBatch]) -> I
         if rows.num_rows < 2:
             return
         cols = {c: rows.column(c).to_numpy() for c in ("bucket", "i", "j", "block", "node", "grp", "n")}
-        bits = rows.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, BITS // 64).view(np.uint64)
+        lists = rows.column("fine").combine_chunks()
+        flat, ends = lists.flatten().to_numpy().view(np.uint64), np.cumsum(lists.value_lengths().to_numpy())
+        length = np.diff(ends, prepend=0)
         change = np.flatnonzero((np.diff(cols["bucket"]) != 0) | (np.diff(cols["i"]) != 0) | (np.diff(cols["j"]) != 0)) + 1
         a, b, d = [], [], []
         for lo, hi in zip(np.append(0, change), np.append(change, rows.num_rows)):
             i, j = cols["i"][lo], cols["j"][lo]
             rows_i = lo + np.flatnonzero(cols["block"][lo:hi] == i)
             rows_j = rows_i if i == j else lo + np.flatnonzero(cols["block"][lo:hi] == j)
+            # sketches by their own length, and cut to each shorter one in the block
+            exact = {size: np.stack([flat[ends[r] - size:ends[r]] for r in lo + np.flatnonzero(length[lo:hi] == size)])
+                     for size in np.unique(length[lo:hi])}
+            place = np.empty(hi - lo, np.int64)
+            for size in exact:
+                own = length[lo:hi] == size
+                place[own] = np.arange(own.sum())
+            cut = {(size, to): folded(exact[size], to) for size in exact for to in exact if to <= size}
             for x in rows_i:
                 y = rows_j[rows_j > x] if i == j else rows_j
                 y = y[cols["grp"][y] != cols["grp"][x]]
@@ -293,7 +323,10 @@ def _across(nearest: bool, percent: int, batches: Iterator[pa.RecordBatch]) -> I
                 y = y[np.minimum(nx, ny) * 100 >= np.maximum(nx, ny) * percent]
                 if not len(y):
                     continue
-                dist = np.bitwise_count(bits[y] ^ bits[x]).sum(1, dtype=np.int64)
+                dist = np.empty(len(y), np.int64)
+                for size in np.unique(length[y]):
+                    to, of = min(size, length[x]), length[y] == size
+                    dist[of] = np.bitwise_count(cut[size, to][place[y[of] - lo]] ^ cut[length[x], to][place[x - lo]]).sum(1, dtype=np.int64)
                 ok = dist * (100 + percent) <= (nx + cols["n"][y]) * (100 - percent)
                 y, dist = y[ok], dist[ok]
                 if nearest and len(y) > NEAREST:
@@ -346,8 +379,8 @@ def across_groups(opened: DataFrame, nodes: DataFrame, nearest: bool, percent: i
               .withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
               .select(F.col("sig").alias("bucket"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                       "block", "node", "grp"))
-    full = spread.join(nodes.select(F.col("node").alias("s_node"), "n", "sketch"), F.col("node") == F.col("s_node"))
-    ordered = (full.select("bucket", "i", "j", "block", "node", "grp", "n", "sketch")
+    full = spread.join(nodes.select(F.col("node").alias("s_node"), "n", "fine"), F.col("node") == F.col("s_node"))
+    ordered = (full.select("bucket", "i", "j", "block", "node", "grp", "n", "fine")
                .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node"))
     return ordered.mapInArrow(lambda it: _across(nearest, percent, it), PAIRS).groupBy("a", "b").agg(F.min("dist").alias("dist"))
 
@@ -384,7 +417,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             break
         seed += 1
     nodes = written(filled.groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n"),
-                                               F.first("sketch").alias("sketch")), "jaccard-nodes")
+                                               F.first("sketch").alias("sketch"), F.first("fine").alias("fine")), "jaccard-nodes")
     w = Window.partitionBy("sig")
     buckets = written(signed(plain.where("doc_id is not null"), seed, width, percent).withColumn("center", F.min("node").over(w)).withColumn("far", F.max("node").over(w))
                       .where("center <> far").select("sig", "node", "center"), "jaccard-shared")
