@@ -177,6 +177,22 @@ def test_filtered_results_grow_with_the_text(spark):
         assert long < 10 * short + 10, (short, long)
 
 
+def test_fine_sketches_tell_long_sets_apart():
+    rng = np.random.default_rng(5)
+    for n in (700, 3000, 9000):
+        a, b = (np.unique(rng.integers(0, 2 ** 64 - 1, n, np.uint64)) for _ in range(2))
+        near = np.concatenate([a[n // 20:], b[:n // 20]])
+        fine = [jaccard_join.fine_sketch(x).view(np.uint64) for x in (a, b, near)]
+        assert len(fine[0]) * 64 >= n
+        for x, f in zip((a, b, near), fine):
+            cut = jaccard_join.folded(f[None, :], jaccard_join.BITS // 64)[0]
+            assert (cut == jaccard_join.sketch(x).view(np.uint64)).all()
+        apart, close = (int(np.bitwise_count(fine[0] ^ f).sum()) for f in fine[1:])
+        assert close <= len(np.setxor1d(a, near)) and apart * 180 > 2 * n * 20
+    # beyond the most bits a sketch only says less
+    assert len(jaccard_join.fine_sketch(np.arange(50_000, dtype=np.uint64))) * 64 == jaccard_join.FINE
+
+
 def test_jaccard_two_texts_with_one_id(spark):
     a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
     rows = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail")]
