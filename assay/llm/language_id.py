@@ -6,6 +6,9 @@ language. Counts, discounts and probabilities are Spark jobs over every sequence
 seen. Tables of up to BROADCAST bytes are sorted arrays in the tasks that score;
 larger ones are joined with the sequences of each text. Log probabilities are
 whole numbers of 1/SCALE, so that both ways add up to the same sums.
+
+Every language has discounts of its own. What a text may cost before it is
+rejected is calibrated on training texts that a trial model has not seen.
 """
 
 from __future__ import annotations
@@ -29,6 +32,14 @@ SCALE = 1 << 20
 FLOOR = round(float(np.log(1.0 / 65536)) * SCALE)
 #: Bytes of model tables that the driver and each worker hold at most.
 BROADCAST = 96 << 20
+#: One training text in so many is kept from the trial model that calibrates rejection.
+FOLDS = 5
+#: Share of a language's unseen training texts that is not to be rejected.
+ACCEPT = 0.999
+#: Standard errors of a text's mean loss that are allowed on top of the slack.
+TOLERANCE = 2.0
+#: Slack, in nats a letter, of a language without an unseen training text.
+SLACK = 0.5
 _LETTER: np.ndarray | None = None
 
 
@@ -95,8 +106,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
+def discount_of(ones: int, twos: int, otherwise: float = 0.5) -> float:
+    """Discount of a model by the numbers of sequences seen once and twice;
+    ``otherwise`` where one of them is 0."""
+    return ones / (ones + 2 * twos) if ones and twos else otherwise
+
+
 class KneserNey:
-    """Interpolated models of several languages with one discount per order.
+    """Interpolated models of several languages with a discount per language and
+    order (that of all languages together where a language has no sequence seen
+    once or none seen twice).
 
     ``keys[n]`` are the sorted n-code sequences seen in any language and
     ``logp[n]`` their log probabilities per language; ``left[n]`` are the sorted
@@ -121,8 +140,9 @@ class KneserNey:
         lower = np.empty((0, width))
         for o in range(1, ORDER + 1):
             l, g, c = order_rows[o]
-            ones, twos = (c == 1).sum(), (c == 2).sum()
-            discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+            ones, twos = (np.bincount(l[c == k], minlength=width) for k in (1, 2))
+            pooled = discount_of(ones.sum(), twos.sum())
+            discount = np.array([discount_of(a, b, pooled) for a, b in zip(ones, twos)])
             hist = g >> u(16)
             hkeys, hpos = np.unique(hist, return_inverse=True)
             mass, kinds = np.zeros((len(hkeys), width)), np.zeros((len(hkeys), width))
@@ -199,14 +219,22 @@ class KneserNey:
 
 class Tables:
     """Trained models: ``keys[n]`` (gram, logp) and ``left[n]`` (gram, rest) as
-    written tables with one number per language, and mean and deviation of the
-    log loss of each language's training text. ``bytes`` is what ``local`` holds."""
+    written tables with one number per language, mean and deviation of the log
+    loss of each language's training text, and the slack that its texts are
+    allowed. ``bytes`` is what ``local`` holds."""
 
     def __init__(self, langs: list[str], keys: dict[int, DataFrame], left: dict[int, DataFrame],
                  mean: np.ndarray, sd: np.ndarray, rows: int):
         self.langs, self.keys, self.left, self.mean, self.sd = langs, keys, left, mean, sd
+        self.slack = np.full(len(langs), SLACK)
         self.bytes = rows * (8 + 4 * len(langs))
 
+    def excess(self, lang: np.ndarray, sums: np.ndarray, sizes: np.ndarray, tolerance: float) -> np.ndarray:
+        """Nats a letter by which texts of total log probability ``sums`` lie above
+        the training loss of a language and ``tolerance`` standard errors."""
+        sizes = np.maximum(sizes, 1)
+        return -sums / SCALE / sizes - self.mean[lang] - tolerance * self.sd[lang] / np.sqrt(sizes)
+
     def local(self) -> KneserNey:
         def arrays(tables: dict[int, DataFrame]) -> tuple[dict, dict]:
             grams_of, values_of = {}, {}
@@ -228,16 +256,77 @@ def _units(p: Column) -> Column:
     return F.transform(p, lambda x: F.rint(F.log(x) * SCALE).cast("int"))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Tables | None:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          folds: int = FOLDS, accept: float = ACCEPT, tolerance: float = TOLERANCE,
+          broadcast: int = BROADCAST) -> Tables | None:
     """Models of the languages in ``docs``; None without a labelled letter.
 
-    Every text and every sequence counts, by the formulas of ``KneserNey``. The
-    driver holds the names of the languages and one discount per order.
+    Every text and every sequence counts, by the formulas of ``KneserNey``. A
+    trial model of all texts but one in ``folds`` (by the text's hash, so copies
+    stay together) meets the texts left out; the slack of a language is the
+    ``accept`` quantile of what they cost above the trial's own training loss.
+    Without such a text, or with ``folds`` 0, the slack is SLACK. The driver holds
+    the names of the languages, one discount per language and order and three
+    numbers per language.
     """
     ready(docs.sparkSession)
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counted = written(labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-                      .mapInArrow(_count, COUNTS).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "lang-grams")
+    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    model = _estimate(labelled)
+    if model is None or not folds:
+        return model
+    unseen = F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(folds)) == 0
+    trial = _estimate(labelled.where(~unseen))
+    if trial is not None:
+        slack = _slack(labelled.where(unseen), trial, accept, tolerance, broadcast)
+        model.slack = np.array([slack.get(lang, SLACK) for lang in model.langs])
+    return model
+
+
+def _slack(texts: DataFrame, trial: Tables, accept: float, tolerance: float, broadcast: int) -> dict[str, float]:
+    """The ``accept`` quantile per language of the excess of ``texts`` (lang, text)
+    under their own language's model."""
+    names = F.array(*[F.lit(x) for x in trial.langs])
+    placed = texts.select((F.array_position(names, F.col("lang")) - 1).cast("long").alias("doc_id"), "text").where("doc_id >= 0")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = batch.column(0).to_numpy()
+            sums = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, len(trial_langs))
+            sizes = batch.column(2).to_numpy()
+            over = judge.excess(lang, sums[np.arange(len(lang)), lang], sizes, tolerance)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(over)], names=["l", "excess"]).filter(pa.array(sizes > 0))
+    # the numbers alone: tables do not travel to the tasks
+    trial_langs, judge = trial.langs, Tables(trial.langs, {}, {}, trial.mean, trial.sd, 0)
+    rows = _sums(placed, trial, broadcast).mapInArrow(run, "l long, excess double")
+    found = rows.groupBy("l").agg(F.percentile_approx("excess", accept, 10000).alias("slack")).collect()
+    return {trial.langs[r["l"]]: r["slack"] for r in found}
+
+
+SUMS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("sums", T.ArrayType(T.LongType())),
+                     T.StructField("size", T.LongType())])
+
+
+def _sums(texts: DataFrame, model: Tables, broadcast: int) -> DataFrame:
+    """(doc_id, sums, size) of (doc_id, text): total log probability per language,
+    and the number of codes."""
+    if model.bytes > broadcast:
+        return _joined(texts, model)
+    shared = texts.sparkSession.sparkContext.broadcast(model.local())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kn = shared.value
+        for batch in batches:
+            sums, sizes = kn.totals(batch.column(1).to_pylist())
+            ends = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(kn.langs))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(ends, pa.array(sums.ravel())), pa.array(sizes)], names=SUMS.names)
+    return texts.mapInArrow(run, SUMS)
+
+
+def _estimate(labelled: DataFrame) -> Tables | None:
+    """Models of (lang, text)."""
+    counted = written(labelled.mapInArrow(_count, COUNTS).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "lang-grams")
     langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
     if not langs:
         return None
@@ -252,15 +341,23 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     for more in per_order[1:]:
         rows = rows.unionByName(more)
     rows = written(rows, "lang-orders")
-    discounts = {r["o"]: r["ones"] / (r["ones"] + 2 * r["twos"]) if r["ones"] and r["twos"] else 0.5 for r in rows.groupBy("o").agg(
+    seen_often = {(r["o"], r["l"]): (r["ones"], r["twos"]) for r in rows.groupBy("o", "l").agg(
         F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).collect()}
-    discount = F.element_at(F.create_map(*[F.lit(x) for o in discounts for x in (o, discounts[o])]), F.col("o"))
+    discounts: dict[int, list[float]] = {}
+    for o in range(1, ORDER + 1):
+        own = [seen_often[o, l] for l in range(len(langs))]
+        pooled = discount_of(*map(sum, zip(*own)))
+        discounts[o] = [discount_of(*x, pooled) for x in own]
+
+    def per_language(values: list[float]) -> Column:
+        return F.array(*[F.lit(x) for x in values])
+    discount = F.get(F.element_at(F.create_map(*[x for o in discounts for x in (F.lit(o), per_language(discounts[o]))]), F.col("o")), F.col("l"))
     hists = written(
         rows.groupBy("o", F.shiftrightunsigned("gram", 16).alias("gram"), "l").agg(F.sum("n").alias("mass"), F.count("*").alias("kinds"))
-        .groupBy("o", "gram").agg(F.map_from_entries(F.collect_list(F.struct("l", F.struct("mass", "kinds")))).alias("m"))
+        .withColumn("rest", discount * F.col("kinds") / F.col("mass"))
+        .groupBy("o", "gram").agg(F.map_from_entries(F.collect_list(F.struct("l", F.struct("mass", "rest")))).alias("m"))
         .select("o", "gram", F.transform(every, lambda l: F.coalesce(F.element_at("m", l)["mass"], F.lit(0)).cast("double")).alias("mass"),
-                F.transform(every, lambda l: F.coalesce(discount * F.element_at("m", l)["kinds"] / F.element_at("m", l)["mass"],
-                                                        F.lit(1.0))).alias("rest")), "lang-histories")
+                F.transform(every, lambda l: F.coalesce(F.element_at("m", l)["rest"], F.lit(1.0))).alias("rest")), "lang-histories")
     keys: dict[int, DataFrame] = {}
     for o in range(1, ORDER + 1):
         seen = (rows.where(F.col("o") == o).groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("l", "n"))).alias("m"))
@@ -273,7 +370,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             lower = keys[o - 1].select(F.col("gram").alias("short"), F.col("p").alias("base"))
             seen = seen.join(lower, _suffix(seen["gram"], o - 1) == F.col("short"))
         p = F.transform(every, lambda l: F.when(
-            F.get("mass", l) > 0, F.greatest(F.get("n", l) - F.lit(discounts[o]), F.lit(0.0)) / F.get("mass", l)).otherwise(F.lit(0.0))
+            F.get("mass", l) > 0, F.greatest(F.get("n", l) - F.get(per_language(discounts[o]), l), F.lit(0.0)) / F.get("mass", l)).otherwise(F.lit(0.0))
             + F.get("rest", l) * F.get("base", l))
         keys[o] = written(seen.select("gram", "n", p.alias("p")).select("gram", _units(F.col("p")).alias("logp"), "p", "n"), f"lang-model-{o}")
     # log loss of the training text per language, from its counts
@@ -355,14 +452,15 @@ def _joined(texts: DataFrame, model: Tables) -> DataFrame:
 
 
 def identify(docs: DataFrame, model: Tables | None, id_col: str = "doc_id", text_col: str = "text",
-             tolerance: float = 6.0, slack: float = 0.5, broadcast: int = BROADCAST) -> DataFrame:
+             tolerance: float = TOLERANCE, broadcast: int = BROADCAST) -> DataFrame:
     """(doc_id, lang_pred, score, cross_entropy, rejected) for every row.
 
     The language with the lowest cross-entropy per letter over the whole text;
     ties go to the first name. ``score`` weighs the others at the evidence of
     the square root of the length. ``rejected``: the cross-entropy lies more
-    than ``slack`` plus ``tolerance`` standard errors above that of the
-    language's own training text. A model of more than ``broadcast`` bytes is
+    than the language's slack (see ``train``, which takes the same tolerance) plus
+    ``tolerance`` standard errors above that of the language's own training
+    text. A model of more than ``broadcast`` bytes is
     joined instead of held, with the same result.
 
     Null text or no letter: ``und``, score 0, no cross-entropy, rejected; so for
@@ -371,7 +469,9 @@ def identify(docs: DataFrame, model: Tables | None, id_col: str = "doc_id", text
     """
     ready(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    langs, mean, sd = (model.langs, model.mean, model.sd) if model else ([], None, None)
+    langs = model.langs if model else []
+    judge = Tables(langs, {}, {}, model.mean, model.sd, 0) if model else None     # the numbers alone travel to the tasks
+    slack = model.slack if model else None
 
     def judged(ids: pa.Array, sums: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
         rows = len(sizes)
@@ -384,7 +484,7 @@ def identify(docs: DataFrame, model: Tables | None, id_col: str = "doc_id", text
             root = np.sqrt(np.maximum(sizes, 1))
             conf = np.where(sizes > 0, 1.0 / np.exp((sums - top[:, None]) / SCALE / root[:, None]).sum(1), 0.0)
             ce = -top / SCALE / np.maximum(sizes, 1)
-            rejected = (sizes == 0) | (ce > mean[best] + slack + tolerance * sd[best] / root)
+            rejected = (sizes == 0) | (judge.excess(best, top, sizes, tolerance) > slack[best])
             for i in np.flatnonzero(sizes):
                 pred[i], entropy[i] = langs[best[i]], float(ce[i])
         return pa.RecordBatch.from_arrays(
@@ -392,12 +492,12 @@ def identify(docs: DataFrame, model: Tables | None, id_col: str = "doc_id", text
              pa.array(entropy, pa.float64()), pa.array(rejected, pa.bool_())], names=RESULT.names)
 
     if model and model.bytes > broadcast:
-        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 yield judged(batch.column(0), batch.column(1).flatten().to_numpy().reshape(batch.num_rows, len(langs)),
                              batch.column(2).to_numpy())
 
-        return _joined(texts, model).mapInArrow(judge, RESULT)
+        return _joined(texts, model).mapInArrow(weigh, RESULT)
     shared = docs.sparkSession.sparkContext.broadcast(model.local() if model else None)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

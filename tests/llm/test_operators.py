@@ -177,6 +177,16 @@ def test_filtered_results_grow_with_the_text(spark):
         assert long < 10 * short + 10, (short, long)
 
 
+def test_language_rejection_is_calibrated(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = language_id.train(docs, accept=0.9)
+    wide = language_id.train(docs, accept=1.0)
+    assert (model.slack <= wide.slack).all() and (model.slack < wide.slack).any()
+    d = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(-1, "qxzj vkqw zzxq jqkv wqxz kjvq " * 20)], "doc_id long, text string"))
+    got = {r.doc_id: r.rejected for r in language_id.identify(d, wide).collect()}
+    assert got.pop(-1) and sum(got.values()) <= 0.02 * len(got)
+
+
 def test_fine_sketches_tell_long_sets_apart():
     rng = np.random.default_rng(5)
     for n in (700, 3000, 9000):
