@@ -24,7 +24,7 @@ from assay.operators import label as LB
 from assay.operators import star as ST
 from assay.plans import bindings as B
 from assay.sources import ledger as LD
-from assay.sources.delimited import SOURCE_FILE, header_of, read_delimited
+from assay.sources.delimited import SOURCE_FILE, header_of, read_delimited, write_folders
 from assay.sources.layers import (drop_layer, export_dataset, read_layer, read_optional, save_bucketed,
                                   save_table, write_layer)
 
@@ -81,10 +81,7 @@ def write_test_files(events: DataFrame, path: str) -> str:
     """One file per test: all rows of a folder are written by one task, in time
     order (``events`` as from ``source_events``, a test per folder)."""
     n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (events.repartition(n, "_test").sortWithinPartitions("_test", K.DATE, K.TIME).write.mode("overwrite").partitionBy("_test")
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .option("header", True).option("sep", ";").csv(path))
-    return path
+    return write_folders(events.repartition(n, "_test").sortWithinPartitions("_test", K.DATE, K.TIME), path, "_test")
 
 
 def source_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,30 +106,32 @@ def source_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_sources(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
-    """Write binding D's source folders under ``root`` (a fresh folder).
-
-    Time series: one folder per unit (``partitionBy``), the serial in the
-    folder name. The rows are range-partitioned on (folder, time, date)
-    first: each task holds a contiguous run of units, so a folder gets few
-    files, and a unit with a third of all rows is spread over many tasks
-    instead of one (a hash repartition on the folder would give it one)."""
-    ts_path, res_path = f"{root}/TimeSeries", f"{root}/Results"
+    """Write binding D's source folders under ``root`` (a fresh folder)."""
+    return {"timeseries": write_time_series(spark, sf_dir, root), "results": write_results(spark, sf_dir, root)}
+
+
+def write_time_series(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Time series: one folder per unit, the serial in the folder name. The
+    rows are range-partitioned on (folder, time, date) first: each task holds
+    a contiguous run of units, so a folder gets few files, and a unit with a
+    third of all rows is spread over many tasks instead of one (a hash
+    repartition on the folder would give it one)."""
     ev = source_events(spark, sf_dir)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # arrival order inside a unit's files: HEURE text, then DATE text (a
     # deliberately scrambled order, so the files carry genuine time
     # inversions); range partitions and in-file sort use the same keys, so the
     # order across a unit's files is the same global order
-    (ev.repartitionByRange(n, "_test", K.TIME, K.DATE)
-     .sortWithinPartitions("_test", K.TIME, K.DATE).write.mode("overwrite")
-     .partitionBy("_test")
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .option("header", True).option("sep", ";").csv(ts_path))
+    rows = ev.repartitionByRange(n, "_test", K.TIME, K.DATE).sortWithinPartitions("_test", K.TIME, K.DATE)
+    return write_folders(rows, f"{root}/TimeSeries", "_test")
+
+
+def write_results(spark: SparkSession, sf_dir: str, root: str) -> str:
     # the CSV writer trims leading / trailing blanks by default: keep text as is
     (source_results(spark, sf_dir).write.mode("overwrite")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .option("header", True).option("sep", ";").csv(res_path))
-    return {"timeseries": ts_path, "results": res_path}
+     .option("header", True).option("sep", ";").csv(f"{root}/Results"))
+    return f"{root}/Results"
 
 
 def read_bronze_measurements(spark: SparkSession, path: str) -> DataFrame:

@@ -50,15 +50,14 @@ def q_unknown_verdicts(spark, d):
     return unknown_verdicts(M.source_results(spark, d))
 
 
-def _sources(spark, d):
-    return M.write_sources(spark, d, scratch_path(spark, "sources"))
+def _time_series(spark, d):
+    return M.write_time_series(spark, d, scratch_path(spark, "sources"))
 
 
 @query("bronze_measurements", BRONZE_TS_SQL)
 def q_bronze_measurements(spark, d):
     """IO1 (+IO7 upstream): source CSV folder read back as all-string columns."""
-    src = _sources(spark, d)
-    return M.read_bronze_measurements(spark, src["timeseries"]).select(*M.TS_COLUMNS_D)
+    return M.read_bronze_measurements(spark, _time_series(spark, d)).select(*M.TS_COLUMNS_D)
 
 
 @query("bronze_results", """
@@ -68,8 +67,8 @@ SELECT {SOURCE_SERIAL_SQL} AS SERIAL_NUMBER, {SOURCE_RESULT_SQL} AS RESULT,
 FROM orders""".format(SOURCE_RESULT_SQL=SOURCE_RESULT_SQL, SOURCE_SERIAL_SQL=SOURCE_SERIAL_SQL))
 def q_bronze_results(spark, d):
     """IO2: results folder read back as strings."""
-    src = _sources(spark, d)
-    return M.read_bronze_results(spark, src["results"]).select(*M.RESULT_COLUMNS_D)
+    path = M.write_sources(spark, d, scratch_path(spark, "sources"))["results"]
+    return M.read_bronze_results(spark, path).select(*M.RESULT_COLUMNS_D)
 
 
 @query("bronze_lineage", """
@@ -80,8 +79,7 @@ def q_bronze_lineage(spark, d):
     """IO5 / IO6: every bronze row with the folder and serial of its source file;
     file names and ingestion times differ from run to run and are checked as
     conditions."""
-    src = _sources(spark, d)
-    raw = M.read_bronze_measurements(spark, src["timeseries"])
+    raw = M.read_bronze_measurements(spark, _time_series(spark, d))
     return raw.select(K.DATE, K.TIME, F.regexp_extract(SOURCE_FILE, r"_test=([^/]*)/", 1).alias("folder"),
                       serial_from_path(SOURCE_FILE, scope="path").alias(K.SERIAL),
                       F.col(SOURCE_FILE).endswith(F.concat(F.lit("/"), SOURCE_NAME)).alias("name_ends_path"),
@@ -92,8 +90,7 @@ def q_bronze_lineage(spark, d):
 @query("silver_measurements", SILVER_TS_SQL)
 def q_silver_measurements(spark, d):
     """PR1 + SC1-SC4 + SO1: bronze CSV -> typed series sorted by (unit, time)."""
-    src = _sources(spark, d)
-    raw = M.read_bronze_measurements(spark, src["timeseries"])
+    raw = M.read_bronze_measurements(spark, _time_series(spark, d))
     clean = CL.clean_measurements(raw, sensors=M.SENSORS_D, scope="path")
     good, _ = CL.split_quarantine(clean)
     return CL.sort_series(good)
@@ -201,7 +198,7 @@ def q_medallion_fact(spark, d):
     ids trimmed, worst verdict, sorted series) -> gold fact, each layer
     written to and read back from a fresh lake folder."""
     from assay.sources.layers import read_layer
-    src = _sources(spark, d)
+    src = M.write_sources(spark, d, scratch_path(spark, "sources"))
     lake = M.Lake(scratch_path(spark, "lake"))
     M.bronze(spark, src, lake, columns={"timeseries": M.TS_COLUMNS_D,
                                         "results": M.RESULT_COLUMNS_D})
@@ -224,8 +221,7 @@ def q_file_time_inversions(spark, d):
     offset, row in split, kept from bronze) whose time goes backwards."""
     from assay.operators.audit import time_inversions
     from assay.sources.delimited import ARRIVAL
-    src = _sources(spark, d)
-    raw = M.read_bronze_measurements(spark, src["timeseries"])
+    raw = M.read_bronze_measurements(spark, _time_series(spark, d))
     clean = CL.clean_measurements(raw, sensors=M.SENSORS_D, scope="path", keep_arrival=True)
     good, _ = CL.split_quarantine(clean)
     return time_inversions(good, order=ARRIVAL)

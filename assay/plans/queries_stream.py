@@ -64,9 +64,9 @@ def q_stream_features(spark, d):
 def q_stream_silver(spark, d):
     """SS1 + SS2: binding D's text files as a stream -> serial from the path,
     parsed dates and numbers; equals ``silver_measurements``."""
-    src = M.write_sources(spark, d, scratch_path(spark, "sources"))
+    path = M.write_time_series(spark, d, scratch_path(spark, "sources"))
     out, ckpt = _places(spark, "silver")
-    raw = read_delimited_stream(spark, src["timeseries"], M.TS_COLUMNS_D)
+    raw = read_delimited_stream(spark, path, M.TS_COLUMNS_D)
     silver.run_silver(raw, out, ckpt, sensors=M.SENSORS_D, scope="path")
     return silver.read_silver(spark, out, M.SENSORS_D)[0]
 

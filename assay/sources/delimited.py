@@ -7,12 +7,19 @@ job). Files are split and read by the executors; the driver only lists them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import uuid
+from collections.abc import Iterator, Sequence
+from itertools import groupby
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from assay.sources.layers import drop_layer
+
 SOURCE_FILE = "_source_file"
 SOURCE_NAME = "_source_name"
 INGESTED_AT = "_ingested_at"
@@ -62,6 +69,47 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
     return with_lineage(df) if lineage else df
 
 
+def write_folders(df: DataFrame, path: str, folder: str, sep: str = ";") -> str:
+    """Text columns of ``df`` as delimited files with header, a folder
+    ``<folder>=<value>`` for every value of the column ``folder``; overwrites
+    ``path``. The rows of ``df`` are written as they lie: sorted by ``folder``
+    inside its partitions, a partition gives a folder one file.
+
+    A unit of a few dozen rows is a file, so the price of a file is the price of
+    the write. Hadoop's local file system starts two ``chmod`` processes a file, so
+    on a local (or locally mounted) ``path`` the tasks write the lines themselves,
+    under names that a repeated task finds again. Elsewhere Spark's writer does it."""
+    spark = df.sparkSession
+    text = {"sep": sep, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() != "file":
+        df.write.mode("overwrite").partitionBy(folder).option("header", True).options(**text).csv(path)
+        return path
+    columns = [c for c in df.columns if c != folder]
+    top, head, load = where.toUri().getPath(), sep.join(columns), str(uuid.uuid4())
+    # the folder of a null, as Spark names it
+    value = F.coalesce(F.nullif(F.col(folder), F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    lines = df.select(F.concat(F.lit(f"{folder}="), value).alias("folder"),
+                      F.to_csv(F.struct(*columns), {k: str(v).lower() for k, v in text.items()}).alias("line"))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = f"part-{TaskContext.get().partitionId():05d}-{load}.csv"
+        rows = ((f, t) for b in batches for f, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        files = 0
+        for place, group in groupby(rows, key=lambda r: r[0]):
+            os.makedirs(f"{top}/{place}", exist_ok=True)
+            with open(f"{top}/{place}/{name}", "w", encoding="utf-8", newline="") as out:
+                out.write(f"{head}\n")
+                out.writelines(f"{t}\n" for _, t in group)
+            files += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
+
+    drop_layer(spark, path)
+    os.makedirs(top)
+    lines.mapInArrow(put, "files long").agg(F.sum("files")).collect()      # one row
+    return path
+
+
 def header_of(spark: SparkSession, file: str, sep: str = ";", encoding: str = "UTF-8") -> list[str]:
     """Column names in a file's header line."""
     return spark.read.option("header", True).option("sep", sep).option("encoding", encoding).csv(file).columns
