@@ -67,7 +67,7 @@ SELECT {SOURCE_SERIAL_SQL} AS SERIAL_NUMBER, {SOURCE_RESULT_SQL} AS RESULT,
 FROM orders""".format(SOURCE_RESULT_SQL=SOURCE_RESULT_SQL, SOURCE_SERIAL_SQL=SOURCE_SERIAL_SQL))
 def q_bronze_results(spark, d):
     """IO2: results folder read back as strings."""
-    path = M.write_sources(spark, d, scratch_path(spark, "sources"))["results"]
+    path = M.write_results(spark, d, scratch_path(spark, "sources"))
     return M.read_bronze_results(spark, path).select(*M.RESULT_COLUMNS_D)
 
 

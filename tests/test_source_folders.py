@@ -3,11 +3,13 @@ has to be cheap, and a query writes and reads only the sources it names."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
 
 from assay.plans import medallion as M
+from assay.plans.queries_io import q_bronze_results
 from assay.session import scratch_path
 from assay.sources import delimited as D
 
@@ -45,3 +47,8 @@ def test_folders_are_written_anew(spark):
     for key in ("old", "new"):
         D.write_folders(spark.createDataFrame([(key, "1")], "f string, a string"), path, "f")
     assert os.listdir(local(path)) == ["f=new"]
+
+
+def test_results_come_without_the_time_series(spark, monkeypatch):
+    monkeypatch.setattr(M, "source_events", lambda *_: pytest.fail("bronze_results reads no time series"))
+    assert q_bronze_results(spark, SF001).count() == spark.read.parquet(f"{SF001}/orders.parquet").count()
