@@ -218,10 +218,14 @@ SELECT count(p) AS pairs, count(*) FILTER (WHERE t < p) AS inversions,
 FROM l""", ["share"]))
 def q_file_time_inversions(spark, d):
     """QA6 on source files: readings in file arrival order (file, split
-    offset, row in split, kept from bronze) whose time goes backwards."""
+    offset, row in split, kept from bronze) whose time goes backwards. The
+    files are read once, into a silver table that the counting, the cut points
+    and the chunks read."""
     from assay.operators.audit import time_inversions
     from assay.sources.delimited import ARRIVAL
+    from assay.sources.layers import read_layer, write_layer
     raw = M.read_bronze_measurements(spark, _time_series(spark, d))
     clean = CL.clean_measurements(raw, sensors=M.SENSORS_D, scope="path", keep_arrival=True)
-    good, _ = CL.split_quarantine(clean)
+    silver = read_layer(spark, write_layer(clean, scratch_path(spark, "silver")))
+    good, _ = CL.split_quarantine(silver)
     return time_inversions(good, order=ARRIVAL)

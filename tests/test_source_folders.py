@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from conftest import SF001
 
 from assay.plans import medallion as M
-from assay.plans.queries_io import q_bronze_results
+from assay.plans import queries_io as Q
+from assay.plans.queries_io import q_bronze_results, q_file_time_inversions
 from assay.session import scratch_path
 from assay.sources import delimited as D
 
@@ -52,3 +53,16 @@ def test_folders_are_written_anew(spark):
 def test_results_come_without_the_time_series(spark, monkeypatch):
     monkeypatch.setattr(M, "source_events", lambda *_: pytest.fail("bronze_results reads no time series"))
     assert q_bronze_results(spark, SF001).count() == spark.read.parquet(f"{SF001}/orders.parquet").count()
+
+
+def test_time_inversions_read_the_files_once(spark, monkeypatch):
+    opened = spark.sparkContext.accumulator(0)
+    read = M.read_bronze_measurements
+
+    def counted(spark, path):
+        df = read(spark, path)
+        mark = F.udf(lambda v: (opened.add(1), v)[1])
+        return df.withColumn("VALUE", mark("VALUE")).withColumn("HEURE", mark("HEURE"))
+    monkeypatch.setattr(Q.M, "read_bronze_measurements", counted)
+    q_file_time_inversions(spark, SF001).collect()
+    assert opened.value == 2 * spark.read.parquet(f"{SF001}/events.parquet").count()
