@@ -385,3 +385,32 @@ def test_exact_median_of_readings_without_a_unit(spark):
     d = spark.createDataFrame(rows, f"{K.SERIAL} string, V double").withColumn(K.TS, F.current_timestamp()).withColumn(K.PHASE, F.lit("A"))
     got = {r[K.SERIAL]: r["V_med"] for r in FE.sequence_features(d, sensors=["V"], exact_median=True).collect()}
     assert got == {None: 2.0, "u": 5.0}
+
+
+def test_forest_classes_are_counted_on_persisted_rows(spark, tmp_path, monkeypatch):
+    from assay.plans import queries_ml as Q
+    n = F.col("id")
+    spark.range(400).select(
+        n.alias("o_orderkey"), F.when(n % 4 == 0, F.lit(B.W_PRICE)).otherwise(F.lit(1.0)).alias("o_totalprice"),
+        F.lit("1-URGENT").alias("o_orderpriority"), F.timestamp_seconds(n * 86400).alias("o_orderdate"),
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(800).select(
+        (n % 400).alias("l_orderkey"), (n % 7).alias("l_partkey"), F.floor(n / 400).cast("int").alias("l_linenumber"),
+        F.timestamp_seconds(n * 86400).alias("l_shipdate"), F.lit("A").alias("l_returnflag"),
+        *[(n * i % 11).cast("double").alias(c) for i, c in enumerate(B.SENSORS_B, 1)],
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(K, "RF_NUM_TREES", 3)
+    counted, kept = [], SP.class_weights
+    monkeypatch.setattr(SP, "class_weights", lambda df, *a: counted.append((df, df.storageLevel.useMemory)) or kept(df, *a))
+    model, test = Q.fit_fact_forest(spark, str(tmp_path))
+    # neither count joins the tables anew, and nothing stays persisted
+    assert [memory for _, memory in counted] == [True, True]
+    assert not any(df.storageLevel.useMemory for df, _ in counted)
+    assert model.stages[-1].getNumTrees == 3
+    assert counted[0][0].count() + test.count() == 400
+    # nor when a class is missing
+    counted.clear()
+    monkeypatch.setattr(B, "W_PRICE", 1e9)
+    with pytest.raises(ValueError, match="lacks a class"):
+        Q.fit_fact_forest(spark, str(tmp_path))
+    assert not any(df.storageLevel.useMemory for df, _ in counted)
