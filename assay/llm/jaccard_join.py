@@ -4,7 +4,8 @@ Sets are cut into size bands. For a band with sets of up to ``hi`` features, two
 sets at the threshold differ in at most k features, k = hi * 2 * (1-t)/(1+t).
 The feature domain is cut into n1 partitions of n2 cells; as n1 * (k2 + 1) > k,
 in some partition at most k2 cells differ, so the two sets agree on a subset of
-n2 - k2 of its cells, and the subset's content is a signature they share. No
+n2 - k2 of its cells, and the subset's content is a signature they share. Some partitions
+more than that, and a pair shares several, of which the emptiest are left out. No
 link is lost; candidates are then checked on their exact sets.
 
 Groups of equal sets are one node from the start. Within a signature's bucket
@@ -111,40 +112,58 @@ def instances(size: int, percent: int = PERCENT) -> list[tuple[int, int]]:
     return _BANDS[key]
 
 
-def scheme(k: int) -> tuple[int, int, int]:
-    """(n1, n2, k2) for a greatest difference k. A few partitions more than the
-    least number, so that a pair agrees on several of them."""
+def scheme(k: int, thin: bool = False) -> tuple[int, int, int]:
+    """(n1, n2, k2) for a greatest difference k. A fifth more partitions than the
+    least number, so that a pair agrees on several of them; for ``thin`` sets
+    subsets of two cells in three, which are seldom void."""
     if k == 0:
         return 1, 1, 0
+    if thin:
+        return k // 2 + 2 + k * 3 // 20, 3, 1
     if k < 20:
-        return k + 3, 1, 0
-    return k // 2 + 2 + k // 20, 2, 1
+        return k + 3 + k // 5, 1, 0
+    return k // 2 + 2 + k // 5, 2, 1
+
+
+def _contents(grams: np.ndarray, band: int, k: int, thin: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(names, numbers of features) of the subsets of cells that tell a similar set
+    of the band: all but the ``agreed - 1`` with the fewest features."""
+    n1, n2, k2 = scheme(k, thin)
+    cell = ((grams >> np.uint64(11)) % np.uint64(n1 * n2)).astype(np.int64)
+    sums = np.zeros(n1 * n2, np.uint64)
+    np.add.at(sums, cell, grams)
+    sums = sums.reshape(n1, n2)
+    subsets = np.array(list(combinations(range(n2), n2 - k2)))
+    # one name per partition and subset, from the sums of the subset's cells
+    key = np.arange(n1 * len(subsets), dtype=np.uint64).reshape(n1, -1)
+    with np.errstate(over="ignore"):
+        for column in subsets.T:
+            key = key * np.uint64(0x9FB21C651E98DF25) + sums[:, column]
+    key = mix(key.ravel(), 16 + 2 * band + thin)
+    held = np.bincount(cell, minlength=n1 * n2).reshape(n1, n2)[:, subsets].sum(2).ravel()
+    agreed = n1 - k // (k2 + 1)         # partitions that a similar pair agrees on at least
+    kept = np.lexsort((key, held))[agreed - 1:]
+    return key[kept], held[kept]
 
 
 def signatures(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The set's signatures. A subset of cells without a feature says nothing:
-    it is left out unless so many partitions have one that a similar set might
-    agree on nothing else."""
+    """The set's signatures. A similar pair agrees on ``agreed`` subsets or more; in
+    the order of (features in the subset, name), which is the same for both, the
+    last of them is kept by both if each leaves out its first ``agreed - 1``. So the
+    subsets that say least go, first those without a feature, which unlike sets
+    share by the thousand.
+
+    A thin set has so many void subsets that some would stay. They go as well, and
+    it has signatures of a second scheme: two similar thin sets share one of those,
+    and a thin one shares a filled subset with any other, which has fewer void ones
+    than the pair agrees on. Only where the second scheme is thin too void subsets
+    are named."""
     out = []
-    place = grams >> np.uint64(11)
     for band, k in instances(len(grams), percent):
-        n1, n2, k2 = scheme(k)
-        cell = (place % np.uint64(n1 * n2)).astype(np.int64)
-        sums = np.zeros(n1 * n2, np.uint64)
-        np.add.at(sums, cell, grams)
-        filled = np.bincount(cell, minlength=n1 * n2).reshape(n1, n2) > 0
-        sums = sums.reshape(n1, n2)
-        subsets = np.array(list(combinations(range(n2), n2 - k2)))
-        # one name per partition and subset, from the sums of the subset's cells
-        key = np.arange(n1 * len(subsets), dtype=np.uint64).reshape(n1, -1)
-        with np.errstate(over="ignore"):
-            for column in subsets.T:
-                key = key * np.uint64(0x9FB21C651E98DF25) + sums[:, column]
-        void = ~filled[:, subsets].any(2)
-        agreed = n1 - k // (k2 + 1)         # partitions that a similar pair agrees on at least
-        if void.any(1).sum() >= agreed:
-            void[:] = False
-        out.append(mix(key[~void], 16 + band))
+        key, held = _contents(grams, band, k, False)
+        out.append(key[held > 0])
+        if not held[0]:
+            out.append(_contents(grams, band, k, True)[0])
     return np.concatenate(out)
 
 

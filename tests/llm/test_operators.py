@@ -266,6 +266,21 @@ def test_parts_of_partenum_lose_no_similar_pair():
                 assert np.intersect1d(jaccard_join.signatures(a), jaccard_join.signatures(b)).size
 
 
+def test_unlike_sets_share_no_signatures_by_the_dozen():
+    """Subsets of cells without a feature are alike in all sets: buckets of them grew
+    with the table, and the pairs in them with its square."""
+    rnd = np.random.default_rng(4)
+    sets = [rnd.integers(0, 2 ** 63, size).astype(np.uint64) for size in rnd.integers(60, 1200, 800)]
+    shared = collections.Counter(x for grams in sets for x in set(jaccard_join.signatures(grams, 80).tolist()))
+    assert max(shared.values()) < 12, shared.most_common(5)
+    # thin sets too agree with their like: each has lost and won as much as 80 % allows
+    for size in range(60, 1200, 7):
+        a = np.unique(rnd.integers(0, 2 ** 63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[size // 9:], rnd.integers(0, 2 ** 63, size // 9).astype(np.uint64)]))
+        assert 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+        assert np.intersect1d(jaccard_join.signatures(a, 80), jaccard_join.signatures(b, 80)).size
+
+
 def test_sharding_is_longest_first(spark):
     d = table(spark, SF01, "documents")
     got = sharding.shard_groups(d).join(d, "doc_id").toPandas()
