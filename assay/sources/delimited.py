@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from assay.session import small_files
 from assay.sources.layers import drop_layer
 
 SOURCE_FILE = "_source_file"
@@ -140,4 +141,5 @@ def read_delimited_stream(spark: SparkSession, path: str, columns: Sequence[str]
         r = r.option("pathGlobFilter", files)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return with_lineage(r.csv(path))
+    with small_files(spark):
+        return with_lineage(r.csv(path))

@@ -66,3 +66,19 @@ def test_time_inversions_read_the_files_once(spark, monkeypatch):
     monkeypatch.setattr(Q.M, "read_bronze_measurements", counted)
     q_file_time_inversions(spark, SF001).collect()
     assert opened.value == 2 * spark.read.parquet(f"{SF001}/events.parquet").count()
+
+
+def test_a_stream_task_reads_many_small_files(spark):
+    """A file is not reckoned at 4 MB: at the default 31 of these files, whatever
+    their size, fill a task, and of larger sources four or so."""
+    from assay.streaming.runs import run_batches
+    rows = spark.range(600).select(F.concat(F.lit("f"), F.col("id")).alias("f"), F.col("id").cast("string").alias("a"))
+    path, seen = D.write_folders(rows.repartition(4).sortWithinPartitions("f"), scratch_path(spark, "many"), "f"), []
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.openCostInBytes", "spark.sql.sources.parallelPartitionDiscovery.parallelism")}
+
+    def sink(batch, batch_id):
+        seen.append((batch.rdd.getNumPartitions(), sorted(r.a for r in batch.select("a").collect())))
+    run_batches(D.read_delimited_stream(spark, path, ["a"]), sink, scratch_path(spark, "many-ckpt"))
+    (tasks, found), = seen
+    assert found == sorted(map(str, range(600))) and tasks <= spark.sparkContext.defaultParallelism + 1
+    assert {k: spark.conf.get(k) for k in before} == before
