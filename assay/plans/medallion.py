@@ -11,7 +11,9 @@ time-series file whose name carries a 32-hex serial).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ from assay.operators import features as FE
 from assay.operators import label as LB
 from assay.operators import star as ST
 from assay.plans import bindings as B
+from assay.session import scratch_path, small_files
 from assay.sources import ledger as LD
 from assay.sources.delimited import SOURCE_FILE, header_of, read_delimited, write_folders
 from assay.sources.layers import (drop_layer, export_dataset, read_layer, read_optional, save_bucketed,
@@ -166,7 +169,16 @@ def bronze(spark: SparkSession, sources: dict[str, str], lake: Lake,
     day: a daily run replaces its day and reads only files that the ledger has not
     entered as they are now on an earlier day.
 
+    Files are listed and read ``ledger.GROUP`` at a time, many to a task: the driver
+    never holds or plans a source with a file per unit whole.
+
     Returns (table, rows, files, malformed) of this load."""
+    with small_files(spark):
+        return _load(spark, sources, lake, columns or {}, by_ingest_date)
+
+
+def _load(spark: SparkSession, sources: dict[str, str], lake: Lake, columns: dict[str, list[str] | None],
+          by_ingest_date: bool) -> DataFrame:
     today = F.current_date()
     out = None
     for name, path in sources.items():
@@ -180,10 +192,11 @@ def bronze(spark: SparkSession, sources: dict[str, str], lake: Lake,
             continue
         if by_ingest_date:
             listed = LD.unread(listed, _known_files(spark, lake, name))
-        found = sorted(r["path"] for r in listed.select("path").collect())     # a reader is given its files' names
-        if found:
-            cols = (columns or {}).get(name) or header_of(spark, found[0])
-            df = read_delimited(spark, found, columns=cols, recursive=True, malformed=LD.MALFORMED)
+        groups = LD.file_groups(listed)
+        first = next(groups, None)
+        if first:
+            cols = columns.get(name) or header_of(spark, first[0])
+            df, staged = _read_groups(spark, first, groups, cols, name)
             if by_ingest_date:
                 write_layer(df.withColumn(INGEST_DATE, today), lake.path("bronze", name), partition_by=[INGEST_DATE],
                             partitionOverwriteMode="dynamic")
@@ -193,6 +206,8 @@ def bronze(spark: SparkSession, sources: dict[str, str], lake: Lake,
                 rows = read_layer(spark, lake.path("bronze", name))
             write_layer(LD.entries(listed, rows, cols, ";"), ledger_path(lake, name), partition_by=[INGEST_DATE],
                         **({"partitionOverwriteMode": "dynamic"} if by_ingest_date else {}))
+            if staged:
+                drop_layer(spark, staged)
         ledger = LD.read_ledger(spark, ledger_path(lake, name))
         if ledger is None:
             continue
@@ -203,6 +218,21 @@ def bronze(spark: SparkSession, sources: dict[str, str], lake: Lake,
     return out
 
 
+def _read_groups(spark: SparkSession, first: list[str], others: Iterator[list[str]], cols: list[str],
+                 name: str) -> tuple[DataFrame, str | None]:
+    """The files' rows. Of several groups each is read into one scratch table (its
+    path comes along), so that bronze still takes all of a load in one write, or none."""
+    def read(found: list[str]) -> DataFrame:
+        return read_delimited(spark, found, columns=cols, recursive=True, malformed=LD.MALFORMED)
+    second = next(others, None)
+    if second is None:
+        return read(first), None
+    staged = scratch_path(spark, f"bronze-{name}")
+    for found in chain([first, second], others):
+        write_layer(read(found), staged, mode="append")
+    return read_layer(spark, staged), staged
+
+
 def _known_files(spark: SparkSession, lake: Lake, name: str) -> DataFrame | None:
     """The source's ledger. A dated table without one (written by an earlier
     version) is entered first, from its file names."""

@@ -82,3 +82,28 @@ def test_a_stream_task_reads_many_small_files(spark):
     (tasks, found), = seen
     assert found == sorted(map(str, range(600))) and tasks <= spark.sparkContext.defaultParallelism + 1
     assert {k: spark.conf.get(k) for k in before} == before
+
+
+@pytest.mark.parametrize("dated", [False, True])
+def test_bronze_takes_a_source_in_groups(spark, monkeypatch, dated):
+    """No reader is given all files of a source with a file per unit, and the load
+    is the same as from one read."""
+    from assay.sources import ledger as LD
+    rows = spark.range(300).select(F.concat(F.lit("u "), F.col("id") % 40).alias("f"), F.col("id").cast("string").alias("a"),
+                                   F.lit("x").alias("b")).repartition(3, "f").sortWithinPartitions("f")
+    src = D.write_folders(rows, scratch_path(spark, "grouped"), "f")
+    results = scratch_path(spark, "grouped-results")
+    spark.createDataFrame([("s", "G")], "a string, b string").write.option("header", True).option("sep", ";").csv(results)
+    given, found = [], {}
+    plain = D.read_delimited
+    monkeypatch.setattr(M, "read_delimited", lambda spark, paths, **kw: given.append(len(paths)) or plain(spark, paths, **kw))
+    for group in (10_000, 7):
+        monkeypatch.setattr(LD, "GROUP", group, raising=False)
+        given.clear()
+        lake = M.Lake(scratch_path(spark, "grouped-lake"))
+        M.bronze(spark, {"timeseries": src, "results": results}, lake, by_ingest_date=dated)
+        bronze, ledger = M.read_bronze(spark, lake, "timeseries"), LD.read_ledger(spark, M.ledger_path(lake, "timeseries"))
+        order = bronze.orderBy(*D.ARRIVAL).groupBy(D.SOURCE_FILE).agg(F.collect_list("a").alias("a"))
+        found[group] = (sorted(map(tuple, order.collect())), sorted(map(tuple, ledger.collect())), bronze.columns)
+    assert found[7] == found[10_000] and len(found[7][1]) == 40
+    assert max(given) <= 7 and len(given) == 7          # 40 files and the one of results
